@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 #: Words of which a worker keeps the ids; when it is full it starts anew.
 CACHE_WORDS = 300_000
 #: White space as the tokenizer's patterns have it (Unicode White_Space).
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_alphabet() -> list[str]:

@@ -3,3 +3,53 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+#: Fixed values of skerry.llm.quality, written out for SQL.
+ORACLE["op7_quality"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT r, doc_id, lang, source, text,
+         list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+), windows AS (
+  SELECT r, i, concat_ws(' ', words[i], words[i + 1], words[i + 2]) AS w
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM split WHERE len(words) >= 3)
+), repeated AS (
+  SELECT r, count(DISTINCT j) AS n_repeat_words
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM windows) WHERE n > 1)
+  GROUP BY r
+), counted AS (
+  SELECT s.*, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM split s LEFT JOIN repeated USING (r)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         n_symbols::DOUBLE / greatest(n_words, 1) AS symbols, n_dup_lines::DOUBLE / greatest(n_words, 1) AS dup_lines,
+         n_repeat_words::DOUBLE / greatest(n_words, 1) AS repeats, word_chars::DOUBLE / greatest(n_words, 1) AS wlen
+  FROM counted
+), grouped AS (
+  SELECT lang, source, GROUPING(lang, source) AS level, count(*) AS size, list_sort(list(symbols)) AS s, list_sort(list(dup_lines)) AS l,
+         list_sort(list(repeats)) AS p, list_sort(list(wlen)) AS c
+  FROM judged WHERE NOT base_failed GROUP BY ROLLUP (lang, source)
+), ranks AS (
+  SELECT *, ceil(0.1::DOUBLE * size)::INT AS lo, ceil(0.5::DOUBLE * size)::INT AS mid FROM grouped
+), bounds AS (
+  SELECT lang, source, level, size,
+         {'s': s[mid] + 6.0::DOUBLE * (s[mid] - s[lo]) + 0.2::DOUBLE, 'l': l[mid] + 6.0::DOUBLE * (l[mid] - l[lo]) + 0.4::DOUBLE,
+          'p': p[mid] + 6.0::DOUBLE * (p[mid] - p[lo]) + 0.3::DOUBLE, 'c': c[mid] + (6.0::DOUBLE * (c[mid] - c[lo]) + 1.5::DOUBLE),
+          'd': c[mid] - (6.0::DOUBLE * (c[mid] - c[lo]) + 1.5::DOUBLE)} AS cut
+  FROM ranks
+), joined AS (
+  SELECT j.*, coalesce(a.cut, b.cut, (SELECT cut FROM bounds WHERE level = 3)) AS cut
+  FROM judged j
+  LEFT JOIN (SELECT * FROM bounds WHERE level = 0 AND size >= 20) a ON j.lang IS NOT DISTINCT FROM a.lang AND j.source IS NOT DISTINCT FROM a.source
+  LEFT JOIN (SELECT * FROM bounds WHERE level = 1 AND size >= 20) b ON j.lang IS NOT DISTINCT FROM b.lang
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(symbols > cut.s OR dup_lines > cut.l OR repeats > cut.p OR wlen > cut.c OR wlen < cut.d, FALSE) AS kept
+FROM joined
+"""
