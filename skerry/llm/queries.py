@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skerry.llm import bpe, quality
+from skerry.llm import bpe, decontaminate, lines, quality, shards
 from skerry.llm.common import table, tokenizer_path
 
 
@@ -14,11 +14,32 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents")).drop("hash")
+
+
+def sharding_64k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a limit that even small tables exceed."""
+    return shards.assign(table(spark, sf_dir, "documents"), 64 << 10).drop("hash")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_lines": op3_lines,
+    "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
+    "op10_decontamination": op10_decontamination,
+    "sharding_64k": sharding_64k,
 }

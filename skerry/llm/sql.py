@@ -53,3 +53,83 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT coalesce(symbols > cut.s OR dup_lines > cut.l OR repeats > cut.p OR wlen > cut.c OR wlen < cut.d, FALSE) AS kept
 FROM joined
 """
+
+ORACLE["op3_lines"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT r, doc_id, generate_subscripts(l, 1) AS line_no, unnest(l) AS line FROM (SELECT r, doc_id, string_split(text, chr(10)) AS l FROM docs)
+), parsed AS (
+  SELECT r, doc_id, line_no,
+         list_transform(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> ''), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS t
+  FROM lines
+), fit AS (
+  SELECT *, len(t) AS n FROM parsed WHERE len(t) >= 5
+), keyed AS (
+  SELECT r, doc_id, line_no, n, t[1:3] AS lead, f,
+         list_transform(range(0, 5), lambda k: CASE WHEN k = f THEN NULL ELSE array_to_string(t[(n * k // 5) + 1:(n * (k + 1) // 5)], ' ') END) AS template
+  FROM (SELECT *, unnest(range(0, 5)) AS f FROM fit)
+), homes AS (
+  SELECT r, line_no, doc_id, min(doc_id) OVER (PARTITION BY n, lead, f, template) AS home FROM keyed
+), lost AS (
+  SELECT r, line_no FROM homes GROUP BY r, line_no, doc_id HAVING doc_id > min(home)
+), marked AS (
+  SELECT l.r, l.line_no, l.line, x.r IS NOT NULL AS gone FROM lines l LEFT JOIN lost x ON l.r = x.r AND l.line_no = x.line_no
+), rebuilt AS (
+  SELECT r, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '') AS kept
+  FROM marked GROUP BY r
+)
+SELECT doc_id, n_lines, n_dropped, length(kept)::BIGINT AS kept_chars, sha256(kept) AS kept_sha256 FROM rebuilt JOIN docs USING (r)
+"""
+
+
+def _sharding(limit: int) -> str:
+    return f"""
+WITH keyed AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+  FROM documents
+), small AS (SELECT * FROM keyed WHERE n_bytes <= {limit}),
+levels AS (
+  SELECT d, h >> (60 - d) AS prefix, count(*) AS docs, sum(n_bytes)::BIGINT AS bytes, min(h) < max(h) AND sum(n_bytes) > {limit} AS splits
+  FROM small, range(0, 41) AS t(d) GROUP BY 1, 2
+), found AS (
+  SELECT doc_id, n_bytes, h, min(d) AS d FROM small JOIN levels ON prefix = h >> (60 - d) WHERE NOT splits GROUP BY ALL
+)
+SELECT doc_id, n_bytes, CASE WHEN f.d = 0 THEN '' ELSE right(lpad(bin(prefix), 60, '0'), f.d::INT) END AS shard, f.d::BIGINT AS depth,
+       docs::BIGINT AS shard_docs, bytes AS shard_bytes, bytes <= {limit} AS fits
+FROM found f JOIN levels l ON l.d = f.d AND prefix = h >> (60 - f.d)
+UNION ALL
+SELECT doc_id, n_bytes, 'large-' || h, 0, 1, n_bytes, FALSE FROM keyed WHERE n_bytes > {limit}
+"""
+
+
+ORACLE["op6_sharding"] = _sharding(64 << 20)
+ORACLE["sharding_64k"] = _sharding(64 << 10)
+
+ORACLE["op10_decontamination"] = r"""
+WITH masks(mask, bits) AS (VALUES (0, '111010111'), (1, '110111101'), (2, '101111011')),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents
+), items AS (
+  SELECT item_id, w FROM (
+    SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark
+  ) WHERE len(w) >= 10
+), test AS (
+  SELECT item_id, p, mask, list_transform(range(1, 10), lambda k: CASE WHEN bits[k] = '1' THEN w[p + k] END) AS seed
+  FROM (SELECT item_id, w, unnest(range(0, len(w) - 8)) AS p FROM items), masks
+), train AS (
+  SELECT r, p, mask, list_transform(range(1, 10), lambda k: CASE WHEN bits[k] = '1' THEN w[p + k] END) AS seed
+  FROM (SELECT r, w, unnest(range(0, len(w) - 8, 2)) AS p FROM docs WHERE len(w) >= 9), masks
+), hits AS (
+  SELECT DISTINCT r, item_id, train.p - test.p AS o FROM train JOIN test USING (mask, seed)
+), same AS (
+  SELECT doc_id, h.item_id, o, least(len(i.w), 20) AS win,
+         list_transform(range(1, len(i.w) + 1), lambda p: CASE WHEN p + o >= 1 AND d.w[p + o] = i.w[p] THEN 1 ELSE 0 END) AS s
+  FROM hits h JOIN docs d USING (r) JOIN items i ON i.item_id = h.item_id
+), scored AS (
+  SELECT doc_id, item_id, win, list_sum(s) AS agreeing, list_max(list_transform(range(0, len(s) - win + 1), lambda k: list_sum(s[k + 1:k + win]))) AS best FROM same
+)
+SELECT doc_id, item_id, max(agreeing)::BIGINT AS agreeing, max(best)::BIGINT AS best, max(win)::BIGINT AS "window"
+FROM scored WHERE 100 * best >= 80 * win GROUP BY doc_id, item_id
+"""
