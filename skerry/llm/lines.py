@@ -31,11 +31,13 @@ def _row_hash() -> Column:
 
 def parsed(docs: DataFrame) -> DataFrame:
     """Lines with a template: doc_id, row_hash, line_no, n, lead and the hashes s0.. of the stretches."""
-    rows = docs.select("doc_id", _row_hash().alias("row_hash"), F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
-    rows = rows.select("doc_id", "row_hash", F.posexplode("lines").alias("line_no", "line"))
-    tokens = F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    rows = rows.select("doc_id", "row_hash", "line_no", F.col("line").rlike("[0-9]").alias("varies"), tokens.alias("t"))
-    rows = rows.filter(F.size("t") >= MIN_TOKENS)
+    # tokens come before explode, so that the filter on their number doesn't split every line again
+    tokens = F.transform(
+        F.split(F.coalesce("text", F.lit("")), "\n"),
+        lambda x: F.struct(x.rlike("[0-9]").alias("varies"), F.filter(F.split(x, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("t")),
+    )
+    rows = docs.select("doc_id", _row_hash().alias("row_hash"), F.posexplode_outer(tokens).alias("line_no", "line"))
+    rows = rows.filter(F.size("line.t") >= MIN_TOKENS).select("doc_id", "row_hash", "line_no", "line.varies", "line.t")
     masked = F.when(F.col("varies"), F.transform("t", lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))).otherwise(F.col("t"))
     rows = rows.select("doc_id", "row_hash", "line_no", F.size("t").alias("n"), masked.alias("t"))
 
