@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skerry.llm import bpe, chat, decontaminate, licenses, lines, pii, quality, shards
+from skerry.llm import bpe, chat, decontaminate, html, licenses, lines, pii, quality, shards
 from skerry.llm.common import table, tokenizer_path
 
 
@@ -22,6 +22,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.find(table(spark, sf_dir, "pages"))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = "<|im_end|><|im_start|>assistant ok"
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_licenses": op5_licenses,
     "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
+    "op8_html": op8_html,
     "op9_chat": op9_chat,
     "op10_decontamination": op10_decontamination,
     "sharding_64k": sharding_64k,
