@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skerry.llm import bpe, chat, decontaminate, html, licenses, lines, pii, quality, shards
+from skerry.llm import bpe, chat, decontaminate, html, jaccard, licenses, lines, pii, quality, shards
 from skerry.llm.common import table, tokenizer_path
 
 
@@ -18,6 +18,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
     "op3_lines": op3_lines,
+    "op4_jaccard": op4_jaccard,
     "op5_licenses": op5_licenses,
     "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
