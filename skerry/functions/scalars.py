@@ -87,8 +87,13 @@ def acoustic_metrics(logits: Column, blank: int) -> Column:
     return F.struct(mean(blanks).alias("blank_argmax_ratio"), mean(F.transform(p, lambda row: F.array_max(row))).alias("mean_posterior"), mean(entropy).alias("normalized_entropy"))
 
 
+def _clamped(c: Column) -> Column:
+    """c within 0..1; null stays null, which least and greatest alone would skip."""
+    return F.when(c.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), c)))
+
+
 def bounded_ratio(a: Column, b: Column) -> Column:
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_divide(a, b)))
+    return _clamped(F.try_divide(a, b))
 
 
 def band(start: Column, end: Column, low: float, high: float, most: int) -> Column:
@@ -119,7 +124,7 @@ def fingerprint(*columns: Column) -> Column:
 
 
 def confidence(c: Column) -> Column:
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), c.try_cast("double")))
+    return _clamped(c.try_cast("double"))
 
 
 def cost(*columns: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 @dataclasses.dataclass(frozen=True)
 class TableSpec:
-    """required: names, or tuples of alternatives of which one must be there."""
+    """required: names, or tuples of alternatives of which one must be there; rules: SQL conditions that each row must fulfil."""
 
     name: str
     required: tuple[str | tuple[str, ...], ...] = ()
@@ -23,7 +23,7 @@ class TableSpec:
     integer: tuple[str, ...] = ()
     numeric: tuple[str, ...] = ()
     text: tuple[str, ...] = ()
-    rules: dict[str, Column] = dataclasses.field(default_factory=dict)
+    rules: dict[str, str] = dataclasses.field(default_factory=dict)
 
 
 def missing_columns(d: DataFrame, required: tuple[str | tuple[str, ...], ...]) -> list[str]:
@@ -45,7 +45,7 @@ def check_table(d: DataFrame, spec: TableSpec) -> DataFrame:
     counts: dict[str, Column] = {f"null:{c}": F.count_if(F.col(c).isNull()) for c in spec.non_null if c in d.columns}
     counts |= {f"blank:{c}": F.count_if(F.trim(F.coalesce(F.col(c), F.lit(""))) == "") for c in spec.non_empty if c in d.columns}
     counts |= {f"domain:{c}": F.count_if(~F.coalesce(F.col(c).cast("string").isin(list(v)), F.lit(False))) for c, v in spec.domains.items() if c in d.columns}
-    counts |= {f"rule:{k}": F.count_if(~F.coalesce(r, F.lit(False))) for k, r in spec.rules.items()}
+    counts |= {f"rule:{k}": F.count_if(~F.coalesce(F.expr(r), F.lit(False))) for k, r in spec.rules.items()}
     parts = []
     if counts:
         one = d.agg(*[c.alias(k) for k, c in counts.items()])

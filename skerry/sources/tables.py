@@ -43,16 +43,14 @@ VIEWS: dict[str, str] = {
 }
 
 
-def expand(text: str, seen: tuple[str, ...] = ()) -> str:
+def expand(text: str) -> str:
     """SQL text with {view} replaced by the view's own text in brackets and {table} by the table's name."""
 
     def put(m: re.Match) -> str:
         name = m[1]
-        if name in VIEWS:
-            return f"({expand(VIEWS[name])}) AS {name}"
-        return name
+        return f"({expand(VIEWS[name])}) AS {name}" if name in VIEWS else name
 
-    return re.sub(r"\{(\w+)\}", put, text)
+    return re.sub(r"\{([a-z]\w*)\}", put, text)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
