@@ -100,9 +100,11 @@ def temporal_window(keyframes: DataFrame, hits: DataFrame, before: int, after: i
 
 
 def looked_up(ranked: DataFrame, metadata: DataFrame, key: str = "vector_id") -> DataFrame:
-    """Ranked ids with their metadata; an id without any is an error when its row is read."""
+    """Ranked ids with their metadata; an id without any is an error when its key is read."""
     d = ranked.join(metadata.withColumn("found", F.lit(True)), key, "left")
-    return d.withColumn("found", F.coalesce("found", F.raise_error(F.concat(F.lit("no metadata for "), F.col(key).cast("string"))).cast("boolean"))).drop("found")
+    # the check is part of the key, so that pruning can't take it away
+    missing = F.raise_error(F.concat(F.lit("no metadata for "), F.col(key).cast("string"))).cast(ranked.schema[key].dataType)
+    return d.withColumn(key, F.when(F.col("found"), F.col(key)).otherwise(missing)).drop("found")
 
 
 def paired(left: DataFrame, right: DataFrame, key: str, policy: str = "strict") -> DataFrame:
