@@ -63,8 +63,8 @@ def _notices() -> tuple[Notice, ...]:
         n = len(text)
         cuts = [n * k // (edits + 1) for k in range(edits + 2)]
         pieces = tuple((text[a:b], a) for a, b in zip(cuts, cuts[1:]))
-        # whole words: an edited notice still stands between spaces
-        pattern = regex.compile(rf"(?<=^|\s)(?:{regex.escape(text)}){{e<={edits}}}(?=\s|$)", regex.BESTMATCH)
+        # whole words: an edited notice still stands between spaces, which are at both ends of what is searched
+        pattern = regex.compile(rf"(?<=\s)(?:{regex.escape(text)}){{e<={edits}}}(?=\s)", regex.BESTMATCH)
         out.append(Notice(label, edits, n, pieces, pattern))
     return tuple(out)
 
@@ -93,12 +93,13 @@ def fuzzy_spans(joined: str) -> list[tuple[int, int, str, int, int]]:
         for piece, offset in notice.pieces:
             at = joined.find(piece)
             while at >= 0:
-                places.add(max(0, at - offset - notice.edits))
+                places.add(max(0, at - offset - notice.edits - 1))
                 at = joined.find(piece, at + 1)
         for start in sorted(places):
             if start < tried:
                 continue
-            end = min(len(joined), start + notice.length + 3 * notice.edits + 1)
+            # a match and the spaces around it lie between start and end
+            end = start + notice.length + 3 * notice.edits + 4
             m = notice.pattern.search(joined, start, end)
             if m:
                 found.add((m.start(), m.end(), notice.label, sum(m.fuzzy_counts), notice.length))
