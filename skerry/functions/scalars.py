@@ -97,11 +97,11 @@ def bounded_ratio(a: Column, b: Column) -> Column:
 
 
 def band(start: Column, end: Column, low: float, high: float, most: int) -> Column:
-    """Distinct evenly spaced whole numbers in a band (shares low..high) of start..end, rounded half to even."""
+    """Distinct evenly spaced whole numbers in a band (shares low..high) of start..end, rounded half to even: as many as lie in it, most at most; for one the middle."""
     a, b = start + (end - start) * low, start + (end - start) * high
-    if most == 1:
-        return F.array(F.bround((a + b) / 2).cast("long"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.bround(a + (b - a) * i / (most - 1)).cast("long")))
+    n = F.least(F.lit(most), F.greatest(F.lit(1), F.floor(b) - F.ceil(a) + 1)).cast("int")
+    spaced = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.bround(a + (b - a) * i / F.greatest(n - 1, F.lit(1))).cast("long"))
+    return F.when(n == 1, F.array(F.bround((a + b) / 2).cast("long"))).otherwise(F.array_distinct(spaced))
 
 
 def tile_grid(width: Column, height: Column, most: int) -> Column:
