@@ -1,8 +1,8 @@
 """Exact Jaccard join on sets of word shingles, with prefix filters under several global orders.
 
 Two sets with Jaccard 0.8 or more share a token among the first n - ceil(0.8 n) + 1 tokens of each, under any global
-order of tokens. Candidates must share one under each of three orders. Order 1 puts very common tokens last and goes by
-hash otherwise; orders 2 and 3 go by other hashes. Steps:
+order of tokens. Candidates must share one under each of three orders. Order 1 puts very common tokens last, the most
+common ones at the very end, and goes by hash otherwise; orders 2 and 3 go by other hashes. Steps:
 
 1. One pass hashes every text's shingles; equal sets (copies) become one representative, the smallest doc_id.
 2. Stars: representatives that share several of their first tokens with the smallest one of a token's documents are
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,8 +96,8 @@ def _batches(frames: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.
             yield frame.slice(at, rows)
 
 
-def common_tokens(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the most common tokens, HEAVY_LISTED at most, from counts over all documents."""
+def common_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the most common tokens, HEAVY_LISTED at most, from counts over all documents; and their places by rising count."""
 
     def counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -108,10 +108,12 @@ def common_tokens(docs: DataFrame) -> np.ndarray:
 
     counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(counted, "token long, n long")
     listed = counts.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "token").limit(HEAVY_LISTED)
-    return np.sort(listed.select("token").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
+    found = listed.select("token").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64)
+    by_hash = np.argsort(found)
+    return found[by_hash], (len(found) - by_hash).astype(np.int32)
 
 
-def signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
+def signatures(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, n, s1, s2 (hashes of the set), p1 (order-1 prefix), p2, p3 (32 bits of each token of the prefixes in orders 2 and 3)."""
     sent = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -120,7 +122,7 @@ def signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*values, np.empty(0, kind)]).astype(kind), arrow))
 
     def signed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = sent.value
+        hot, place = sent.value
         for frame in _batches(frames):
             n, s1, s2, p1, p2, p3 = [], [], [], [], [], []
             for text in frame.column(1).to_pylist():
@@ -131,10 +133,10 @@ def signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 s2.append(int(np.add.reduce(mixed(s, 2)).astype(np.int64)) if k else 0)
                 first = s
                 if k and len(hot):
-                    at = np.searchsorted(hot, s)
-                    is_hot = hot[np.minimum(at, len(hot) - 1)] == s
+                    at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
+                    is_hot = hot[at] == s
                     if is_hot.any():
-                        first = np.concatenate((s[~is_hot], s[is_hot]))
+                        first = np.concatenate((s[~is_hot], s[is_hot][np.argsort(place[at[is_hot]])]))
                 p1.append(first[:k].view(np.int64))
                 for p, seed in ((p2, 3), (p3, 4)):
                     least = np.argpartition(mixed(s, seed), k - 1)[:k] if k else np.empty(0, dtype=np.int64)
@@ -210,10 +212,13 @@ def components(docs: DataFrame) -> DataFrame:
     links = verified(scratch.put(stars), docs, scratch)
     roots = connected(links, scratch)
 
-    rows = reps.select("id", "n", "p1").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    tokens = rows.select("id", "root", "n", F.posexplode("p1").alias("place", "token"))
-    spread = scratch.put(tokens.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token"))
-    shared = scratch.put(tokens.join(checked_broadcast(spread), "token"))
+    rows = reps.select("id", "p1").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    tokens = rows.select("id", "root", F.posexplode("p1").alias("place", "token"))
+    # the prefixes are shuffled once: a token's rows stand together, and stay where they are of several components
+    of_token = Window.partitionBy("token")
+    tokens = tokens.withColumns({"lo": F.min("root").over(of_token), "hi": F.max("root").over(of_token)})
+    shared = tokens.filter("lo < hi").drop("lo", "hi")
+    shared = scratch.put(scratch.put(shared).join(reps.select("id", "n"), "id"))
     left = shared.select("token", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"))
     right = shared.select("token", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"))
     # at the first token that a pair shares, this many may still be common at most
