@@ -61,6 +61,13 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(checked_broadcast(ids.select("doc_id").distinct()), "doc_id", "left_anti").select(docs.columns)
 
 
+def without_rows(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id and text hash (xxhash64, null as empty) are in bad(bad_id, bad_hash); null ids count as equal."""
+    bad = checked_broadcast(bad)
+    mine = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (mine == bad["bad_hash"]), "left_anti")
+
+
 def tokenizer_path(name: str) -> str:
     """Where the installed package keeps a public tokenizer file."""
     import public_tokenizers

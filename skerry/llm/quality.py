@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skerry.llm.common import Scratch, checked_broadcast
+from skerry.llm.common import Scratch, checked_broadcast, without_rows
 
 #: Rank error of the sketches is 1 / ACCURACY; groups below ACCURACY documents get exact quantiles.
 ACCURACY = 10_000
@@ -128,5 +128,4 @@ def judge(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """docs without the rows that the rules reject, columns as they were."""
     bad = judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
-    mine = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(checked_broadcast(bad), docs["doc_id"].eqNullSafe(F.col("bad_id")) & (mine == F.col("bad_hash")), "left_anti")
+    return without_rows(docs, bad)

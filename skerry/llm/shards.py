@@ -87,7 +87,8 @@ def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def write(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Writes docs as Parquet, one folder per shard; rows of one shard meet in one task, whose size the limit bounds."""
-    placed = assign(docs, limit).select(F.col("hash").alias("placed_hash"), "shard").distinct()
+    """Writes docs as Parquet, one folder per shard, named b and its bits; rows of one shard meet in one task, whose size the limit bounds."""
+    # the letter keeps readers from taking the bits for a number
+    placed = assign(docs, limit).select(F.col("hash").alias("placed_hash"), F.concat(F.lit("b"), "shard").alias("shard")).distinct()
     joined = docs.join(placed, _hash() == F.col("placed_hash")).drop("placed_hash")
     joined.repartition("shard").write.partitionBy("shard").parquet(path)
