@@ -172,6 +172,41 @@ def unpivoted(d: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFra
     return d.select(*keys, F.inline(rows)).filter(F.trim(F.coalesce("text", F.lit(""))) != "")
 
 
+def recognised_text(full: Column, blocks: Column) -> Column:
+    """The full text of a recogniser, else its blocks' texts (array of strings), joined by spaces."""
+    return F.coalesce(blank_to_null(full), F.array_join(string_list(F.coalesce(blocks, F.array().cast("array<string>"))), " "))
+
+
+def without_prefix(words: Column, removed: Column) -> Column:
+    """Words (array) without the leading ones that make up a removed text, compared without case and marks; null if none of its beginnings do."""
+    bare = lambda c: F.array_join(tokens(c), " ")
+    wanted = bare(removed)
+    counts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))), lambda k: bare(F.array_join(F.slice(words, F.lit(1), k), " ")) == wanted)
+    return F.when(wanted == "", words).when(F.size(counts) > 0, F.slice(words, F.get(counts, F.lit(0)) + 1, F.greatest(F.size(words), F.lit(1))))
+
+
+def query_plan(query: Column, language: Column, detected: Column, translate: Column) -> Column:
+    """struct(text, language, detected, translate): whether a query has to be translated before it is encoded.
+
+    translate: an explicit choice, or null. An explicit yes needs no detection; without a choice English queries, declared
+    or detected, stay. A blank query or an unknown language is an error.
+    """
+    asked = F.lower(F.trim(F.coalesce(language, F.lit("auto"))))
+    known = F.when(asked.isin("auto", "english", "vietnamese"), asked).otherwise(F.raise_error(F.concat(F.lit("unsupported query language "), asked)))
+    wanted = F.coalesce(translate, known != "english")
+    seen = F.when(~wanted, "not_checked").when(translate.isNotNull(), "vietnamese").when(known == "auto", detected).otherwise(known)
+    return F.struct(required_text(query, "query").alias("text"), known.alias("language"), seen.alias("detected"), (wanted & (seen != "english")).alias("translate"))
+
+
+def labelled_lines(title: str, values: dict[str, Column]) -> Column:
+    """A title and 'NAME: value' lines: YES or NO for booleans, three digits for fractions, <NONE> for what is missing or empty. values: already cast to their types."""
+    return F.concat_ws("\n", F.lit(title), *[F.concat(F.lit(f"{k.upper()}: "), F.coalesce(F.nullif(v, F.lit("")), F.lit("<NONE>"))) for k, v in values.items()])
+
+
+def yes_no(c: Column) -> Column:
+    return F.when(c, "YES").otherwise("NO")
+
+
 def file_stem(c: Column) -> Column:
     return F.regexp_replace(F.trim(c), r"[^A-Za-z0-9._-]+", "_")
 
