@@ -49,8 +49,14 @@ def parsed(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "row_hash", "line_no", "n", lead.alias("lead"), *[stretch(k).alias(f"s{k}") for k in range(FIELDS)])
 
 
+def _line_id() -> list[Column]:
+    """id1, id2: 128 bits that stand for a line (n, lead, s0..) from here on, so that shuffles carry two numbers."""
+    line = ["n", "lead", *[f"s{k}" for k in range(FIELDS)]]
+    return [F.xxhash64(*line).alias("id1"), F.xxhash64(F.lit(2), *reversed(line)).alias("id2")]
+
+
 def templates(lines: DataFrame) -> DataFrame:
-    """Each distinct line (n, lead, s0..) of a recurring template with home, the smallest doc_id among its templates' documents."""
+    """id1, id2 of each distinct line of a recurring template with home, the smallest doc_id among its templates' documents."""
     line = ["n", "lead", *[f"s{k}" for k in range(FIELDS)]]
     distinct = lines.groupBy(line).agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"))
     open_field = F.explode(F.sequence(F.lit(0), F.lit(FIELDS - 1))).alias("field")
@@ -58,20 +64,19 @@ def templates(lines: DataFrame) -> DataFrame:
     with_key = distinct.select(*line, "home", "last", open_field)
     rest = [F.when(F.col("field") == k, F.lit(0)).otherwise(F.col(f"s{k}")) for k in range(FIELDS)]
     with_key = with_key.select(
-        *line, "home", "last", F.xxhash64("n", "lead", "field", *rest).alias("key"), F.xxhash64(F.lit(1), *rest, "field", "lead", "n").alias("key2")
+        *_line_id(), "home", "last", F.xxhash64("n", "lead", "field", *rest).alias("key"), F.xxhash64(F.lit(1), *rest, "field", "lead", "n").alias("key2")
     )
     recurring = with_key.groupBy("key", "key2").agg(F.min("home").alias("home"), F.max("last").alias("last")).filter("last > home")
-    found = with_key.select(*line, "key", "key2").join(recurring.select("key", "key2", "home"), ["key", "key2"])
-    return found.groupBy(line).agg(F.min("home").alias("home"))
+    found = with_key.select("id1", "id2", "key", "key2").join(recurring.select("key", "key2", "home"), ["key", "key2"])
+    return found.groupBy("id1", "id2").agg(F.min("home").alias("home"))
 
 
 def dropped(docs: DataFrame) -> DataFrame:
     """doc_id, row_hash, lines: for each row that loses lines the sorted places of those, from 0."""
     scratch = Scratch(docs.sparkSession, "lines")
     lines = scratch.put(parsed(docs))
-    line = ["n", "lead", *[f"s{k}" for k in range(FIELDS)]]
     homes = scratch.put(templates(lines))
-    lost = lines.join(homes, line).filter(F.col("doc_id") > F.col("home"))
+    lost = lines.select("doc_id", "row_hash", "line_no", *_line_id()).join(homes, ["id1", "id2"]).filter(F.col("doc_id") > F.col("home"))
     # equal rows lose equal lines, so each place counts once
     return scratch.put(lost.groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set("line_no")).alias("lines")))
 
