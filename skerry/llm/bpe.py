@@ -19,12 +19,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words of which a worker keeps the ids; when it is full it starts anew.
-CACHE_WORDS = 300_000
+#: What a worker keeps: ids of words and of chunks between white space, two generations of so many each, and tested pairs.
+KEPT_WORDS, KEPT_CHUNKS, KEPT_PAIRS = 75_000, 150_000, 300_000
+#: Texts encoded at a time, so that a worker holds the ids of few.
+ROWS = 256
 #: White space as the tokenizer's patterns have it (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -48,6 +51,28 @@ def category_ranges(kind: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
 
 
+class Kept:
+    """A bounded memory: when the young entries are too many they become the old ones; what is used again stays."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[str, object] = {}
+        self.old: dict[str, object] = {}
+
+    def find(self, key: str):
+        """What was put, from either generation."""
+        known = self.young.get(key)
+        if known is None and (known := self.old.get(key)) is not None:
+            self.put(key, known)
+        return known
+
+    def put(self, key: str, value) -> None:
+        if len(self.young) >= self.size:
+            self.old = dict(self.young)
+            self.young.clear()  # the same object, which callers may hold
+        self.young[key] = value
+
+
 class PrefixBpe:
     """Encoder and decoder for a vocabulary whose words end in a suffix mark.
 
@@ -78,7 +103,8 @@ class PrefixBpe:
         self.longest = max(map(len, self.ids))
         self.split_at: dict[str, tuple[str, str] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, tuple[bytes, int]] = {}
+        self.wholes: dict[str, bool] = {}
+        self.words, self.chunks = Kept(KEPT_WORDS), Kept(KEPT_CHUNKS)
         self._automaton()
         letter, number = category_ranges("L"), category_ranges("N")
         self._regex = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{SPACE}{letter}{number}]+")
@@ -142,7 +168,7 @@ class PrefixBpe:
             else:
                 b_until = b_made
                 b = self.last_merge(b)[0]
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
         self.pairs[key] = good
         return good
@@ -151,35 +177,48 @@ class PrefixBpe:
         """Ids of one word of atoms."""
         n = len(word)
         last: list[str | None] = [None] * (n + 1)
-        ends: list[list[str]] = [[] for _ in range(n)]
-        for end, token in self.automaton.iter(word):
-            ends[end].append(token)
-        compatible, whole = self.compatible, self.whole
-        for i in range(1, n + 1):
-            for token in ends[i - 1]:  # the longest first
-                before = i - len(token)
-                if before and last[before] is None:
+        wholes, pairs = self.wholes, self.pairs
+        for end, token in self.automaton.iter(word):  # by end, the longest token first
+            if last[end + 1] is not None:
+                continue
+            whole = wholes.get(token)
+            if whole is None:
+                whole = wholes[token] = self.whole(token)
+            if not whole:
+                continue
+            before = end + 1 - len(token)
+            if before:
+                left = last[before]
+                if left is None:
                     continue
-                if whole(token) and (before == 0 or compatible(last[before], token)):
-                    last[i] = token
-                    break
+                good = pairs.get((left, token))
+                if not (self.compatible(left, token) if good is None else good):
+                    continue
+            last[end + 1] = token
         out, i = [], n
         while i:
             out.append(self.ids[last[i]])
             i -= len(last[i])
         return out[::-1]
 
-    def word_ids(self, word: str) -> tuple[bytes, int]:
-        known = self.words.get(word)
-        if known is None:
-            raw = word.encode("utf-8")
-            ids = self.encode_word(raw[:-1].decode("latin-1") + chr(256 + raw[-1]))
-            known = (np.asarray(ids, dtype="<u4").tobytes(), len(ids))
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            if len(raw) <= 64:
-                self.words[word] = known
-        return known
+    def chunk_ids(self, chunk: str) -> bytes:
+        """Ids of a normalised text without white space; words never reach over white space, so chunks stand alone."""
+        ids = self.chunks.find(chunk)
+        if ids is not None:
+            return ids
+        parts = []
+        for word in self._regex.findall(chunk):
+            known = self.words.find(word)
+            if known is None:
+                raw = word.encode("utf-8")
+                known = self.encode_word(raw[:-1].decode("latin-1") + chr(256 + raw[-1]))
+                if len(raw) <= 64:
+                    self.words.put(word, known)
+            parts += known
+        ids = np.asarray(parts, dtype="<u4").tobytes()
+        if len(chunk) <= 64:
+            self.chunks.put(chunk, ids)
+        return ids
 
     def normal(self, text: str) -> str:
         """NFC, white space runs to a space, lower case character by character."""
@@ -189,14 +228,14 @@ class PrefixBpe:
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text as unsigned 32-bit integers; strings of special tokens in it become their ids."""
         out: list[bytes] = []
-        words, word_ids = self.words, self.word_ids
+        chunks, chunk_ids = self.chunks.young, self.chunk_ids
         for part in self._special.split(text) if self._special and "<|" in text else (text,):
             if part in self.special:
                 out.append(np.asarray([self.special[part]], dtype="<u4").tobytes())
             elif part:
-                for w in self._regex.findall(self.normal(part)):
-                    known = words.get(w)
-                    out.append(known[0] if known is not None else word_ids(w)[0])
+                for chunk in self.normal(part).split(" "):
+                    known = chunks.get(chunk)
+                    out.append(known if known is not None else chunk_ids(chunk))
         return np.frombuffer(b"".join(out), dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> str:
@@ -251,16 +290,20 @@ def round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     source = _source(docs.sparkSession, path)
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
-    @F.pandas_udf(fields)
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def digested(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(source.value)
-        for texts in batches:
-            rows = []
-            for x in texts:
-                ids = bpe.encode(x or "")
-                decoded = bpe.decode(ids)
-                row = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
-                rows.append((*row, ids.astype(np.int32)) if keep_ids else row)
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 3 + keep_ids])
-
-    return docs.select("doc_id", digests("text").alias("found")).select("doc_id", "found.*")
+        for frame in frames:
+            for at in range(0, frame.num_rows, ROWS):
+                part = frame.slice(at, ROWS)
+                found = [bpe.encode(x or "") for x in part.column(1).to_pylist()]
+                columns = {
+                    "doc_id": part.column(0), "n_tokens": pa.array([len(x) for x in found], pa.int64()), "ids_sha256": pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in found]),
+                    "decoded_sha256": pa.array([hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in found]),
+                }
+                if keep_ids:
+                    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int32)))
+                yield pa.record_batch(columns)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(digested, f"doc_id {kind}, {fields}")
