@@ -7,7 +7,9 @@ tokens and all stretches but one at most are equal, which is at least 80 % of th
 and equal templates meet by a hash key in one aggregation. No pairs of lines are formed.
 
 A template is recurring if lines of several documents have it. Its lines stay in the document with the smallest
-doc_id among them and are dropped from all others. Lines of under MIN_TOKENS tokens have no template and stay.
+doc_id among them and are dropped from all others. A line of under MIN_TOKENS tokens has one template without an open
+stretch: its count and all its tokens (variable fields too, unless all of its tokens have digits: such a line is its own
+template). Lines without tokens have no template and stay.
 """
 
 from __future__ import annotations
@@ -37,8 +39,10 @@ def parsed(docs: DataFrame) -> DataFrame:
         lambda x: F.struct(x.rlike("[0-9]").alias("varies"), F.filter(F.split(x, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("t")),
     )
     rows = docs.select("doc_id", _row_hash().alias("row_hash"), F.posexplode_outer(tokens).alias("line_no", "line"))
-    rows = rows.filter(F.size("line.t") >= MIN_TOKENS).select("doc_id", "row_hash", "line_no", "line.varies", "line.t")
-    masked = F.when(F.col("varies"), F.transform("t", lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))).otherwise(F.col("t"))
+    rows = rows.filter(F.size("line.t") > 0).select("doc_id", "row_hash", "line_no", "line.varies", "line.t")
+    # in a short line of numbers alone nothing else would be left to tell lines apart
+    numbers = (F.size("t") < MIN_TOKENS) & F.forall("t", lambda w: w.rlike("[0-9]"))
+    masked = F.when(F.col("varies") & ~numbers, F.transform("t", lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))).otherwise(F.col("t"))
     rows = rows.select("doc_id", "row_hash", "line_no", F.size("t").alias("n"), masked.alias("t"))
 
     def stretch(k: int) -> Column:
@@ -59,7 +63,8 @@ def templates(lines: DataFrame) -> DataFrame:
     """id1, id2 of each distinct line of a recurring template with home, the smallest doc_id among its templates' documents."""
     line = ["n", "lead", *[f"s{k}" for k in range(FIELDS)]]
     distinct = lines.groupBy(line).agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"))
-    open_field = F.explode(F.sequence(F.lit(0), F.lit(FIELDS - 1))).alias("field")
+    # -1: no stretch is open
+    open_field = F.explode(F.when(F.col("n") >= MIN_TOKENS, F.sequence(F.lit(0), F.lit(FIELDS - 1))).otherwise(F.array(F.lit(-1)))).alias("field")
     # the template with stretch k open: the hash of the others, twice to have 128 bits
     with_key = distinct.select(*line, "home", "last", open_field)
     rest = [F.when(F.col("field") == k, F.lit(0)).otherwise(F.col(f"s{k}")) for k in range(FIELDS)]
