@@ -119,10 +119,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def rewrite(docs: DataFrame) -> DataFrame:
-    """docs with the text that is left (n_chars follows it); a document that lost lines and has none of MIN_TOKENS tokens left goes."""
+    """docs with the text that is left (n_chars follows it); a document that lost lines and has no word left goes."""
     # the columns travel in a struct, so that their names meet no others
     d = without_recurring(docs.select("doc_id", "text", F.struct("*").alias("whole")))
-    own = F.exists(F.split("kept_text", "\n"), lambda x: F.size(F.filter(F.split(x, r"[\x20\x09-\x0D]+"), lambda w: w != "")) >= MIN_TOKENS)
+    own = F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")
     d = d.filter((F.size("lost_lines") == 0) | own)
     changed = {"text": F.when(F.size("lost_lines") > 0, F.col("kept_text")).otherwise(F.col("text")).alias("text")}
     if "n_chars" in docs.columns:

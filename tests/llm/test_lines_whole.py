@@ -48,3 +48,11 @@ def test_documents_equal_brute_force(spark, documents, texts):
     want = {k: [i for i, line in enumerate((t or "").split("\n")) if any(first[key] < k for key in keys(line))] for k, t in texts.items()}
     assert any(len(line.split()) < lines.MIN_TOKENS for k, gone in want.items() for line in [texts[k].split("\n")[i] for i in gone])
     assert {x.doc_id: x.lost_lines for x in lines.without_recurring(documents).collect()} == want
+
+
+def test_documents_of_short_lines_stay(spark):
+    shared = "this line stands in many documents"
+    texts = {1: shared, 2: f"{shared}\na verse\nof short lines", 3: f"x = 1\n{shared}", 4: f"{shared}\n漢字の文章です", 5: f"{shared}\n \n\t", 6: "", 7: "a verse of one"}
+    got = {x.doc_id: (x.text, x.n_chars) for x in lines.rewrite(docs(spark, texts)).collect()}
+    want = {1: shared, 2: "a verse\nof short lines", 3: "x = 1", 4: "漢字の文章です", 6: "", 7: "a verse of one"}
+    assert got == {k: (t, len(t)) for k, t in want.items()}
