@@ -59,15 +59,16 @@ WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS te
 lines AS (
   SELECT r, doc_id, generate_subscripts(l, 1) AS line_no, unnest(l) AS line FROM (SELECT r, doc_id, string_split(text, chr(10)) AS l FROM docs)
 ), parsed AS (
-  SELECT r, doc_id, line_no,
-         list_transform(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> ''), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS t
-  FROM lines
+  SELECT r, doc_id, line_no, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS t FROM lines
 ), fit AS (
-  SELECT *, len(t) AS n FROM parsed WHERE len(t) >= 5
+  SELECT r, doc_id, line_no, len(t) AS n,
+         CASE WHEN len(t) < 5 AND len(list_filter(t, lambda w: NOT regexp_matches(w, '[0-9]'))) = 0 THEN t
+              ELSE list_transform(t, lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) END AS t
+  FROM parsed WHERE len(t) >= 1
 ), keyed AS (
   SELECT r, doc_id, line_no, n, t[1:3] AS lead, f,
          list_transform(range(0, 5), lambda k: CASE WHEN k = f THEN NULL ELSE array_to_string(t[(n * k // 5) + 1:(n * (k + 1) // 5)], ' ') END) AS template
-  FROM (SELECT *, unnest(range(0, 5)) AS f FROM fit)
+  FROM (SELECT *, unnest(CASE WHEN n >= 5 THEN range(0, 5) ELSE [-1] END) AS f FROM fit)
 ), homes AS (
   SELECT r, line_no, doc_id, min(doc_id) OVER (PARTITION BY n, lead, f, template) AS home FROM keyed
 ), lost AS (
@@ -107,26 +108,27 @@ SELECT doc_id, n_bytes, 'large-' || h, 0, 1, n_bytes, FALSE FROM keyed WHERE n_b
 ORACLE["op6_sharding"] = _sharding(64 << 20)
 ORACLE["sharding_64k"] = _sharding(64 << 10)
 
+#: Without the masks: what counts has 80 % of a window's words in place, so a run of this many words agrees (pigeonhole over the gaps).
 ORACLE["op10_decontamination"] = r"""
-WITH masks(mask, bits) AS (VALUES (0, '111010111'), (1, '110111101'), (2, '101111011')),
-docs AS (
+WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents
 ), items AS (
-  SELECT item_id, w FROM (
-    SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark
-  ) WHERE len(w) >= 10
-), test AS (
-  SELECT item_id, p, mask, list_transform(range(1, 10), lambda k: CASE WHEN bits[k] = '1' THEN w[p + k] END) AS seed
-  FROM (SELECT item_id, w, unnest(range(0, len(w) - 8)) AS p FROM items), masks
+  SELECT *, win - ((80 * win + 99) // 100) AS gaps FROM (
+    SELECT row_number() OVER () AS k, item_id, w, least(len(w), 20) AS win FROM (
+      SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark
+    ) WHERE len(w) >= 1
+  )
+), runs AS (SELECT k, w, ((win) // (gaps + 1))::BIGINT AS g FROM items),
+test AS (
+  SELECT k, g, p, array_to_string(w[p + 1:p + g], ' ') AS run FROM (SELECT k, w, g, unnest(range(0, len(w) - g + 1)) AS p FROM runs)
 ), train AS (
-  SELECT r, p, mask, list_transform(range(1, 10), lambda k: CASE WHEN bits[k] = '1' THEN w[p + k] END) AS seed
-  FROM (SELECT r, w, unnest(range(0, len(w) - 8, 2)) AS p FROM docs WHERE len(w) >= 9), masks
+  SELECT r, g, p, array_to_string(w[p + 1:p + g], ' ') AS run
+  FROM (SELECT r, w, g, unnest(range(0, len(w) - g + 1)) AS p FROM docs, (SELECT DISTINCT g FROM runs) WHERE len(w) >= g)
 ), hits AS (
-  SELECT DISTINCT r, item_id, train.p - test.p AS o FROM train JOIN test USING (mask, seed)
+  SELECT DISTINCT r, k, train.p - test.p AS o FROM train JOIN test USING (g, run)
 ), same AS (
-  SELECT doc_id, h.item_id, o, least(len(i.w), 20) AS win,
-         list_transform(range(1, len(i.w) + 1), lambda p: CASE WHEN p + o >= 1 AND d.w[p + o] = i.w[p] THEN 1 ELSE 0 END) AS s
-  FROM hits h JOIN docs d USING (r) JOIN items i ON i.item_id = h.item_id
+  SELECT doc_id, i.item_id, win, list_transform(range(1, len(i.w) + 1), lambda p: CASE WHEN p + o >= 1 AND d.w[p + o] = i.w[p] THEN 1 ELSE 0 END) AS s
+  FROM hits h JOIN docs d USING (r) JOIN items i USING (k)
 ), scored AS (
   SELECT doc_id, item_id, win, list_sum(s) AS agreeing, list_max(list_transform(range(0, len(s) - win + 1), lambda k: list_sum(s[k + 1:k + win]))) AS best FROM same
 )

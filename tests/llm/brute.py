@@ -8,12 +8,15 @@ from skerry.llm import lines
 
 def template_keys(line):
     t = [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
-    if len(t) < lines.MIN_TOKENS:
+    varies = [bool(re.search("[0-9]", w)) for w in t]
+    short = len(t) < lines.MIN_TOKENS
+    if not t:
         return []
-    t = ["<*>" if re.search("[0-9]", w) else w for w in t]
+    if not (short and all(varies)):
+        t = ["<*>" if v else w for v, w in zip(varies, t)]
     n, f = len(t), lines.FIELDS
     parts = [tuple(t[n * k // f : n * (k + 1) // f]) for k in range(f)]
-    return [(n, tuple(t[: lines.LEAD]), k, tuple(p for i, p in enumerate(parts) if i != k)) for k in range(f)]
+    return [(n, tuple(t[: lines.LEAD]), k, tuple(p for i, p in enumerate(parts) if i != k)) for k in ([-1] if short else range(f))]
 
 
 def lines_dropped(texts):
@@ -34,6 +37,6 @@ def lines_rewritten(texts):
         kept = [x for i, x in enumerate(rows) if i not in set(gone)]
         if not gone:
             out[k] = texts[k]
-        elif any(template_keys(x) for x in kept):
+        elif any(re.search(r"[^\x20\x09-\x0D]", x) for x in kept):
             out[k] = "\n".join(kept)
     return out

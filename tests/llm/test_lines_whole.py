@@ -1,7 +1,5 @@
 """Line dedup reaches lines of any length."""
 
-import re
-
 from skerry.llm import lines
 from tests.llm import brute
 from tests.llm.conftest import SCHEMA
@@ -30,22 +28,13 @@ def test_every_short_length(spark):
         assert got == {0: 0, 1: 1, 2: 1}
 
 
-def keys(line):
-    """Templates of a line of any length; from MIN_TOKENS on those of the plain version."""
-    t = [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
-    if not 0 < len(t) < lines.MIN_TOKENS:
-        return brute.template_keys(line)
-    varies = [bool(re.search("[0-9]", w)) for w in t]
-    return [tuple(t) if all(varies) else tuple("<*>" if v else w for v, w in zip(varies, t))]
-
-
 def test_documents_equal_brute_force(spark, documents, texts):
     first = {}
     for k in sorted(texts):
         for line in (texts[k] or "").split("\n"):
-            for key in keys(line):
+            for key in brute.template_keys(line):
                 first.setdefault(key, k)
-    want = {k: [i for i, line in enumerate((t or "").split("\n")) if any(first[key] < k for key in keys(line))] for k, t in texts.items()}
+    want = {k: [i for i, line in enumerate((t or "").split("\n")) if any(first[key] < k for key in brute.template_keys(line))] for k, t in texts.items()}
     assert any(len(line.split()) < lines.MIN_TOKENS for k, gone in want.items() for line in [texts[k].split("\n")[i] for i in gone])
     assert {x.doc_id: x.lost_lines for x in lines.without_recurring(documents).collect()} == want
 
