@@ -12,12 +12,20 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
+#: Spark removes the shuffle files of an execution when it ends, instead of when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one set on the context.
+
+    Without either it is an error: a folder of one machine would lose what other machines write.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is unset: it must name a folder that the driver and all executors share")
+        # one process: all tasks see the driver's folder
         found = "file://" + tempfile.mkdtemp(prefix="skerry-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -32,9 +40,15 @@ class Scratch:
         self.count = 0
 
     def put(self, df: DataFrame) -> DataFrame:
+        """df as written to the shared folder and reread; nothing of its shuffles is left on disk."""
         self.count += 1
         path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(SHUFFLE_CLEANUP, "false")
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._skerry_path = path
         return out

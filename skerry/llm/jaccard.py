@@ -5,12 +5,15 @@ order of tokens. Candidates must share one under each of three orders. Order 1 p
 common ones at the very end, and goes by hash otherwise; orders 2 and 3 go by other hashes. Steps:
 
 1. One pass hashes every text's shingles; equal sets (copies) become one representative, the smallest doc_id.
-2. Stars: representatives that share several of their first tokens with the smallest one of a token's documents are
-   verified against it. This merges groups of near copies, whatever their size, by as many pairs as members; it may miss links.
-3. Filters, complete: tokens of the order-1 prefixes that occur in several components give the candidates across
-   components, by size and by the token's place; orders 2 and 3 thin them out; both whole texts verify what is left.
-   Links inside a component change nothing and are not looked for.
-4. Components of the links of 2 and 3; every document gets its component's smallest doc_id.
+2. Order 1: of the representatives' prefixes only tokens that several of them have are kept (counted before they are
+   joined back, so a token of very many documents is summed early and its rows are split over tasks).
+3. Stars: representatives that share much of their prefix with the smallest or largest one of a token's documents are
+   candidates. This merges groups of near copies, whatever their size, by a few pairs a member; it may miss links.
+4. All others: tokens of several components give the candidates across components, by the sizes and the token's places.
+   Links inside a component change nothing, so pairs inside one are never formed.
+5. Candidates of 3 and 4 go through orders 2 and 3, whose prefixes are computed for documents with candidates only;
+   whole texts verify what is left.
+6. Components of the links; every document gets its component's smallest doc_id.
 
 Any order gives the same result, so the list of common tokens may be bounded: it only keeps passages that many
 documents share from meeting in the prefixes.
@@ -21,11 +24,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skerry.llm.common import Scratch, checked_broadcast
 from skerry.llm.components import connected
@@ -33,7 +34,8 @@ from skerry.llm.components import connected
 WIDTH = 5
 #: A token counts as common from so many documents on (counted where a batch has it HEAVY_LOCAL times or more); the most common ones are listed.
 HEAVY, HEAVY_LOCAL, HEAVY_LISTED = 16, 3, 100_000
-STAR_TOKENS, STAR_SHARED = 4, 2
+#: A star takes representatives that share one of so many of their prefix tokens with its middle.
+STAR_SHARE = 4
 #: Words hashed at a time, so a text of any length takes bounded memory.
 CHUNK_WORDS = 200_000
 
@@ -113,18 +115,19 @@ def common_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found[by_hash], (len(found) - by_hash).astype(np.int32)
 
 
+def _lists(values: list[np.ndarray], kind: type, arrow: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*values, np.empty(0, kind)]).astype(kind), arrow))
+
+
 def signatures(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, n, s1, s2 (hashes of the set), p1 (order-1 prefix), p2, p3 (32 bits of each token of the prefixes in orders 2 and 3)."""
+    """doc_id, n, s1, s2 (hashes of the set), p1 (order-1 prefix; of a token 48 bits, as equal tokens only have to stay equal)."""
     sent = docs.sparkSession.sparkContext.broadcast(common)
 
-    def lists(values: list[np.ndarray], kind: type, arrow: pa.DataType) -> pa.ListArray:
-        ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*values, np.empty(0, kind)]).astype(kind), arrow))
-
     def signed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, place = sent.value
         for frame in _batches(frames):
-            n, s1, s2, p1, p2, p3 = [], [], [], [], [], []
+            n, s1, s2, p1 = [], [], [], []
             for text in frame.column(1).to_pylist():
                 s = shingles(text)
                 k = prefix_length(len(s)) if len(s) else 0
@@ -137,58 +140,97 @@ def signatures(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFr
                     is_hot = hot[at] == s
                     if is_hot.any():
                         first = np.concatenate((s[~is_hot], s[is_hot][np.argsort(place[at[is_hot]])]))
-                p1.append(first[:k].view(np.int64))
+                p1.append((first[:k] & np.uint64((1 << 48) - 1)).view(np.int64))
+            yield pa.record_batch(
+                {"doc_id": frame.column(0), "n": pa.array(n, pa.int64()), "s1": pa.array(s1, pa.int64()), "s2": pa.array(s2, pa.int64()), "p1": _lists(p1, np.int64, pa.int64())}
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(signed, "doc_id long, n long, s1 long, s2 long, p1 array<long>")
+
+
+def other_prefixes(texts: DataFrame) -> DataFrame:
+    """texts(id, text: binary) -> id, p2, p3: 32 bits of each token of the prefixes under orders 2 and 3."""
+
+    def listed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in _batches(frames):
+            p2, p3 = [], []
+            for text in frame.column(1).to_pylist():
+                s = shingles(text)
+                k = prefix_length(len(s)) if len(s) else 0
                 for p, seed in ((p2, 3), (p3, 4)):
                     least = np.argpartition(mixed(s, seed), k - 1)[:k] if k else np.empty(0, dtype=np.int64)
                     p.append(s[least].astype(np.uint32).view(np.int32))
-            yield pa.record_batch(
-                {
-                    "doc_id": frame.column(0), "n": pa.array(n, pa.int64()), "s1": pa.array(s1, pa.int64()), "s2": pa.array(s2, pa.int64()),
-                    "p1": lists(p1, np.int64, pa.int64()), "p2": lists(p2, np.int32, pa.int32()), "p3": lists(p3, np.int32, pa.int32()),
-                }
-            )
+            yield pa.record_batch({"id": frame.column(0), "p2": _lists(p2, np.int32, pa.int32()), "p3": _lists(p3, np.int32, pa.int32())})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(signed, "doc_id long, n long, s1 long, s2 long, p1 array<long>, p2 array<int>, p3 array<int>")
+    return texts.select("id", "text").mapInArrow(listed, "id long, p2 array<int>, p3 array<int>")
 
 
-@F.pandas_udf(T.BooleanType())
-def _linked(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Whether 100 * intersection >= 80 * union for two whole texts."""
-    for left, right in batches:
-        out, before, of_before = [], None, None
-        for a, b in zip(left, right):
+def _linked(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (a, b, left, right: texts) the a and b where 100 * intersection >= 80 * union."""
+    before, of_before = None, None
+    for frame in _batches(frames, 100):
+        keep = []
+        for a, b in zip(frame.column(2).to_pylist(), frame.column(3).to_pylist()):
             if a != before:
                 before, of_before = a, shingles(a)
             other = shingles(b)
             both = len(np.intersect1d(of_before, other, assume_unique=True))
-            out.append(both > 0 and 100 * both >= 80 * (len(of_before) + len(other) - both))
-        yield pd.Series(out, dtype=bool)
+            keep.append(both > 0 and 100 * both >= 80 * (len(of_before) + len(other) - both))
+        yield frame.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs(a, b) whose texts are linked. Only texts of a pair are moved, once per pair."""
+    """The candidates (a, b) that pass orders 2 and 3 and whose texts are linked. Only texts of candidates are moved, once per pair."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    texts = scratch.put(texts.join(checked_broadcast(ids), "id", "left_semi").dropDuplicates(["id"]))
-    d = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
+    # a document with several texts is linked if one of them is
+    texts = scratch.put(texts.join(checked_broadcast(ids), "id", "left_semi"))
+    others = scratch.put(other_prefixes(texts))
+    both = pairs.join(others.select(F.col("id").alias("a"), F.col("p2").alias("p2_a"), F.col("p3").alias("p3_a")), "a")
+    both = both.join(others.select(F.col("id").alias("b"), F.col("p2").alias("p2_b"), F.col("p3").alias("p3_b")), "b")
+    both = scratch.put(both.filter(F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b").distinct())
+    d = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
     d = d.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
-    found = scratch.put(d.filter(_linked("left", "right")).select("a", "b"))
-    scratch.drop(texts)
+    found = scratch.put(d.select("a", "b", "left", "right").mapInArrow(_linked, "a long, b long").distinct())
+    scratch.drop(texts, others, both)
     return found
 
 
-def _sizes_fit() -> Column:
-    return 5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")
-
-
-def _stars(reps: DataFrame, tokens: Column) -> DataFrame:
-    """a, b: each representative with the smallest one that shares one of its tokens, if they share STAR_SHARED such tokens."""
-    rows = reps.select("id", "n", F.explode(tokens).alias("token"))
-    hubs = rows.groupBy("token").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("docs")).filter("docs > 1")
-    pairs = rows.join(hubs.select("token", "a"), "token").filter("a <> id").groupBy("a", F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n_b"))
-    pairs = pairs.filter(F.col("shared") >= STAR_SHARED)
-    return pairs.join(reps.select(F.col("id").alias("a"), F.col("n").alias("n_a")), "a").filter(_sizes_fit()).select("a", "b")
+def _fits(n_a: str, n_b: str, most_a: str, most_b: str) -> Column:
+    """What sizes and places allow: most is how many tokens of a set stand from the shared one on, so this many may be common at most."""
+    a, b = F.col(n_a), F.col(n_b)
+    return (5 * F.least(a, b) >= 4 * F.greatest(a, b)) & (9 * F.least(most_a, most_b) >= 4 * (a + b))
+
+
+def _stars(shared: DataFrame) -> DataFrame:
+    """a, b: each representative with the smallest or largest one of a token's, where they share enough tokens in that way."""
+    one = F.struct("id", "n", "most")
+    hubs = shared.groupBy("token").agg(F.array(F.min(one), F.max(one)).alias("hubs")).select("token", F.explode("hubs").alias("hub"))
+    rows = shared.join(hubs, "token").select(F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.most").alias("most_a"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"))
+    pairs = rows.filter((F.col("a") != F.col("b")) & _fits("n_a", "n_b", "most_a", "most_b"))
+    pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("tokens"), F.min("n_b").alias("n"))
+    # prefixes hold about a fifth of a set
+    return pairs.filter(5 * STAR_SHARE * F.col("tokens") >= F.col("n")).select("a", "b")
+
+
+def _across(shared: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """a, b: all pairs of representatives of different components that share a token and whose sizes and places fit."""
+    rows = shared.join(checked_broadcast(roots), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    live = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
+    rows = scratch.put(rows.join(live, "token").select("token", "root", "id", "n", "most"))
+    # which components meet at a token, then their members: no pair inside a component is made
+    parts = scratch.put(rows.groupBy("token", "root").agg(F.min("n").alias("n"), F.max("n").alias("n_max"), F.max("most").alias("most")))
+    left = parts.select("token", *[F.col(c).alias(f"{c}_a") for c in ("root", "n", "n_max", "most")])
+    right = parts.select("token", *[F.col(c).alias(f"{c}_b") for c in ("root", "n", "n_max", "most")])
+    fit = (5 * F.col("n_max_b") >= 4 * F.col("n_a")) & (5 * F.col("n_max_a") >= 4 * F.col("n_b")) & (9 * F.least("most_a", "most_b") >= 4 * (F.col("n_a") + F.col("n_b")))
+    meet = left.join(right, "token").filter((F.col("root_a") < F.col("root_b")) & fit).select("token", "root_a", "root_b")
+    of_a = rows.select("token", F.col("root").alias("root_a"), F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("most").alias("most_a"))
+    of_b = rows.select("token", F.col("root").alias("root_b"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"))
+    pairs = meet.join(of_a, ["token", "root_a"]).join(of_b, ["token", "root_b"]).filter(_fits("n_a", "n_b", "most_a", "most_b"))
+    pairs = scratch.put(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    scratch.drop(rows, parts)
+    return pairs
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -203,46 +245,37 @@ def components(docs: DataFrame) -> DataFrame:
     signed = scratch.put(signatures(docs, common_tokens(docs)))
     sets = signed.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     sets = scratch.put(sets.filter(F.col("id").isNotNull()))
-    # the rows of the representatives: one per set
-    of_sets = sets.select("id", F.col("n").alias("n_"), F.col("s1").alias("s1_"), F.col("s2").alias("s2_"))
-    reps = signed.filter("n > 0").join(of_sets, F.col("doc_id") == F.col("id")).filter("n = n_ AND s1 = s1_ AND s2 = s2_")
-    reps = reps.select("id", "n", "p1", F.slice("p2", 1, STAR_TOKENS).alias("t2"))
-
-    stars = _stars(reps, F.slice("p1", 1, STAR_TOKENS)).unionByName(_stars(reps, F.col("t2"))).distinct()
-    links = verified(scratch.put(stars), docs, scratch)
-    roots = connected(links, scratch)
-
-    rows = reps.select("id", "p1").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    tokens = rows.select("id", "root", F.posexplode("p1").alias("place", "token"))
-    # the prefixes are shuffled once: a token's rows stand together, and stay where they are of several components
-    of_token = Window.partitionBy("token")
-    tokens = tokens.withColumns({"lo": F.min("root").over(of_token), "hi": F.max("root").over(of_token)})
-    shared = tokens.filter("lo < hi").drop("lo", "hi")
-    shared = scratch.put(scratch.put(shared).join(reps.select("id", "n"), "id"))
-    left = shared.select("token", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"))
-    right = shared.select("token", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"))
-    # at the first token that a pair shares, this many may still be common at most
-    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    pairs = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _sizes_fit() & (9 * most >= 4 * (F.col("n_a") + F.col("n_b"))))
-    pairs = scratch.put(pairs.select("a", "b").distinct())
-
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    others = scratch.put(signed.select("doc_id", "p2", "p3").join(checked_broadcast(ids), "doc_id", "left_semi"))
-    both = pairs.join(others.select(F.col("doc_id").alias("a"), F.col("p2").alias("p2_a"), F.col("p3").alias("p3_a")), "a")
-    both = both.join(others.select(F.col("doc_id").alias("b"), F.col("p2").alias("p2_b"), F.col("p3").alias("p3_b")), "b")
-    both = both.filter(F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b").distinct()
-    more = verified(scratch.put(both), docs, scratch)
+    # representatives: one row of each set; only sets with copies need a look-up
+    copied = checked_broadcast(sets.filter("copies > 1").select("n", "s1", "s2", "id"))
+    reps = signed.filter("n > 0 AND doc_id IS NOT NULL").join(copied, ["n", "s1", "s2"], "left").filter("id IS NULL OR id = doc_id")
+    tokens = reps.select(F.col("doc_id").alias("id"), "n", F.posexplode("p1").alias("place", "token"))
+    tokens = tokens.select("token", "id", F.col("n").cast("int").alias("n"), (F.col("n") - F.col("place")).cast("int").alias("most"))
+    several = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("token")
+    shared = scratch.put(tokens.join(several, "token"))
+    slim = scratch.put(signed.select("doc_id", "n", "s1", "s2"))
+    scratch.drop(signed)
+
+    roots = connected(verified(scratch.put(_stars(shared)), docs, scratch), scratch)
+    links = verified(_across(shared, roots, scratch), docs, scratch)
     # stars stand for the links that they merged
-    roots = connected(more.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))), scratch)
+    links = links.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))).unionByName(_same_document(slim, sets))
+    roots = connected(links, scratch)
 
     # sets with copies or links; all other documents are their own component
     groups = sets.join(roots, "id", "left").filter("copies > 1 OR root IS NOT NULL")
     groups = scratch.put(groups.select("n", "s1", "s2", F.coalesce("root", "id").alias("component_id")))
-    out = signed.select("doc_id", "n", "s1", "s2").join(checked_broadcast(groups), ["n", "s1", "s2"], "left")
-    # a document with several texts is in one component: its id's
+    out = slim.join(checked_broadcast(groups), ["n", "s1", "s2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _same_document(slim: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: representatives of the sets of one doc_id that has several texts."""
+    rows = slim.filter("n > 0 AND doc_id IS NOT NULL")
+    several = rows.groupBy("doc_id").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).filter("lo < hi").select("doc_id")
+    ids = rows.join(several, "doc_id").join(sets.select("n", "s1", "s2", "id"), ["n", "s1", "s2"]).select("doc_id", "id").distinct()
+    return ids.join(ids.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").filter("a <> id").select("a", F.col("id").alias("b"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one document of each component, the one with the smallest doc_id; rows with a null doc_id and equal rows stay."""
     from skerry.llm.common import without_ids
