@@ -27,30 +27,39 @@ WITH docs AS (
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM split s LEFT JOIN repeated USING (r)
 ), judged AS (
-  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-         n_symbols::DOUBLE / greatest(n_words, 1) AS symbols, n_dup_lines::DOUBLE / greatest(n_words, 1) AS dup_lines,
-         n_repeat_words::DOUBLE / greatest(n_words, 1) AS repeats, word_chars::DOUBLE / greatest(n_words, 1) AS wlen
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, word_chars::DOUBLE / greatest(n_words, 1) AS wlen,
+         ln((n_symbols + 1)::DOUBLE / (n_words + 1)) AS symbols, ln((n_dup_lines + 1)::DOUBLE / (len(lines) + 1)) AS dup_lines,
+         ln((n_repeat_words + 1)::DOUBLE / (n_words + 1)) AS repeats
   FROM counted
+), long AS (
+  SELECT lang, source, unnest(['s', 'l', 'p', 'c']) AS metric, unnest([symbols, dup_lines, repeats, ln(greatest(wlen, 1e-9))]) AS v FROM judged WHERE NOT base_failed
 ), grouped AS (
-  SELECT lang, source, GROUPING(lang, source) AS level, count(*) AS size, list_sort(list(symbols)) AS s, list_sort(list(dup_lines)) AS l,
-         list_sort(list(repeats)) AS p, list_sort(list(wlen)) AS c
-  FROM judged WHERE NOT base_failed GROUP BY ROLLUP (lang, source)
-), ranks AS (
-  SELECT *, ceil(0.1::DOUBLE * size)::INT AS lo, ceil(0.5::DOUBLE * size)::INT AS mid FROM grouped
+  SELECT metric, lang, source, GROUPING(metric, lang, source) AS level, count(*)::DOUBLE AS size, list_sort(list(v)) AS v FROM long
+  GROUP BY GROUPING SETS ((metric, lang, source), (metric, lang), (metric))
+), quartiles AS (
+  SELECT metric, lang, source, level, size, v[ceil(0.25::DOUBLE * size)::INT] AS lo, v[ceil(0.75::DOUBLE * size)::INT] AS hi FROM grouped
+), fixed(metric, reach, smallest) AS (
+  VALUES ('s', 2.0::DOUBLE, ln(3.0::DOUBLE)), ('l', 3.0::DOUBLE, ln(3.0::DOUBLE)), ('p', 3.0::DOUBLE, ln(3.0::DOUBLE)), ('c', 6.0::DOUBLE, 0.04::DOUBLE)
+), languages AS (
+  SELECT x.metric, x.lang, (x.lo * x.size + a.lo * 20) / (x.size + 20) AS lo, (x.hi * x.size + a.hi * 20) / (x.size + 20) AS hi
+  FROM quartiles x JOIN quartiles a ON x.metric = a.metric AND x.level = 1 AND a.level = 3
+), groups AS (
+  SELECT x.metric, x.lang, x.source, (x.lo * x.size + a.lo * 20) / (x.size + 20) AS lo, (x.hi * x.size + a.hi * 20) / (x.size + 20) AS hi, a.lo AS lang_lo, a.hi AS lang_hi
+  FROM quartiles x JOIN languages a ON x.metric = a.metric AND x.lang IS NOT DISTINCT FROM a.lang AND x.level = 0
 ), bounds AS (
-  SELECT lang, source, level, size,
-         {'s': s[mid] + 6.0::DOUBLE * (s[mid] - s[lo]) + 0.2::DOUBLE, 'l': l[mid] + 6.0::DOUBLE * (l[mid] - l[lo]) + 0.4::DOUBLE,
-          'p': p[mid] + 6.0::DOUBLE * (p[mid] - p[lo]) + 0.3::DOUBLE, 'c': c[mid] + (6.0::DOUBLE * (c[mid] - c[lo]) + 1.5::DOUBLE),
-          'd': c[mid] - (6.0::DOUBLE * (c[mid] - c[lo]) + 1.5::DOUBLE)} AS cut
-  FROM ranks
+  SELECT lang, source, max(most) FILTER (metric = 's') AS s, max(most) FILTER (metric = 'l') AS l, max(most) FILTER (metric = 'p') AS p,
+         max(most) FILTER (metric = 'c') AS c, max(least) FILTER (metric = 'c') AS d
+  FROM (
+    SELECT *, exp(least(hi + reach * greatest(hi - lo, smallest), lang_hi + (reach + 1) * greatest(lang_hi - lang_lo, smallest))) AS most,
+           exp(lo - reach * greatest(hi - lo, smallest)) AS least
+    FROM groups JOIN fixed USING (metric)
+  ) GROUP BY lang, source
 ), joined AS (
-  SELECT j.*, coalesce(a.cut, b.cut, (SELECT cut FROM bounds WHERE level = 3)) AS cut
-  FROM judged j
-  LEFT JOIN (SELECT * FROM bounds WHERE level = 0 AND size >= 20) a ON j.lang IS NOT DISTINCT FROM a.lang AND j.source IS NOT DISTINCT FROM a.source
-  LEFT JOIN (SELECT * FROM bounds WHERE level = 1 AND size >= 20) b ON j.lang IS NOT DISTINCT FROM b.lang
+  SELECT j.*, b.s, b.l, b.p, b.c, b.d FROM judged j LEFT JOIN bounds b ON j.lang IS NOT DISTINCT FROM b.lang AND j.source IS NOT DISTINCT FROM b.source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT coalesce(symbols > cut.s OR dup_lines > cut.l OR repeats > cut.p OR wlen > cut.c OR wlen < cut.d, FALSE) AS kept
+       NOT base_failed AND NOT coalesce((n_symbols - 2 * sqrt(n_symbols)) / greatest(n_words, 1) > s OR (n_dup_lines - 2 * sqrt(n_dup_lines)) / greatest(len(lines), 1) > l
+         OR (n_repeat_words - 2 * sqrt(n_repeat_words)) / greatest(n_words, 1) > p OR wlen > c OR wlen < d, FALSE) AS kept
 FROM joined
 """
 

@@ -50,6 +50,31 @@ def test_repeated_words_by_hand(spark):
     assert got[4].n_dup_lines == 2 and got[4].n_words == 7 and got[4].word_chars == 7
 
 
+def test_bounds_adapt(spark):
+    """Two sources with different symbol rates get different bounds, and what is kept differs from any fixed cut-off."""
+    r = random.Random(3)
+
+    def text(rate):
+        return " ".join(w + ("#" if r.random() < rate else "") for w in words(r, 200).split(" "))
+
+    rows = [(i, text(0.01 + 0.02 * r.random()), "en", "web", 0) for i in range(150)] + [(300 + i, text(0.1 + 0.1 * r.random()), "en", "forum", 0) for i in range(150)]
+    rows += [(900, text(0.45), "en", "web", 0), (901, text(0.45), "en", "forum", 0)]
+    d = spark.createDataFrame(rows, SCHEMA)
+    found = {x.source: x.max_symbols for x in quality.thresholds(quality.counts(d)).collect()}
+    assert found["forum"] > 2 * found["web"]
+    kept = {x.doc_id: x.kept for x in quality.judge(d).collect()}
+    assert all(k for i, k in kept.items() if i < 900) and not kept[900] and kept[901]
+
+
+def test_junk_does_not_lift_its_bound(spark):
+    """A source that is mostly junk is held by its language's bound."""
+    r = random.Random(4)
+    junk = lambda: " ".join(w + "$$%" for w in words(r, 100).split(" "))
+    rows = [(i, words(r, r.randint(60, 400)), "en", f"s{i % 8}", 0) for i in range(800)] + [(1000 + i, junk(), "en", "bad", 0) for i in range(90)] + [(2000 + i, words(r, 90), "en", "bad", 0) for i in range(40)]
+    kept = {x.doc_id: x.kept for x in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(kept[i] for i in kept if i < 1000 or i >= 2000) and not any(kept[i] for i in kept if 1000 <= i < 2000)
+
+
 def test_small_groups_take_the_languages_bounds(spark):
     r = random.Random(2)
     rows = [(i, words(r, 80), "en", f"s{i}", 0) for i in range(60)] + [(900, " # ".join(words(r, 1) for _ in range(60)), "en", "s900", 0)]
