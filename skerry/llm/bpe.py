@@ -3,18 +3,21 @@
 For a word of atoms a1..an let e(i) be the last token of the encoding of a1..ai. That token is unique, and the
 encoding of a prefix is the encoding of a shorter prefix plus one token: t is e(i) exactly if t is a suffix of
 a1..ai, t is the encoding of its own string, and (e(i - |t|), t) is a compatible pair, i.e. a pair that merging
-leaves as it is. So one pass over the word, which asks a suffix automaton of the vocabulary for the tokens that end
-at i, fills e(1..n), and the ids follow from the back-pointers. The tokenizer file gives vocabulary and merges;
-nothing is trained.
+leaves as it is. So one pass over the word, which asks an automaton for the tokens that end at i (suffixes of the
+prefix), fills e(1..n), and the ids follow from the back-pointers. The automaton is the Aho-Corasick one of the
+vocabulary: its suffix links list the same matches as a suffix automaton walked along the word, in a few MB instead of
+one node for each substring of the vocabulary. The tokenizer file gives vocabulary and merges; nothing is trained.
 """
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +27,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: What a worker keeps: ids of words and of chunks between white space, two generations of so many each, and tested pairs.
-KEPT_WORDS, KEPT_CHUNKS, KEPT_PAIRS = 75_000, 150_000, 300_000
+#: What a task keeps until it ends: ids of words and of chunks between white space, two generations of so many (64 bytes long at most), and tested pairs.
+KEPT, KEPT_PAIRS = 120_000, 150_000
 #: Texts encoded at a time, so that a worker holds the ids of few.
 ROWS = 256
-#: White space as the tokenizer's patterns have it (Unicode White_Space).
-SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_alphabet() -> list[str]:
@@ -39,18 +40,32 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(rest)) for b in range(256)]
 
 
-@functools.cache
-def category_ranges(kind: str) -> str:
-    """The characters of a general category (its first letter) as ranges for a pattern.
-
-    They come from Python's tables, whose Unicode version is the one that the tokenizers library splits by.
-    """
-    found = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == kind]
+def _ranges(found: list[int]) -> str:
+    """Sorted code points as ranges for a pattern."""
     starts = [c for c, before in zip(found, [-2, *found]) if c != before + 1]
     ends = [c for c, after in zip(found, [*found[1:], -2]) if c + 1 != after]
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
 
 
+@functools.cache
+def classes() -> dict[str, str]:
+    """The letters, numbers and white space of the tokenizers library as ranges for a pattern, asked of its own splitter.
+
+    Its Unicode tables are newer than Python's, so Python's categories would part words elsewhere. ``newer`` has the
+    code points that Python doesn't know yet: texts with them are normalised by the library too.
+    """
+    from tokenizers import Regex
+    from tokenizers.pre_tokenizers import Split
+
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    whole = "".join(map(chr, points))
+    out = {}
+    for name, pattern in (("letter", r"\p{L}"), ("number", r"\p{N}"), ("space", r"\s")):
+        runs = Split(Regex(pattern + "+"), behavior="removed", invert=True).pre_tokenize_str(whole)
+        out[name] = _ranges([points[k] for _, (a, b) in runs for k in range(a, b)])
+    return out | {"newer": _ranges([c for c in points if unicodedata.category(chr(c)) == "Cn"])}
+
+
 class Kept:
     """A bounded memory: when the young entries are too many they become the old ones; what is used again stays."""
 
@@ -66,6 +81,10 @@ class Kept:
             self.put(key, known)
         return known
 
+    def clear(self) -> None:
+        self.young.clear()
+        self.old.clear()
+
     def put(self, key: str, value) -> None:
         if len(self.young) >= self.size:
             self.old = dict(self.young)
@@ -79,7 +98,8 @@ class PrefixBpe:
     A word is a string of atoms: chr(b) for byte b, chr(256 + b) for byte b at the word's end.
     """
 
-    def __init__(self, source: str | bytes):
+    def __init__(self, source: str | bytes, known: dict[str, str] | None = None):
+        """known: the result of classes(), where it is at hand."""
         spec = json.loads(source)
         model = spec["model"]
         end = model["end_of_word_suffix"]
@@ -104,11 +124,15 @@ class PrefixBpe:
         self.split_at: dict[str, tuple[str, str] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.wholes: dict[str, bool] = {}
-        self.words, self.chunks = Kept(KEPT_WORDS), Kept(KEPT_CHUNKS)
+        self.known = Kept(KEPT)
         self._automaton()
-        letter, number = category_ranges("L"), category_ranges("N")
-        self._regex = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{SPACE}{letter}{number}]+")
-        self._space = re.compile(f"[{SPACE}]+")
+        letter, number, space, newer = ((known or classes())[k] for k in ("letter", "number", "space", "newer"))
+        self._regex = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+")
+        self._space = re.compile(f"[{space}]+")
+        self._newer = np.zeros(0x110000, dtype=bool)
+        for first, last in re.findall(r"\\U(\w{8})-\\U(\w{8})", newer):
+            self._newer[int(first, 16) : int(last, 16) + 1] = True
+        self._source = source
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def _automaton(self) -> None:
@@ -201,34 +225,54 @@ class PrefixBpe:
             i -= len(last[i])
         return out[::-1]
 
+    def forget(self) -> None:
+        """Frees what encoding has kept; the vocabulary stays."""
+        self.known.clear()
+        self.pairs.clear()
+
+    def _word_ids(self, word: str) -> bytes:
+        raw = word.encode("utf-8")
+        return array("I", self.encode_word(raw[:-1].decode("latin-1") + chr(256 + raw[-1]))).tobytes()
+
     def chunk_ids(self, chunk: str) -> bytes:
         """Ids of a normalised text without white space; words never reach over white space, so chunks stand alone."""
-        ids = self.chunks.find(chunk)
+        ids = self.known.find(chunk)
         if ids is not None:
             return ids
         parts = []
         for word in self._regex.findall(chunk):
-            known = self.words.find(word)
-            if known is None:
-                raw = word.encode("utf-8")
-                known = self.encode_word(raw[:-1].decode("latin-1") + chr(256 + raw[-1]))
-                if len(raw) <= 64:
-                    self.words.put(word, known)
-            parts += known
-        ids = np.asarray(parts, dtype="<u4").tobytes()
+            ids = self.known.find(word)
+            if ids is None:
+                ids = self._word_ids(word)
+                if len(word) <= 64:
+                    self.known.put(word, ids)
+            parts.append(ids)
+        if len(parts) == 1:
+            return parts[0]
+        ids = b"".join(parts)
         if len(chunk) <= 64:
-            self.chunks.put(chunk, ids)
+            self.known.put(chunk, ids)
         return ids
 
+    @functools.cached_property
+    def _library(self):
+        from tokenizers import Tokenizer
+
+        source = self._source
+        return Tokenizer.from_str(source if isinstance(source, str) else source.decode()).normalizer
+
     def normal(self, text: str) -> str:
         """NFC, white space runs to a space, lower case character by character."""
-        text = self._space.sub(" ", text if text.isascii() else unicodedata.normalize("NFC", text))
-        return text.replace("Σ", "σ").lower()
+        if not text.isascii():
+            if self._newer[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")].any():
+                return self._library.normalize_str(text)
+            text = unicodedata.normalize("NFC", text)
+        return self._space.sub(" ", text).replace("Σ", "σ").lower()
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text as unsigned 32-bit integers; strings of special tokens in it become their ids."""
         out: list[bytes] = []
-        chunks, chunk_ids = self.chunks.young, self.chunk_ids
+        chunks, chunk_ids = self.known.young, self.chunk_ids
         for part in self._special.split(text) if self._special and "<|" in text else (text,):
             if part in self.special:
                 out.append(np.asarray([self.special[part]], dtype="<u4").tobytes())
@@ -244,14 +288,25 @@ class PrefixBpe:
 
 
 @functools.lru_cache(maxsize=2)
-def _loaded(source: bytes) -> PrefixBpe:
-    return PrefixBpe(source)
+def _made(source: bytes, letter: str, number: str, space: str, newer: str) -> PrefixBpe:
+    return PrefixBpe(source, {"letter": letter, "number": number, "space": space, "newer": newer})
+
+
+@contextlib.contextmanager
+def _loaded(sent) -> Iterator[PrefixBpe]:
+    """The worker's encoder for a sent tokenizer; what a task made it keep goes with the task."""
+    source, known = sent.value
+    bpe = _made(source, *(known[k] for k in ("letter", "number", "space", "newer")))
+    try:
+        yield bpe
+    finally:
+        bpe.forget()
 
 
 def _source(spark: SparkSession, path: str):
-    """The tokenizer file (a few MB, of fixed size) as a broadcast value; only the driver reads the path."""
+    """The tokenizer file (a few MB, of fixed size) and the character classes as a broadcast value; only the driver reads the path."""
     with open(path, "rb") as file:
-        return spark.sparkContext.broadcast(file.read())
+        return spark.sparkContext.broadcast((file.read(), classes()))
 
 
 def encode(spark: SparkSession, text: Column, path: str) -> Column:
@@ -260,9 +315,9 @@ def encode(spark: SparkSession, text: Column, path: str) -> Column:
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = _loaded(source.value)
-        for texts in batches:
-            yield pd.Series([bpe.encode(x or "").astype(np.int32) for x in texts])
+        with _loaded(source) as bpe:
+            for texts in batches:
+                yield pd.Series([bpe.encode(x or "").astype(np.int32) for x in texts])
 
     return ids(text)
 
@@ -273,9 +328,9 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
 
     @F.pandas_udf(T.StringType())
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = _loaded(source.value)
-        for lists in batches:
-            yield pd.Series([bpe.decode(np.asarray([] if x is None else x, dtype=np.int64)) for x in lists])
+        with _loaded(source) as bpe:
+            for lists in batches:
+                yield pd.Series([bpe.decode(np.asarray([] if x is None else x, dtype=np.int64)) for x in lists])
 
     return texts(ids)
 
@@ -291,19 +346,19 @@ def round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def digested(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(source.value)
-        for frame in frames:
-            for at in range(0, frame.num_rows, ROWS):
-                part = frame.slice(at, ROWS)
-                found = [bpe.encode(x or "") for x in part.column(1).to_pylist()]
-                columns = {
-                    "doc_id": part.column(0), "n_tokens": pa.array([len(x) for x in found], pa.int64()), "ids_sha256": pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in found]),
-                    "decoded_sha256": pa.array([hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in found]),
-                }
-                if keep_ids:
-                    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int32)))
-                yield pa.record_batch(columns)
+        with _loaded(source) as bpe:
+            for frame in frames:
+                for at in range(0, frame.num_rows, ROWS):
+                    part = frame.slice(at, ROWS)
+                    found = [bpe.encode(x or "") for x in part.column(1).to_pylist()]
+                    columns = {
+                        "doc_id": part.column(0), "n_tokens": pa.array([len(x) for x in found], pa.int64()), "ids_sha256": pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in found]),
+                        "decoded_sha256": pa.array([hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in found]),
+                    }
+                    if keep_ids:
+                        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                        columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int32)))
+                    yield pa.record_batch(columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(digested, f"doc_id {kind}, {fields}")

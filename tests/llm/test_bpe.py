@@ -46,6 +46,32 @@ def test_random_texts(library, ours):
         assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_every_code_point(library, ours):
+    """Each code point between letters, a few to a text: classes, composition and case are the library's."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 64):
+        text = " ".join(f"a{chr(c)}b" for c in points[at : at + 64])
+        if ours.encode(text).tolist() != library.encode(text, add_special_tokens=False).ids:
+            assert [hex(c) for c in points[at : at + 64] if ours.encode(f"a{chr(c)}b").tolist() != library.encode(f"a{chr(c)}b", add_special_tokens=False).ids] == []
+            assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_random_unicode(library, ours):
+    r = random.Random(5)
+    blocks = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x590), (0x600, 0x700), (0x900, 0xE00), (0x1100, 0x1200), (0x1C80, 0x1D00), (0x1E00, 0x2100), (0x3040, 0x3100), (0xA640, 0xA800), (0xAC00, 0xAE00), (0x105C0, 0x10600), (0x10D40, 0x10D90), (0x11380, 0x113E0), (0x16100, 0x16140), (0x16D40, 0x16D80), (0x1F300, 0x1F700)]
+    for _ in range(4000):
+        few = r.sample(blocks, 3)
+        text = "".join(chr(r.randrange(*r.choice(few))) if r.random() < 0.8 else " " for _ in range(r.randint(1, 30)))
+        assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_a_task_leaves_nothing_behind(ours):
+    ours.encode("some words that are kept " * 10)
+    assert ours.known.young and ours.pairs
+    ours.forget()
+    assert not ours.known.young and not ours.known.old and not ours.pairs
+
+
 def test_random_vocabulary_strings(library, ours):
     """Runs of tokens glued together: borders between tokens are where encoders differ."""
     r = random.Random(4)
