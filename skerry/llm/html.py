@@ -9,6 +9,7 @@ blocks at once: content on the source's side, boilerplate on the sink's.
 
 from __future__ import annotations
 
+import collections
 import functools
 import html as html_lib
 import random
@@ -45,18 +46,74 @@ ROLES = {
 _ROLE_OF = {w: k for k, ws in ROLES.items() for w in ws}
 _TAG_ROLE = {"nav": "menu", "menu": "menu", "header": "header", "footer": "footer", "aside": "side", "form": "form", "fieldset": "form", "button": "form", "search": "form", "dialog": "notice", "article": "body", "main": "body"}
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(?P<end2>/?)(?P<name2>[a-zA-Z][\w:-]*)(?P<attrs2>[^>]*)>",
-    re.DOTALL,
-)
+_NAME = re.compile(r"[a-zA-Z][\w:-]*")
+_UNQUOTED = re.compile(r"[^>\"']*")
+#: Elements are nested so deep at most, as browsers do; deeper ones become siblings. Their text stays.
+DEPTH = 256
 _ATTR = re.compile(r"\b(class|id|role|style|hidden|aria-hidden|aria-label)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"\s+")
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
 
 
+class Tags:
+    """The tags of a page in order, in time linear in its length whatever it holds."""
+
+    def __init__(self, page: str):
+        self.page, self.quoted = page, True
+        #: Needles that stand nowhere from here on, so that they aren't looked for again.
+        self.gone: set[str] = set()
+
+    def find(self, needle: str, at: int) -> int:
+        if needle in self.gone:
+            return -1
+        found = self.page.find(needle, at)
+        if found < 0:
+            self.gone.add(needle)
+        return found
+
+    def end_of_raw(self, name: str, at: int) -> int:
+        """Where an element whose content is no markup ends; -1 without an end tag."""
+        if name in self.gone:
+            return -1
+        m = _RAW_END[name].search(self.page, at)
+        if not m:
+            self.gone.add(name)
+        return m.end() if m else -1
+
+    def _close(self, at: int) -> int:
+        """The > that ends a tag; those in quoted values don't. Once a quote stays open to the page's end, quotes no longer count."""
+        start = at
+        while self.quoted:
+            at = _UNQUOTED.match(self.page, at).end()
+            if at < len(self.page) and self.page[at] == ">":
+                return at
+            at = self.page.find(self.page[at], at + 1) + 1 if at < len(self.page) else 0
+            if not at:
+                self.quoted = False
+        return self.find(">", start)
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """The next tag or comment from a place on: start, end, name ('' for comments), whether it is an end tag, attributes."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = self.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), "", False, ""
+            if page.startswith("<![CDATA[", at) and (end := self.find("]]>", at)) >= 0:
+                return at, end + 3, "", False, ""
+            if page.startswith(("<!", "<?"), at) and (end := self.find(">", at)) >= 0:
+                return at, end + 1, "", False, ""
+            closing = page.startswith("</", at)
+            name = _NAME.match(page, at + 1 + closing)
+            if name and (end := self._close(name.end())) >= 0:
+                return at, end + 1, name[0].lower(), closing, page[name.end() : end]
+            at += 1
+        return None
+
+
 class Element:
-    __slots__ = ("name", "parent", "depth", "roles", "hidden", "serial", "body_depth")
+    __slots__ = ("name", "parent", "depth", "roles", "hidden", "serial")
 
     def __init__(self, name: str, parent: Element | None, attrs: str, serial: int):
         self.name, self.parent, self.serial = name, parent, serial
@@ -100,7 +157,8 @@ def blocks(page: str) -> list[Block]:
     """The visible blocks in page order, text decoded and trimmed, with the number of characters inside links."""
     out: list[Block] = []
     current = Element("#page", None, "", 0)
-    serial, links, at, linked = 0, 0, 0, 0
+    open_names: collections.Counter[str] = collections.Counter()
+    serial, links, linked = 0, 0, 0
     parts: list[str] = []
 
     def flush() -> None:
@@ -119,27 +177,31 @@ def blocks(page: str) -> list[Block]:
             if links:
                 linked += len(raw.strip())
 
-    def close(name: str, stop: tuple[str, ...] = ()) -> None:
+    def leave(e: Element) -> None:
+        """Closes e and all that is open in it."""
         nonlocal current
-        e = current
-        while e.parent and e.name != name:
-            if e.name in stop:
-                return
-            e = e.parent
-        if e.parent:
-            current = e.parent
-
-    pos = 0
+        while current is not e.parent:
+            open_names[current.name] -= 1
+            current = current.parent
+
+    def close(names: tuple[str, ...], scope: tuple[str, ...] = ()) -> None:
+        """Closes the innermost open element of these names, if none of the scope is open in it."""
+        if any(open_names[n] for n in names):
+            e = current
+            while e.parent and e.name not in scope:
+                if e.name in names:
+                    return leave(e)
+                e = e.parent
+
+    tags, at = Tags(page), 0
     while True:
-        m = _TOKEN.search(page, pos)
-        add(page[at : m.start()] if m else page[at:])
-        if not m:
+        tag = tags.next(at)
+        add(page[at : tag[0]] if tag else page[at:])
+        if not tag:
             break
-        at = pos = m.end()
-        name = m["name"] or m["name2"]
+        _, at, name, end, attrs = tag
         if not name:
             continue
-        name, end, attrs = name.lower(), m["end"] or m["end2"], m["attrs"] or m["attrs2"] or ""
         if name == "a":
             links = 0 if end else 1
             continue
@@ -147,8 +209,8 @@ def blocks(page: str) -> list[Block]:
             add(" ")
             continue
         if not end and name in _RAW_END:
-            stop = _RAW_END[name].search(page, pos)
-            at = pos = stop.end() if stop else len(page) if name in ("script", "style") else pos
+            stop = tags.end_of_raw(name, at)
+            at = stop if stop >= 0 else len(page) if name in ("script", "style") else at
             if name in BLOCK:
                 flush()
             continue
@@ -158,31 +220,28 @@ def blocks(page: str) -> list[Block]:
         flush()
         links = 0
         if end:
-            close(name, ("article", "main") if name == "p" else ())
+            # nothing that parts blocks stands in a paragraph
+            close((name,)) if name != "p" or current.name == "p" else None
             continue
-        if name == "hr" or name in VOID:
+        if name in VOID:
             continue
         if current.name == "p":
-            current = current.parent
+            leave(current)
         if name in IMPLIED:
-            names, scope = IMPLIED[name]
-            for k in names:
-                e = current
-                while e.parent and e.name not in scope:
-                    if e.name == k:
-                        current = e.parent
-                        break
-                    e = e.parent
+            close(*IMPLIED[name])
         if name in ("html", "body") and current.name in ("html", "body", "head") and name == current.name:
             continue
         serial += 1
         if not attrs.rstrip().endswith("/"):
+            if current.depth >= DEPTH:
+                leave(current)
             current = Element(name, current, attrs, serial)
+            open_names[name] += 1
     flush()
     return out
 
 
-NAMES = ("one", "menu", "header", "footer", "side", "notice", "advert", "form", "comment", "body", "heading", "item", "paragraph", "links", "long", "marks", "rights", "heading_in_header")
+NAMES = ("one", "menu", "header", "footer", "side", "notice", "advert", "form", "comment", "body", "heading", "item", "paragraph", "links", "long", "marks", "rights", "heading_in_header", "links_in_body")
 _RIGHTS = re.compile(r"©|\(c\)|copyright|all rights reserved", re.IGNORECASE)
 
 
@@ -190,9 +249,10 @@ def features(b: Block) -> list[float]:
     roles, n = b.element.roles, len(b.text)
     heading = b.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
     title = heading and "header" in roles and "body" in roles
+    linked = min(1.0, b.linked / n)
     return [
         1.0, "menu" in roles, "header" in roles, "footer" in roles, "side" in roles, "notice" in roles, "advert" in roles, "form" in roles, "comment" in roles, "body" in roles,
-        heading, b.tag in ("li", "dt", "dd", "td", "option"), b.tag in ("p", "blockquote", "pre"), min(1.0, b.linked / n), min(1.0, n / 200), min(1.0, sum(b.text.count(c) for c in ".!?,;") / 4), bool(_RIGHTS.search(b.text)) and n < 200, title,
+        heading, b.tag in ("li", "dt", "dd", "td", "option"), b.tag in ("p", "blockquote", "pre"), linked, min(1.0, n / 200), min(1.0, sum(b.text.count(c) for c in ".!?,;") / 4), bool(_RIGHTS.search(b.text[:200])) and n < 200, title, linked if roles == {"body"} else 0.0,
     ]
 
 
@@ -201,6 +261,7 @@ def labelled_blocks(pages: int = 120, seed: int = 11) -> list[tuple[list[float],
     r = random.Random(seed)
     words = lambda n: " ".join("".join(r.choice(["th", "er", "an", "ou", "la", "de", "en"]) for _ in range(r.randint(1, 4))) for _ in range(n))
     sentence = lambda: words(r.randint(1, 60)).capitalize() + "."
+    link = lambda: f"<a href=x>{words(r.randint(1, 4))}</a>"
     out = []
     for _ in range(pages):
         bad = {
@@ -217,9 +278,9 @@ def labelled_blocks(pages: int = 120, seed: int = 11) -> list[tuple[list[float],
             "plain": lambda: f'<div><a href=x>{words(3)}</a></div>',
         }
         marked = lambda s: s.replace("<p>", "<p>\x01").replace("<h1>", "<h1>\x01").replace("<h2>", "<h2>\x01").replace("<li>", "<li>\x01")
-        inner = marked(f"<h1>{words(5)}</h1>" + "".join(f"<p>{sentence()}</p>" if r.random() < 0.85 else f"<h2>{words(3)}</h2>" if r.random() < 0.6 else f"<ul><li>{sentence()}</li></ul>" for _ in range(r.randint(2, 9))))
+        inner = marked(f"<h1>{words(5)}</h1>" + "".join(f"<p>{sentence()}</p>" if r.random() < 0.85 else f"<h2>{words(3)}</h2>" if r.random() < 0.6 else "<ul>" + "".join(f"<li>{r.choice([sentence(), link(), link()])}</li>" for _ in range(r.randint(1, 4))) + "</ul>" if r.random() < 0.7 else f"<p>{link()}</p>" for _ in range(r.randint(2, 9))))
         for k in r.sample(sorted(bad), 2):
-            if r.random() < 0.4 and k not in ("header", "nav"):
+            if r.random() < 0.4 and k not in ("header", "nav", "plain"):
                 inner += bad[k]() + marked(f"<p>{sentence()}</p>")
         wrap = r.choice(["<article>{}</article>", "<main>{}</main>", '<div class="content">{}</div>', "<article><header><h1>\x01t</h1></header>{}</article>", "<div>{}</div>"])
         before = "".join(bad[k]() for k in r.sample(sorted(bad), r.randint(1, 4)))
