@@ -1,12 +1,14 @@
 """License scans: exact phrases, and short notices with a bounded number of edits.
 
 Fuzzy search in two steps. A notice that occurs with at most k edits has been cut into k + 1 pieces beforehand; one of
-them occurs unchanged (pigeonhole), so plain substring search for the pieces finds every candidate place. Around each
-candidate the regex library matches the whole notice with at most k errors and gives its span.
+them occurs unchanged (pigeonhole), so one pass of an automaton of all pieces finds every candidate place. Around each
+candidate the regex library matches the whole notice with at most k errors and gives its span. Of spans that lie inside
+another one the longer notice stays ("creative commons attribution" in "creative commons attribution sharealike").
 """
 
 from __future__ import annotations
 
+import bisect
 import dataclasses
 import functools
 from collections.abc import Iterator
@@ -26,20 +28,75 @@ PHRASES = {
 #: Notices in the words of the scan, their labels, and the edits (characters) that each may have.
 NOTICES = (
     ("licensed under the apache license version 2 0", "apache", 5),
+    ("apache license version 2 0", "apache", 3),
+    ("gnu general public license", "gpl", 3),
     ("gnu general public license version", "gpl", 4),
     ("gnu lesser general public license", "lgpl", 4),
+    ("gnu library general public license", "lgpl", 4),
     ("gnu affero general public license", "agpl", 4),
+    ("gnu free documentation license", "gfdl", 3),
     ("this program is free software you can redistribute it and or modify it", "gpl", 8),
+    ("without even the implied warranty of merchantability or fitness for a particular purpose", "gpl", 9),
+    ("creative commons attribution", "cc-by", 3),
+    ("creative commons attribution sharealike", "cc-by-sa", 4),
+    ("creative commons attribution share alike", "cc-by-sa", 4),
+    ("creative commons attribution noncommercial", "cc-by-nc", 4),
+    ("creative commons attribution noderivatives", "cc-by-nd", 4),
+    ("creative commons attribution noncommercial sharealike", "cc-by-nc-sa", 5),
+    ("creative commons attribution noncommercial noderivatives", "cc-by-nc-nd", 5),
+    ("creative commons zero", "cc0", 2),
+    ("cc0 1 0 universal", "cc0", 1),
+    ("licensed under a creative commons attribution", "cc-by", 5),
+    ("licensed under cc by", "cc-by", 1),
     ("licensed under cc by nc", "cc-by-nc", 1),
     ("licensed under cc by sa", "cc-by-sa", 1),
-    ("licensed under a creative commons attribution", "cc-by", 5),
+    ("licensed under cc by nd", "cc-by-nd", 1),
+    ("cc by sa", "cc-by-sa", 0),
+    ("cc by nc", "cc-by-nc", 0),
+    ("cc by nd", "cc-by-nd", 0),
+    ("cc by nc sa", "cc-by-nc-sa", 0),
+    ("cc by nc nd", "cc-by-nc-nd", 0),
     ("released under the mit license", "mit", 3),
     ("licensed under the mit license", "mit", 3),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 8),
+    ("the above copyright notice and this permission notice shall be included in all copies", "mit", 9),
     ("redistribution and use in source and binary forms with or without", "bsd", 8),
+    ("bsd 2 clause", "bsd", 1),
+    ("bsd 3 clause", "bsd", 1),
+    ("2 clause bsd", "bsd", 1),
+    ("3 clause bsd", "bsd", 1),
+    ("simplified bsd license", "bsd", 2),
+    ("new bsd license", "bsd", 1),
+    ("bsd license", "bsd", 1),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee", "isc", 10),
+    ("isc license", "isc", 1),
+    ("boost software license", "bsl", 2),
+    ("mozilla public license", "mpl", 2),
     ("mozilla public license version 2 0", "mpl", 4),
+    ("eclipse public license", "epl", 2),
+    ("common development and distribution license", "cddl", 4),
+    ("common public license", "cpl", 2),
+    ("european union public licence", "eupl", 3),
+    ("academic free license", "afl", 2),
+    ("artistic license 2 0", "artistic", 1),
+    ("microsoft public license", "ms-pl", 2),
+    ("python software foundation license", "psf", 3),
+    ("server side public license", "sspl", 2),
+    ("business source license", "busl", 2),
+    ("sil open font license", "ofl", 2),
+    ("open database license", "odbl", 2),
+    ("open data commons attribution license", "odc-by", 3),
+    ("zlib license", "zlib", 1),
+    ("this is free and unencumbered software released into the public domain", "unlicense", 7),
+    ("dedicated to the public domain", "public-domain", 3),
     ("all rights reserved", "proprietary", 1),
+    ("may not be reproduced or distributed without permission", "proprietary", 5),
 )
+#: Identifiers after "SPDX-License-Identifier:", in the words of the scan, and their labels.
+SPDX = {
+    "apache 2 0": "apache", "mit": "mit", "isc": "isc", "bsd 2 clause": "bsd", "bsd 3 clause": "bsd", "gpl 2 0": "gpl", "gpl 3 0": "gpl", "lgpl 2 1": "lgpl", "lgpl 3 0": "lgpl", "agpl 3 0": "agpl",
+    "mpl 2 0": "mpl", "epl 2 0": "epl", "cddl 1 0": "cddl", "bsl 1 0": "bsl", "cc0 1 0": "cc0", "cc by 4 0": "cc-by", "cc by sa 4 0": "cc-by-sa", "cc by nc 4 0": "cc-by-nc", "unlicense": "unlicense", "zlib": "zlib",
+}
 
 #: ASCII letters to lower case, ASCII letters and digits and all beyond ASCII kept, the rest to a space.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -50,23 +107,30 @@ class Notice:
     label: str
     edits: int
     length: int
-    pieces: tuple[tuple[str, int], ...]
     pattern: object
 
 
 @functools.cache
-def _notices() -> tuple[Notice, ...]:
+def _notices() -> tuple[tuple[Notice, ...], object]:
+    """The notices, and an automaton of their pieces that gives (notice, place of the piece in it) for each."""
+    import ahocorasick
     import regex
 
-    out = []
-    for text, label, edits in NOTICES:
+    notices, pieces = [], {}
+    for text, label, edits in NOTICES + tuple((f"spdx license identifier {k}", v, 1) for k, v in SPDX.items()):
         n = len(text)
         cuts = [n * k // (edits + 1) for k in range(edits + 2)]
-        pieces = tuple((text[a:b], a) for a, b in zip(cuts, cuts[1:]))
+        for a, b in zip(cuts, cuts[1:]):
+            pieces.setdefault(text[a:b], []).append((len(notices), a))
         # whole words: an edited notice still stands between spaces, which are at both ends of what is searched
-        pattern = regex.compile(rf"(?<=\s)(?:{regex.escape(text)}){{e<={edits}}}(?=\s)", regex.BESTMATCH)
-        out.append(Notice(label, edits, n, pieces, pattern))
-    return tuple(out)
+        body = regex.escape(text)
+        pattern = regex.compile(rf"(?<=\s)(?:{body}){{e<={edits}}}(?=\s)" if edits else rf"(?<=\s){body}(?=\s)", regex.BESTMATCH)
+        notices.append(Notice(label, edits, n, pattern))
+    automaton = ahocorasick.Automaton()
+    for piece, places in pieces.items():
+        automaton.add_word(piece, (len(piece), places))
+    automaton.make_automaton()
+    return tuple(notices), automaton
 
 
 def words_of(text: str) -> list[str]:
@@ -74,37 +138,43 @@ def words_of(text: str) -> list[str]:
 
 
 def exact_places(joined: str) -> list[tuple[int, str]]:
-    """(word index, label) of each place where a phrase's words stand one after the other; joined: ' w0 w1 .. '."""
+    """(character, label) of the space before each place where a phrase's words stand one after the other; joined: ' w0 w1 .. '."""
     found = []
     for phrase, label in PHRASES.items():
         at = joined.find(f" {phrase} ")
         while at >= 0:
-            found.append((joined.count(" ", 0, at), label))
+            found.append((at, label))
             at = joined.find(f" {phrase} ", at + 1)
     return found
 
 
 def fuzzy_spans(joined: str) -> list[tuple[int, int, str, int, int]]:
     """(start, end, label, errors, notice length) of notices with at most their number of edits, in characters of joined."""
-    found = set()
-    for notice in _notices():
-        tried = -1
-        places = set()
-        for piece, offset in notice.pieces:
-            at = joined.find(piece)
-            while at >= 0:
-                places.add(max(0, at - offset - notice.edits - 1))
-                at = joined.find(piece, at + 1)
-        for start in sorted(places):
-            if start < tried:
+    notices, automaton = _notices()
+    places: dict[int, list[int]] = {}
+    for last, (size, of) in automaton.iter(joined):
+        for k, offset in of:
+            places.setdefault(k, []).append(last + 1 - size - offset)
+    found = []
+    for k, starts in places.items():
+        notice, free, before = notices[k], 0, -1
+        for at in sorted(starts):
+            # a match and the spaces around it lie between start and end; what an earlier match took is not searched again
+            start, end = max(0, at - notice.edits - 1, free), at + notice.length + 2 * notice.edits + 3
+            if at == before or end - start < notice.length - notice.edits:
                 continue
-            # a match and the spaces around it lie between start and end
-            end = start + notice.length + 3 * notice.edits + 4
+            before = at
             m = notice.pattern.search(joined, start, end)
             if m:
-                found.add((m.start(), m.end(), notice.label, sum(m.fuzzy_counts), notice.length))
-                tried = m.end()
-    return sorted(found)
+                found.append((m.start(), m.end(), notice.label, sum(m.fuzzy_counts), notice.length))
+                free = m.end()
+    found.sort(key=lambda x: (x[0], -x[1]))
+    kept, reach = [], -1
+    for x in found:  # those inside an earlier one go
+        if x[1] > reach:
+            kept.append(x)
+            reach = x[1]
+    return kept
 
 
 def scan(text: str) -> dict:
@@ -115,7 +185,9 @@ def scan(text: str) -> dict:
     base_labels = {label for _, label in base}
     labels = base_labels | {x[2] for x in fuzzy}
     score = 1.0 if base else max((1 - errors / length for *_, errors, length in fuzzy), default=0.0)
-    places = [w for w, _ in base]
+    # one pass gives the number of a word from its place
+    gaps = [i for i, c in enumerate(joined) if c == " "] if base or fuzzy else []
+    places = [bisect.bisect_left(gaps, at) for at, _ in base]
     return {
         "n_words": len(words),
         "n_base": len(base),
@@ -124,7 +196,7 @@ def scan(text: str) -> dict:
         "base_labels": ",".join(sorted(base_labels)),
         "labels": ",".join(sorted(labels)),
         "score": score,
-        "spans": [{"start_word": joined.count(" ", 0, a + 1) - 1, "end_word": joined.count(" ", 0, b), "label": label, "errors": errors} for a, b, label, errors, _ in fuzzy],
+        "spans": [{"start_word": bisect.bisect_left(gaps, a) - 1, "end_word": bisect.bisect_left(gaps, b), "label": label, "errors": errors} for a, b, label, errors, _ in fuzzy],
     }
 
 

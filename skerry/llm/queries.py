@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skerry.llm import bpe, chat, decontaminate, html, jaccard, licenses, lines, pii, quality, shards
 from skerry.llm.common import table, tokenizer_path
@@ -23,7 +24,8 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.find(table(spark, sf_dir, "documents")).drop("spans")
+    spans = F.transform("spans", lambda x: F.concat_ws(":", x["label"], x["start_word"], x["end_word"], x["errors"]))
+    return licenses.find(table(spark, sf_dir, "documents")).withColumn("spans", F.array_join(spans, ","))
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
