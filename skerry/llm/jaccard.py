@@ -5,14 +5,16 @@ order of tokens. Candidates must share one under each of three orders. Order 1 p
 common ones at the very end, and goes by hash otherwise; orders 2 and 3 go by other hashes. Steps:
 
 1. One pass hashes every text's shingles; equal sets (copies) become one representative, the smallest doc_id.
-2. Order 1: of the representatives' prefixes only tokens that several of them have are kept (counted before they are
+2. Stars, in rounds, on the first tokens of order 2: at each the smallest component has up to HUBS members drawn by hash
+   as hubs, and those of other components that share half of these tokens with a hub are candidates. This merges groups of
+   near copies, whatever their size, by a few pairs a member and round; it may miss links. Rounds end when they link few
+   of their candidates.
+3. Order 1, complete: of the prefixes only tokens that several representatives have are kept (counted before they are
    joined back, so a token of very many documents is summed early and its rows are split over tasks).
-3. Stars: representatives that share much of their prefix with the smallest or largest one of a token's documents are
-   candidates. This merges groups of near copies, whatever their size, by a few pairs a member; it may miss links.
-4. All others: tokens of several components give the candidates across components, by the sizes and the token's places.
-   Links inside a component change nothing, so pairs inside one are never formed.
-5. Candidates of 3 and 4 go through orders 2 and 3, whose prefixes are computed for documents with candidates only;
-   whole texts verify what is left.
+4. Tokens of several components give the candidates across components, by the sizes and the token's places. Links inside
+   a component change nothing, so pairs inside one are never formed.
+5. Candidates of 2 and 4 must share a token under all three orders, whose prefixes are computed again for documents with
+   candidates only; whole texts verify what is left.
 6. Components of the links; every document gets its component's smallest doc_id.
 
 Any order gives the same result, so the list of common tokens may be bounded: it only keeps passages that many
@@ -32,10 +34,10 @@ from skerry.llm.common import Scratch, checked_broadcast
 from skerry.llm.components import connected
 
 WIDTH = 5
-#: A token counts as common from so many documents on (counted where a batch has it HEAVY_LOCAL times or more); the most common ones are listed.
-HEAVY, HEAVY_LOCAL, HEAVY_LISTED = 16, 3, 100_000
-#: A star takes representatives that share one of so many of their prefix tokens with its middle.
-STAR_SHARE = 4
+#: A token counts as common from so many documents on (counted where HEAVY_ROWS of them have it HEAVY_LOCAL times or more); the most common ones are listed.
+HEAVY, HEAVY_ROWS, HEAVY_LOCAL, HEAVY_LISTED = 16, 5_000, 2, 100_000
+#: First tokens of order 2 that stars look at; hubs of a component in a round; the share of a round's candidates that must be links for another round.
+STAR_TOKENS, HUBS, STAR_YIELD = 8, 4, 0.1
 #: Words hashed at a time, so a text of any length takes bounded memory.
 CHUNK_WORDS = 200_000
 
@@ -92,7 +94,7 @@ def prefix_length(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1
 
 
-def _batches(frames: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+def _batches(frames: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     for frame in frames:
         for at in range(0, frame.num_rows, rows):
             yield frame.slice(at, rows)
@@ -102,7 +104,7 @@ def common_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the most common tokens, HEAVY_LISTED at most, from counts over all documents; and their places by rising count."""
 
     def counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
+        for frame in _batches(frames, HEAVY_ROWS):
             sets = [shingles(t) for t in frame.column(0).to_pylist()]
             found, n = np.unique(np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64), return_counts=True)
             often = n >= HEAVY_LOCAL
@@ -120,50 +122,68 @@ def _lists(values: list[np.ndarray], kind: type, arrow: pa.DataType) -> pa.ListA
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*values, np.empty(0, kind)]).astype(kind), arrow))
 
 
-def signatures(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, n, s1, s2 (hashes of the set), p1 (order-1 prefix; of a token 48 bits, as equal tokens only have to stay equal)."""
-    sent = docs.sparkSession.sparkContext.broadcast(common)
+class Orders:
+    """The prefixes of a set under the three orders; common: the tokens that order 1 puts last, and their places."""
+
+    def __init__(self, common: tuple[np.ndarray, np.ndarray]):
+        self.hot, self.place = common
+
+    def first(self, s: np.ndarray, k: int) -> np.ndarray:
+        """The prefix under order 1, in order; of each token 48 bits, as equal tokens only have to stay equal."""
+        if k and len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, s), len(self.hot) - 1)
+            hot = self.hot[at] == s
+            if hot.any():
+                s = np.concatenate((s[~hot], s[hot][np.argsort(self.place[at[hot]])]))
+        return (s[:k] & np.uint64((1 << 48) - 1)).view(np.int64)
+
+    @staticmethod
+    def hashed(s: np.ndarray, k: int, seed: int) -> np.ndarray:
+        """The k first tokens under an order by another hash, in no order; of each token 32 bits."""
+        least = np.argpartition(mixed(s, seed), k - 1)[:k] if k else np.empty(0, dtype=np.int64)
+        return s[least].astype(np.uint32).view(np.int32)
+
+    def of(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        k = prefix_length(len(s)) if len(s) else 0
+        return self.first(s, k), self.hashed(s, k, 3), self.hashed(s, k, 4)
+
+
+def signatures(docs: DataFrame, sent) -> DataFrame:
+    """doc_id, n, s1, s2 (hashes of the set), p1 (order-1 prefix), t2 (the STAR_TOKENS first tokens under order 2, as full hashes); sent: the common tokens."""
 
     def signed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, place = sent.value
+        orders = Orders(sent.value)
         for frame in _batches(frames):
-            n, s1, s2, p1 = [], [], [], []
+            n, s1, s2, p1, t2 = [], [], [], [], []
             for text in frame.column(1).to_pylist():
                 s = shingles(text)
-                k = prefix_length(len(s)) if len(s) else 0
                 n.append(len(s))
-                s1.append(int(np.add.reduce(mixed(s, 1)).astype(np.int64)) if k else 0)
-                s2.append(int(np.add.reduce(mixed(s, 2)).astype(np.int64)) if k else 0)
-                first = s
-                if k and len(hot):
-                    at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-                    is_hot = hot[at] == s
-                    if is_hot.any():
-                        first = np.concatenate((s[~is_hot], s[is_hot][np.argsort(place[at[is_hot]])]))
-                p1.append((first[:k] & np.uint64((1 << 48) - 1)).view(np.int64))
+                s1.append(int(np.add.reduce(mixed(s, 1)).astype(np.int64)) if len(s) else 0)
+                s2.append(int(np.add.reduce(mixed(s, 2)).astype(np.int64)) if len(s) else 0)
+                p1.append(orders.first(s, prefix_length(len(s)) if len(s) else 0))
+                few = min(STAR_TOKENS, len(s))
+                t2.append(s[np.argpartition(mixed(s, 3), few - 1)[:few]].view(np.int64) if few else np.empty(0, dtype=np.int64))
             yield pa.record_batch(
-                {"doc_id": frame.column(0), "n": pa.array(n, pa.int64()), "s1": pa.array(s1, pa.int64()), "s2": pa.array(s2, pa.int64()), "p1": _lists(p1, np.int64, pa.int64())}
-            )
+                {
+                    "doc_id": frame.column(0), "n": pa.array(n, pa.int64()), "s1": pa.array(s1, pa.int64()), "s2": pa.array(s2, pa.int64()),
+                    "p1": _lists(p1, np.int64, pa.int64()), "t2": _lists(t2, np.int64, pa.int64()),
+                }
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(signed, "doc_id long, n long, s1 long, s2 long, p1 array<long>")
+    return rows.mapInArrow(signed, "doc_id long, n long, s1 long, s2 long, p1 array<long>, t2 array<long>")
 
 
-def other_prefixes(texts: DataFrame) -> DataFrame:
-    """texts(id, text: binary) -> id, p2, p3: 32 bits of each token of the prefixes under orders 2 and 3."""
+def prefixes(texts: DataFrame, sent) -> DataFrame:
+    """texts(id, text: binary) -> id, p1, p2, p3: the prefixes under the three orders."""
 
     def listed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        orders = Orders(sent.value)
         for frame in _batches(frames):
-            p2, p3 = [], []
-            for text in frame.column(1).to_pylist():
-                s = shingles(text)
-                k = prefix_length(len(s)) if len(s) else 0
-                for p, seed in ((p2, 3), (p3, 4)):
-                    least = np.argpartition(mixed(s, seed), k - 1)[:k] if k else np.empty(0, dtype=np.int64)
-                    p.append(s[least].astype(np.uint32).view(np.int32))
-            yield pa.record_batch({"id": frame.column(0), "p2": _lists(p2, np.int32, pa.int32()), "p3": _lists(p3, np.int32, pa.int32())})
+            p1, p2, p3 = zip(*[orders.of(shingles(t)) for t in frame.column(1).to_pylist()])
+            yield pa.record_batch({"id": frame.column(0), "p1": _lists(p1, np.int64, pa.int64()), "p2": _lists(p2, np.int32, pa.int32()), "p3": _lists(p3, np.int32, pa.int32())})
 
-    return texts.select("id", "text").mapInArrow(listed, "id long, p2 array<int>, p3 array<int>")
+    return texts.select("id", "text").mapInArrow(listed, "id long, p1 array<long>, p2 array<int>, p3 array<int>")
 
 
 def _linked(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,21 +200,23 @@ def _linked(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frame.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The candidates (a, b) that pass orders 2 and 3 and whose texts are linked. Only texts of candidates are moved, once per pair."""
+def verified(pairs: DataFrame, docs: DataFrame, sent, scratch: Scratch) -> DataFrame:
+    """The candidates (a, b) that share a token under every order and whose texts are linked. Only texts of candidates are moved, once per pair."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
     # a document with several texts is linked if one of them is
     texts = scratch.put(texts.join(checked_broadcast(ids), "id", "left_semi"))
-    others = scratch.put(other_prefixes(texts))
-    both = pairs.join(others.select(F.col("id").alias("a"), F.col("p2").alias("p2_a"), F.col("p3").alias("p3_a")), "a")
-    both = both.join(others.select(F.col("id").alias("b"), F.col("p2").alias("p2_b"), F.col("p3").alias("p3_b")), "b")
-    both = scratch.put(both.filter(F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b").distinct())
+    found = scratch.put(prefixes(texts, sent))
+    both = pairs.join(found.select(F.col("id").alias("a"), F.struct("p1", "p2", "p3").alias("of_a")), "a")
+    both = both.join(found.select(F.col("id").alias("b"), F.struct("p1", "p2", "p3").alias("of_b")), "b")
+    for p in ("p1", "p2", "p3"):
+        both = both.filter(F.arrays_overlap(f"of_a.{p}", f"of_b.{p}"))
+    both = scratch.put(both.select("a", "b").distinct())
     d = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
     d = d.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
-    found = scratch.put(d.select("a", "b", "left", "right").mapInArrow(_linked, "a long, b long").distinct())
-    scratch.drop(texts, others, both)
-    return found
+    links = scratch.put(d.select("a", "b", "left", "right").mapInArrow(_linked, "a long, b long").distinct())
+    scratch.drop(texts, found, both)
+    return links
 
 
 def _fits(n_a: str, n_b: str, most_a: str, most_b: str) -> Column:
@@ -203,22 +225,47 @@ def _fits(n_a: str, n_b: str, most_a: str, most_b: str) -> Column:
     return (5 * F.least(a, b) >= 4 * F.greatest(a, b)) & (9 * F.least(most_a, most_b) >= 4 * (a + b))
 
 
-def _stars(shared: DataFrame) -> DataFrame:
-    """a, b: each representative with the smallest or largest one of a token's, where they share enough tokens in that way."""
-    one = F.struct("id", "n", "most")
-    hubs = shared.groupBy("token").agg(F.array(F.min(one), F.max(one)).alias("hubs")).select("token", F.explode("hubs").alias("hub"))
-    rows = shared.join(hubs, "token").select(F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.most").alias("most_a"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"))
-    pairs = rows.filter((F.col("a") != F.col("b")) & _fits("n_a", "n_b", "most_a", "most_b"))
-    pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("tokens"), F.min("n_b").alias("n"))
-    # prefixes hold about a fifth of a set
-    return pairs.filter(5 * STAR_SHARE * F.col("tokens") >= F.col("n")).select("a", "b")
-
-
-def _across(shared: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
-    """a, b: all pairs of representatives of different components that share a token and whose sizes and places fit."""
-    rows = shared.join(checked_broadcast(roots), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    live = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-    rows = scratch.put(rows.join(live, "token").select("token", "root", "id", "n", "most"))
+def _live(tokens: DataFrame, roots: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """tokens(token, id, ..) with root and lo, of the tokens that several components have; lo is the smallest of them."""
+    rows = tokens.withColumn("root", F.col("id"))
+    if roots is not None:
+        rows = tokens.join(checked_broadcast(roots), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    several = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token", "lo")
+    return scratch.put(rows.join(several, "token"))
+
+
+def _stars(live: DataFrame, number: int) -> DataFrame:
+    """a, b: representatives with the hubs of the smallest component at their tokens, where they share half of the tokens in that way."""
+    middle = live.filter("root = lo")
+    drawn = [F.min(F.struct(F.xxhash64("id", F.lit(HUBS * number + k)), "id"))["id"] for k in range(HUBS)]
+    ids = middle.groupBy("root").agg(F.array_distinct(F.array(*drawn)).alias("ids")).select(F.explode("ids").alias("id"))
+    hubs = middle.join(checked_broadcast(ids), "id", "left_semi").select("token", F.col("id").alias("a"), F.col("n").alias("n_a"))
+    rows = live.filter("root <> lo").select("token", F.col("id").alias("b"), F.col("n").alias("n_b"))
+    pairs = rows.join(hubs, "token").filter(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b"))
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tokens"), F.first("n_b").alias("n"))
+    return pairs.filter(2 * F.col("tokens") >= F.least("n", F.lit(STAR_TOKENS))).select("a", "b")
+
+
+def _star_roots(tokens: DataFrame, docs: DataFrame, sent, scratch: Scratch) -> DataFrame:
+    """id, root of the components that stars merge; tokens(token, id, n)."""
+    roots, number, live = None, 0, _live(tokens, None, scratch)
+    while True:
+        pairs = scratch.put(_stars(live, number))
+        tried = pairs.count()
+        links = verified(pairs, docs, sent, scratch)
+        found = links.count()
+        known = links if roots is None else links.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))
+        roots = connected(known, scratch) if found or roots is None else roots
+        number += 1
+        scratch.drop(pairs)
+        if found <= STAR_YIELD * tried:
+            return roots
+        before, live = live, _live(live.select("token", "id", "n"), roots, scratch)
+        scratch.drop(before)
+
+
+def _across(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """a, b: all pairs of representatives of different components that share a token and whose sizes and places fit; rows as _live gives them."""
     # which components meet at a token, then their members: no pair inside a component is made
     parts = scratch.put(rows.groupBy("token", "root").agg(F.min("n").alias("n"), F.max("n").alias("n_max"), F.max("most").alias("most")))
     left = parts.select("token", *[F.col(c).alias(f"{c}_a") for c in ("root", "n", "n_max", "most")])
@@ -229,7 +276,7 @@ def _across(shared: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
     of_b = rows.select("token", F.col("root").alias("root_b"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"))
     pairs = meet.join(of_a, ["token", "root_a"]).join(of_b, ["token", "root_b"]).filter(_fits("n_a", "n_b", "most_a", "most_b"))
     pairs = scratch.put(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    scratch.drop(rows, parts)
+    scratch.drop(parts)
     return pairs
 
 
@@ -242,21 +289,24 @@ def components(docs: DataFrame) -> DataFrame:
     names; an empty table gives no rows. doc_id must be a whole number.
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
-    signed = scratch.put(signatures(docs, common_tokens(docs)))
+    sent = docs.sparkSession.sparkContext.broadcast(common_tokens(docs))
+    signed = scratch.put(signatures(docs, sent))
     sets = signed.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     sets = scratch.put(sets.filter(F.col("id").isNotNull()))
     # representatives: one row of each set; only sets with copies need a look-up
     copied = checked_broadcast(sets.filter("copies > 1").select("n", "s1", "s2", "id"))
     reps = signed.filter("n > 0 AND doc_id IS NOT NULL").join(copied, ["n", "s1", "s2"], "left").filter("id IS NULL OR id = doc_id")
-    tokens = reps.select(F.col("doc_id").alias("id"), "n", F.posexplode("p1").alias("place", "token"))
-    tokens = tokens.select("token", "id", F.col("n").cast("int").alias("n"), (F.col("n") - F.col("place")).cast("int").alias("most"))
+    reps = reps.select(F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), "p1", "t2")
+    roots = _star_roots(reps.select(F.explode("t2").alias("token"), "id", "n"), docs, sent, scratch)
+
+    tokens = reps.select("id", "n", F.posexplode("p1").alias("place", "token")).select("token", "id", "n", (F.col("n") - F.col("place")).alias("most"))
     several = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("token")
     shared = scratch.put(tokens.join(several, "token"))
     slim = scratch.put(signed.select("doc_id", "n", "s1", "s2"))
     scratch.drop(signed)
-
-    roots = connected(verified(scratch.put(_stars(shared)), docs, scratch), scratch)
-    links = verified(_across(shared, roots, scratch), docs, scratch)
+    live = _live(shared, roots, scratch)
+    scratch.drop(shared)
+    links = verified(_across(live, scratch), docs, sent, scratch)
     # stars stand for the links that they merged
     links = links.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))).unionByName(_same_document(slim, sets))
     roots = connected(links, scratch)
