@@ -2,8 +2,9 @@
 
 The patterns give the base spans. The field (labels: none and the kinds) is trained in numpy from a small labelled
 table that this module writes by rule; its features are a word's shape and cue words, its own and its neighbours'.
-Lines are decoded by Viterbi in padded numpy batches. A span counts only if it has what ``_holds`` asks of its kind,
-which takes a digit or a mark inside a word; so lines of plain words (letters, one closing mark at most) need no decoding.
+Lines are decoded by Viterbi in padded numpy batches. Names, addresses and short secrets are known by the words before
+them; IBANs and card numbers must also pass their checksums. A span counts only if it has what ``_holds`` asks of its
+kind: a digit, a mark inside a word, or (names) a cue before it. So lines of plain words without a cue need no decoding.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The kinds in the order of the spans; the patterns find the first four, the field finds all.
-KINDS = ("email", "ip", "card", "phone", "secret")
+KINDS = ("email", "ip", "card", "phone", "secret", "iban", "national", "name", "address")
 LABELS = ("none", *KINDS)
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -41,6 +42,14 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def iban(s: str) -> bool:
+    """Two letters, two digits, 11 to 30 letters and digits, and the remainder that the standard asks for."""
+    s = s.replace(" ", "").upper()
+    if not re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", s):
+        return False
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches: a local part ends at its @, so it starts where the run of its characters does."""
     free, at = 0, text.find("@")
@@ -76,8 +85,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 #: Words that announce a kind.
 CUES = frozenset(
-    "email mail e-mail contact write ip address host server card visa mastercard credit phone tel call mobile fax token key secret password passwd api apikey api_key = : at dot".split()
+    "email mail e-mail contact write ip address host server card visa mastercard credit phone tel call mobile fax token key secret password passwd pwd api apikey api_key = : at dot iban account ssn social security passport national id number no nr born "
+    "name is am called mr mrs ms dr prof dear signed regards sincerely address live lives living resides street st road rd avenue ave lane drive strasse straße rue calle platz".split()
 )
+#: Cues without which a name or an address isn't looked for in a line of plain words, and words that end a street's name.
+_CUE = re.compile(r"(?<![^\W_])(?:my name is|name[ds]?:|mr\.?|mrs\.?|ms\.?|dr\.?|prof\.?|dear|signed|regards,?|sincerely,?|called|dot)(?!\w)", re.IGNORECASE)
+_NAMED = frozenset("name named called mr mrs ms dr prof dear signed regards sincerely".split())
+STREETS = "street st road rd avenue ave lane ln drive boulevard blvd square way court strasse straße platz weg allee rue calle via".split()
+_STREET = re.compile(r"(?:\b(?:" + "|".join(STREETS) + r")\b|(?:strasse|straße|platz|weg|allee)\b)", re.IGNORECASE)
+_ADDRESS = re.compile(r"[0-9]{1,5}[a-z]? (?:[^\W\d_][\w'-]* ){1,3}\w+\.?|[^\W\d_][\w'-]*(?: [^\W\d_][\w'-]*)* [0-9]{1,5}[a-z]?")
 _RUNS = re.compile(r"(.)\1+")
 _SHAPE = {c: "d" for c in range(48, 58)} | {c: "x" for c in range(97, 123)} | {c: "X" for c in range(65, 91)}
 _HEX = re.compile(r"""["'`(\[]?[0-9a-fA-F]{20,}["'`)\].,;:]*\Z""")
@@ -85,7 +101,7 @@ _HEX = re.compile(r"""["'`(\[]?[0-9a-fA-F]{20,}["'`)\].,;:]*\Z""")
 
 def features(word: str) -> list[str]:
     """Shape with runs shortened, digit and length classes, marks, and the word itself if it is a cue."""
-    head = word[:64]
+    head = word
     shape = _RUNS.sub(r"\1", "".join("x" if c.isalpha() and not c.isascii() else c for c in head.translate(_SHAPE)))
     digits = [c for c in head if "0" <= c <= "9"]
     n = len(digits)
@@ -94,6 +110,8 @@ def features(word: str) -> list[str]:
     out.append("length=" + str(min(len(word), 48) // 6))
     if 13 <= n <= 19 and luhn("".join(digits)):
         out.append("luhn")
+    if iban(head.strip(".,;:")):
+        out.append("iban")
     if _HEX.match(head):
         out.append("hex")
     for mark in "@+.-()\"'=/:_":
@@ -104,18 +122,35 @@ def features(word: str) -> list[str]:
         out.append("cue=" + bare)
     if n and len(digits) == len(head.strip(".,;:!?")):
         out.append("alldigits")
+    if bare in STREETS or bare.endswith(("strasse", "straße")):
+        out.append("street")
+    if head[:1].isupper() and bare.isalpha() and head[1:] == head[1:].lower():
+        out.append("capital")
     return out
 
 
 #: Words that are not plain: something besides letters and one closing mark. Only starts of words are tried.
 _UNUSUAL = re.compile(r"(?<!\S)[^\W\d_]*+(?![.,;:!?]?(?!\S))\S+")
+#: Words, and the parts between marks of words too long to have one shape (links with parameters, log fields), so that every part is seen.
+LONG = 64
 _TOKEN = re.compile(r"\S+")
+_PARTS = re.compile(r"[^\s?&=;,|\"'{}<>]+|[?&=;,|\"'{}<>]+")
+
+
+def words_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    out = []
+    for m in _TOKEN.finditer(text, start, end):
+        if m.end() - m.start() <= LONG:
+            out.append(m.span())
+        else:
+            out += [p.span() for p in _PARTS.finditer(text, *m.span())]
+    return out
 
 
 # ---- the labelled table
 
 
-def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list[str]]]:
+def labelled_table(rows: int = 900, seed: int = 7) -> list[tuple[list[str], list[str]]]:
     """Sentences of words with a label each, written by rule: kinds in several spellings, and numbers that are none of them."""
     r = random.Random(seed)
     letters = ["th", "er", "an", "re", "ou", "en", "la", "de", "sch", "ung", "ción", "é", "ü", "es", "ti", "in"]
@@ -132,10 +167,18 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
             if luhn(d):
                 return d
 
+    def person() -> list[str]:
+        return [word().strip(".,!").lower().capitalize() for _ in range(r.choice([1, 2, 2, 2, 3]))]
+
+    def account() -> str:
+        body = r.choice(["DE", "FR", "GB", "ES"]) + "00" + digits(r.choice([18, 18, 20, 23]))
+        check = 98 - int("".join(str(int(c, 36)) for c in body[4:] + body[:2] + "00")) % 97
+        return f"{body[:2]}{check:02d}{body[4:]}"
+
     def kind(label: str) -> list[str]:
         name, host = word().strip(".,!").lower(), r.choice(["mail", "post", "web"]) + digits(1)
         if label == "email":
-            return r.choice([[f"{name}.{digits(2)}@{host}.example.com"], [f"{name}@{host}.org"], [f"<{name}@{host}.net>,"], [name, "(at)", f"{host}.example.com"], [f"{name}[at]{host}[dot]com"]])
+            return r.choice([[f"{name}.{digits(2)}@{host}.example.com"], [f"{name}@{host}.org"], [f"<{name}@{host}.net>,"], [name, "(at)", f"{host}.example.com"], [f"{name}[at]{host}[dot]com"], [name, "at", host, "dot", "com"], [name, "dot", name[::-1] or "x", "at", host, "dot", "org"]])
         if label == "ip":
             ip = ".".join(str(r.randint(1, 255)) for _ in range(4))
             return [r.choice([ip, ip + ",", f"({ip})", ip + ":8080", "fe80::1ff:fe23:4567:890a", f"2001:db8:{digits(4)}::8a2e:370:7334"])]
@@ -145,6 +188,18 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
         if label == "phone":
             a, b, c = digits(3), digits(3), digits(4)
             return r.choice([["+1", f"({a})", f"{b}-{c}"], [f"({a})", f"{b}-{c}"], [f"{a}-{b}-{c}"], [f"+49{digits(10)}"], [f"+{digits(2)}", a, b + c], [f"{a}.{b}.{c}"]])
+        if label == "iban":
+            a = account()
+            return r.choice([[a], [a + "."], [a[i : i + 4] for i in range(0, len(a), 4)]])
+        if label == "national":
+            return r.choice([[f"{digits(3)}-{digits(2)}-{digits(4)}"], [f"{r.choice('ABCXYZ')}{digits(8)}"], [f"{digits(9)}"]])
+        if label == "name":
+            return person()
+        if label == "address":
+            street = r.choice(STREETS[:14]).capitalize()
+            return r.choice([[str(r.randint(1, 999)), *person()[:1], street], [str(r.randint(1, 99)), *person()[:2], street + ","], [person()[0] + r.choice(["strasse", "straße"]), str(r.randint(1, 99))], [r.choice(["rue", "calle"]), *person()[:1], str(r.randint(1, 99))]])
+        if r.random() < 0.25:
+            return [word().strip(".,!").lower()[:10] + digits(r.choice([1, 2, 3, 4])) + r.choice(["", "!", "pw", "x"])]
         h = "".join(r.choice("0123456789abcdef") for _ in range(r.choice([32, 40, 64])))
         mixed = "".join(r.choice("ABCDEFGHIJKLMNabcdefghijklmn0123456789") for _ in range(r.choice([24, 36])))
         return [r.choice([f'"{h}"', f'"{h}".', h, f'"sk-{mixed}"', f'"{mixed}"', f"ghp_{mixed}", f"AKIA{mixed[:16].upper()}"])]
@@ -158,7 +213,9 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
             ]
         )
 
-    cue = {"email": ["email", "write to", "contact"], "ip": ["host", "server", "from"], "card": ["card", "visa"], "phone": ["phone", "call", "tel"], "secret": ["token =", "password =", "key:", "secret ="]}
+    cue = {"email": ["email", "write to", "contact"], "ip": ["host", "server", "from"], "card": ["card", "visa"], "phone": ["phone", "call", "tel"], "secret": ["token =", "password =", "key:", "secret =", "password:", "pwd:", "password is"],
+        "iban": ["iban", "iban:", "account"], "national": ["ssn", "ssn:", "passport", "passport no", "social security number", "social security number is", "id number", "id number is"],
+        "name": ["my name is", "i am called", "mr", "mrs.", "dr.", "dear", "regards,", "name:"], "address": ["address:", "lives at", "i live at", "resides at"]}
     out = []
     for _ in range(rows):
         words, labels = [], []
@@ -174,11 +231,12 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
                 labels += ["none"] * len(part)
             else:
                 label = r.choice(KINDS)
-                if r.random() < 0.5:
+                part = kind(label)
+                # what is no more than a word or a number is known by its cue alone
+                if label in ("national", "name") or label == "secret" and len(part[0]) < 20 or r.random() < 0.5:
                     before = r.choice(cue[label]).split()
                     words += before
                     labels += ["none"] * len(before)
-                part = kind(label)
                 words += part
                 labels += [label] * len(part)
         if words:
@@ -248,7 +306,7 @@ class Field:
         return out
 
 
-def train(table: Iterable[tuple[list[str], list[str]]], rounds: int = 60, decay: float = 0.02) -> Field:
+def train(table: Iterable[tuple[list[str], list[str]]], rounds: int = 50, decay: float = 0.02) -> Field:
     """Maximum likelihood with a squared penalty, by Adam on forward-backward gradients over the whole (small) table."""
     table = list(table)
     vocabulary: dict[str, int] = {}
@@ -258,50 +316,61 @@ def train(table: Iterable[tuple[list[str], list[str]]], rounds: int = 60, decay:
                 vocabulary.setdefault(f, len(vocabulary))
     n, size, longest = len(LABELS), len(vocabulary), max(len(w) for w, _ in table)
     b = len(table)
-    x = np.zeros((b, longest, size), dtype=np.float32)
+    # scores and gradients are summed per distinct word; the last one stands for the places after a line's end
+    index = {w: k for k, w in enumerate(dict.fromkeys(w for words, _ in table for w in words))}
+    x = np.zeros((len(index) + 1, size), dtype=np.float32)
+    for word, k in index.items():
+        x[k, [vocabulary[f] for f in features(word)]] = 1
+    at = np.full((b, longest), len(index))
     y = np.zeros((b, longest), dtype=int)
     real = np.zeros((b, longest), dtype=bool)
     for k, (words, labels) in enumerate(table):
-        for t, (w, label) in enumerate(zip(words, labels)):
-            x[k, t, [vocabulary[f] for f in features(w)]] = 1
-            y[k, t] = LABELS.index(label)
-            real[k, t] = True
+        at[k, : len(words)] = [index[w] for w in words]
+        y[k, : len(words)] = [LABELS.index(label) for label in labels]
+        real[k, : len(words)] = True
     lengths = real.sum(1)
-    flat = x.reshape(b * longest, size)
+    order = np.argsort(at, axis=None)
+    starts = np.searchsorted(at.ravel()[order], np.arange(len(index) + 1))
     onehot = np.eye(n, dtype=np.float32)[y] * real[..., None]
+
+    def per_word(v: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(v.reshape(b * longest, n)[order], starts)
+
     w = [np.zeros((size, n), dtype=np.float32) for _ in range(3)] + [np.zeros((n, n), dtype=np.float32), np.zeros(n, dtype=np.float32)]
     first_m = [np.zeros_like(v) for v in w]
     second_m = [np.zeros_like(v) for v in w]
 
-    def lse(v: np.ndarray, axis: int) -> np.ndarray:
-        top = v.max(axis, keepdims=True)
-        return (np.log(np.exp(v - top).sum(axis, keepdims=True)) + top).squeeze(axis)
+    def through(v: np.ndarray, by: np.ndarray) -> np.ndarray:
+        """Logarithms of exp(v) @ by."""
+        top = v.max(1, keepdims=True)
+        return np.log(np.exp(v - top) @ by) + top
 
     for k in range(1, rounds + 1):
-        own, before, after = (flat @ v for v in w[:3])
-        e = own.reshape(b, longest, n).copy()
-        e[:, 1:] += before.reshape(b, longest, n)[:, :-1]
-        e[:, :-1] += after.reshape(b, longest, n)[:, 1:]
+        own, before, after = ((x @ v)[at] for v in w[:3])
+        e = own
+        e[:, 1:] += before[:, :-1]
+        e[:, :-1] += after[:, 1:]
         moves, start = w[3], w[4]
         f = np.zeros((b, longest, n), dtype=np.float32)
         g = np.zeros((b, longest, n), dtype=np.float32)
         f[:, 0] = start + e[:, 0]
+        step = np.exp(moves)
         for t in range(1, longest):
-            f[:, t] = np.where(real[:, t, None], lse(f[:, t - 1, :, None] + moves, 1) + e[:, t], f[:, t - 1])
+            f[:, t] = np.where(real[:, t, None], through(f[:, t - 1], step) + e[:, t], f[:, t - 1])
         for t in range(longest - 2, -1, -1):
-            g[:, t] = np.where(real[:, t + 1, None], lse(moves + (e[:, t + 1] + g[:, t + 1])[:, None, :], 2), 0)
-        z = lse(f[:, -1], 1)
+            g[:, t] = np.where(real[:, t + 1, None], through(e[:, t + 1] + g[:, t + 1], step.T), 0)
+        z = through(f[:, -1], np.ones((n, 1), dtype=np.float32))[:, 0]
         p = np.exp(f + g - z[:, None, None]) * real[..., None]
         pairs = np.zeros((n, n), dtype=np.float32)
         for t in range(1, longest):
-            joint = f[:, t - 1, :, None] + moves + (e[:, t] + g[:, t])[:, None, :] - z[:, None, None]
-            pairs += (np.exp(joint) * real[:, t, None, None]).sum(0)
-            pairs -= np.einsum("bi,bj->ij", onehot[:, t - 1], onehot[:, t])
+            top = f[:, t - 1].max(1, keepdims=True)
+            after = np.exp(np.minimum(e[:, t] + g[:, t] + top - z[:, None], 80)) * real[:, t, None]
+            pairs += step * (np.exp(f[:, t - 1] - top).T @ after) - onehot[:, t - 1].T @ onehot[:, t]
         d = p - onehot
         right, left = np.zeros_like(d), np.zeros_like(d)
         right[:, :-1] = d[:, 1:]
         left[:, 1:] = d[:, :-1]
-        grads = [flat.T @ v.reshape(b * longest, n) for v in (d, right, left)] + [pairs, d[:, 0].sum(0)]
+        grads = [x.T @ per_word(v) for v in (d, right, left)] + [pairs, d[:, 0].sum(0)]
         for i, grad in enumerate(grads):
             grad = grad / b + decay / b * w[i]
             first_m[i] = 0.9 * first_m[i] + 0.1 * grad
@@ -323,7 +392,15 @@ def _holds(kind: str, s: str) -> bool:
     """What any span of the kind has, whatever the field says."""
     digits = sum("0" <= c <= "9" for c in s)
     if kind == "email":
-        return bool(re.search(r"@|[(\[]at[)\]]", s, re.I)) and ("." in s or "dot" in s.lower())
+        return bool(re.search(r"@|[(\[]at[)\]]", s, re.I)) and ("." in s or "dot" in s.lower()) or bool(re.fullmatch(r"\w[\w+-]*(?: dot \w+)* at \w[\w-]*(?: dot \w+)+", s, re.I))
+    if kind == "iban":
+        return iban(s)
+    if kind == "national":
+        return bool(re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{0,2}[0-9]{6,9}[A-Z]?", s))
+    if kind == "name":
+        return bool(re.fullmatch(r"(?:[^\W\d_][^\W\d_'.-]*(?: |\Z)){1,4}", s)) and all(w[0].isupper() and w[1:] == w[1:].lower() for w in s.split())
+    if kind == "address":
+        return bool(_ADDRESS.fullmatch(s) and _STREET.search(s))
     if kind == "ip":
         return s.count(".") == 3 and digits >= 4 or s.count(":") >= 2 and bool(re.fullmatch(r"[0-9A-Fa-f:.]+", s))
     if kind == "card":
@@ -331,7 +408,7 @@ def _holds(kind: str, s: str) -> bool:
         return 13 <= len(d) <= 19 and luhn(d)
     if kind == "phone":
         return 7 <= digits <= 15 and not re.search(r"[^\W\d_]", s)
-    return len(s) >= 16 and digits >= 3 and any(c.isalpha() for c in s)
+    return len(s) >= 8 and digits > 0 and any(c.isalpha() for c in s)
 
 
 def _overlaps(a: int, b: int, spans: list[tuple[int, int, int]]) -> bool:
@@ -345,13 +422,14 @@ def all_spans(texts: list[str], field: Field) -> list[tuple[list, list]]:
     lines: list[list[str]] = []
     for k, text in enumerate(texts):
         done = -1
-        for m in _UNUSUAL.finditer(text):
-            if m.start() < done:
+        starts = [m.start() for m in _UNUSUAL.finditer(text)] + [m.start() for m in _CUE.finditer(text)]
+        for at in sorted(starts):
+            if at < done:
                 continue
-            start = text.rfind("\n", 0, m.start()) + 1
-            done = text.find("\n", m.start())
+            start = text.rfind("\n", 0, at) + 1
+            done = text.find("\n", at)
             done = len(text) if done < 0 else done
-            spans = [t.span() for t in _TOKEN.finditer(text, start, done)]
+            spans = words_of(text, start, done)
             places.append((k, spans))
             lines.append([text[a:b] for a, b in spans])
     added: list[list[tuple[int, int, int]]] = [[] for _ in texts]
@@ -368,7 +446,9 @@ def all_spans(texts: list[str], field: Field) -> list[tuple[list, list]]:
                 while a < b and (text[b - 1] in "\"'>]`,;:.!?#$%&*|" or text[b - 1] == ")" and "(" not in text[a:b]):
                     b -= 1
                 kind = labels[t] - 1
-                if a < b and _holds(KINDS[kind], text[a:b]) and not _overlaps(a, b, base[k]):
+                before = [text[x:y].strip("\"'()[]<>,.;:!?").lower() for x, y in spans[max(0, t - 3) : t]]
+                named = KINDS[kind] != "name" or not _NAMED.isdisjoint(before)
+                if a < b and named and _holds(KINDS[kind], text[a:b]) and not _overlaps(a, b, base[k]):
                     added[k].append((kind, a, b))
             t = end
     return [(x, sorted(x + y)) for x, y in zip(base, added)]
@@ -378,11 +458,11 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-FIELDS = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+FIELDS = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
 
 
 def find(docs: DataFrame, model: Field | None = None) -> DataFrame:
-    """doc_id, the counts of base spans, the sha256 of their listing, and the listing of all spans.
+    """doc_id, the counts of base spans, the sha256 of their listing, the listing of all spans, and their number.
 
     One pass over the rows without a shuffle; the model (under 1 MB, fixed by the labelled table) goes to the executors
     as a broadcast value. Null and empty texts have no spans; a null doc_id stays null; repeated rows give repeated
@@ -399,7 +479,7 @@ def find(docs: DataFrame, model: Field | None = None) -> DataFrame:
             for at in range(0, len(texts), 500):
                 for base, spans in all_spans(texts[at : at + 500], sent.value):
                     n = [sum(k == kind for kind, _, _ in base) for k in range(4)]
-                    rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
+                    rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans)))
             yield pd.DataFrame(rows, columns=names)
 
     return docs.select("doc_id", scanned("text").alias("found")).select("doc_id", "found.*")
