@@ -2,9 +2,9 @@
 
 A line's path in the tree has fixed depth: its token count, then its LEAD leading tokens; below that comes a template.
 Tokens with a digit are variable fields wherever they stand. Besides those a template has one more variable field: one
-of FIELDS equal stretches of the line. So two lines share a template if they have the same token count and leading
-tokens and all stretches but one at most are equal, which is at least 80 % of the line; each line has FIELDS templates,
-and equal templates meet by a hash key in one aggregation. No pairs of lines are formed.
+of FIELDS equal stretches of what follows the leading tokens. So two lines share a template if they have the same token
+count and leading tokens and all stretches but one at most are equal, which is at least 80 % of the line; each line has
+FIELDS templates, and equal templates meet by a hash key in one aggregation. No pairs of lines are formed.
 
 A template is recurring if lines of several documents have it. Its lines stay in the document with the smallest
 doc_id among them and are dropped from all others. A line of under MIN_TOKENS tokens has one template without an open
@@ -46,8 +46,9 @@ def parsed(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "row_hash", "line_no", F.size("t").alias("n"), masked.alias("t"))
 
     def stretch(k: int) -> Column:
-        start, end = F.floor(F.col("n") * k / FIELDS), F.floor(F.col("n") * (k + 1) / FIELDS)
-        return F.xxhash64(F.slice("t", (start + 1).cast("int"), (end - start).cast("int")))
+        rest = F.greatest(F.col("n") - LEAD, F.lit(0))
+        start, end = F.floor(rest * k / FIELDS), F.floor(rest * (k + 1) / FIELDS)
+        return F.xxhash64(F.slice("t", (start + LEAD + 1).cast("int"), (end - start).cast("int")))
 
     lead = F.xxhash64(F.slice("t", 1, LEAD))
     return rows.select("doc_id", "row_hash", "line_no", "n", lead.alias("lead"), *[stretch(k).alias(f"s{k}") for k in range(FIELDS)])

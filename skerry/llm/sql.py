@@ -76,7 +76,7 @@ lines AS (
   FROM parsed WHERE len(t) >= 1
 ), keyed AS (
   SELECT r, doc_id, line_no, n, t[1:3] AS lead, f,
-         list_transform(range(0, 5), lambda k: CASE WHEN k = f THEN NULL ELSE array_to_string(t[(n * k // 5) + 1:(n * (k + 1) // 5)], ' ') END) AS template
+         list_transform(range(0, 5), lambda k: CASE WHEN k = f THEN NULL ELSE array_to_string(t[3 + greatest(n - 3, 0) * k // 5 + 1:3 + greatest(n - 3, 0) * (k + 1) // 5], ' ') END) AS template
   FROM (SELECT *, unnest(CASE WHEN n >= 5 THEN range(0, 5) ELSE [-1] END) AS f FROM fit)
 ), homes AS (
   SELECT r, line_no, doc_id, min(doc_id) OVER (PARTITION BY n, lead, f, template) AS home FROM keyed

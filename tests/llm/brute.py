@@ -14,8 +14,8 @@ def template_keys(line):
         return []
     if not (short and all(varies)):
         t = ["<*>" if v else w for v, w in zip(varies, t)]
-    n, f = len(t), lines.FIELDS
-    parts = [tuple(t[n * k // f : n * (k + 1) // f]) for k in range(f)]
+    n, f, rest = len(t), lines.FIELDS, t[lines.LEAD :]
+    parts = [tuple(rest[len(rest) * k // f : len(rest) * (k + 1) // f]) for k in range(f)]
     return [(n, tuple(t[: lines.LEAD]), k, tuple(p for i, p in enumerate(parts) if i != k)) for k in ([-1] if short else range(f))]
 
 
