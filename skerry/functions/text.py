@@ -57,6 +57,12 @@ without_marks = _series(_bare)
 comparable = _series(_comparable)
 
 
+def folded(c: Column) -> Column:
+    """Text for comparisons without case, as full case folding has it: ß equals ss, all three sigmas are one letter."""
+    # without a step between them Catalyst takes lower(upper(x)) for lower(x)
+    return F.lower(F.translate(F.upper(c), "Σ", "σ"))
+
+
 def tokens(c: Column) -> Column:
     """Lower-case runs of letters and digits."""
     return F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -67,14 +73,30 @@ def inverted(docs: DataFrame, id_column: str, text: Column) -> DataFrame:
     return docs.select(F.explode(F.array_distinct(tokens(text))).alias("token"), F.col(id_column))
 
 
+def write_inverted(docs: DataFrame, id_column: str, text: Column, path: str, parts: int = 256) -> None:
+    """Stores the inverted table, one folder for each hash class of tokens, so that a search reads those of its tokens only."""
+    index = inverted(docs, id_column, text).withColumn("part", F.pmod(F.xxhash64("token"), F.lit(parts)).cast("int"))
+    index.repartition("part").sortWithinPartitions("token").write.partitionBy("part").parquet(path)
+
+
+def search_inverted(index: DataFrame, words: list[str], id_column: str, parts: int = 256) -> DataFrame:
+    """Ids of the documents that have all words; index as read from where write_inverted has put it."""
+    wanted = F.array_distinct(tokens(F.lit(" ".join(words))))
+    found = sorted(set(index.sparkSession.range(1).select(F.explode(wanted).alias("t"), F.pmod(F.xxhash64("t"), F.lit(parts)).cast("int")).collect()))
+    rows = index.filter(F.col("part").isin([r[1] for r in found]) & F.col("token").isin([r[0] for r in found]))
+    return rows.groupBy(id_column).agg(F.count_distinct("token").alias("n")).filter(F.col("n") == len(found)).select(id_column)
+
+
 def sample_token(c: Column, least: int = 2) -> Column:
     """The first word by white space of at least so many characters."""
     return F.get(F.filter(F.split(c, r"\s+"), lambda w: F.char_length(w) >= least), F.lit(0))
 
 
 def low_information(c: Column, chars: int, words: int) -> Column:
-    t = tokens(c)
-    return (F.char_length(F.array_join(t, "")) <= chars) | (F.size(t) <= words)
+    """At most so many characters or words after ``comparable``: NFKC, case folded, runs of word characters."""
+    t = comparable(F.coalesce(c, F.lit("")))
+    bare = F.char_length(F.replace(t, F.lit(" "), F.lit("")))
+    return (bare <= chars) | (F.when(t == "", 0).otherwise(F.size(F.split(t, " "))) <= words)
 
 
 def longest_run_ratio(c: Column) -> Column:
@@ -94,6 +116,7 @@ class Gate(NamedTuple):
     max_normalized_entropy: float = 0.98
     repeat_check_min_chars: int = 6
     max_same_character_run_ratio: float = 0.75
+    require_acoustic_metrics: bool = True
 
 
 def transcript_reasons(text: Column, seconds: Column, blank: Column, posterior: Column, entropy: Column, gate: Gate = Gate()) -> Column:
@@ -107,7 +130,7 @@ def transcript_reasons(text: Column, seconds: Column, blank: Column, posterior:
         (n < gate.min_lexical_chars, "insufficient_lexical_content"),
         (rate < gate.min_characters_per_second, "character_rate_too_low"),
         (rate > gate.max_characters_per_second, "character_rate_too_high"),
-        (blank.isNull() | posterior.isNull() | entropy.isNull(), "missing_acoustic_metrics"),
+        (F.lit(gate.require_acoustic_metrics) & (blank.isNull() | posterior.isNull() | entropy.isNull()), "missing_acoustic_metrics"),
         (blank > gate.max_blank_argmax_ratio, "blank_ratio_too_high"),
         (posterior < gate.min_mean_nonblank_posterior, "nonblank_posterior_too_low"),
         (entropy > gate.max_normalized_entropy, "entropy_too_high"),
@@ -123,8 +146,10 @@ def string_list(values: Column) -> Column:
 
 def keep_first(values: Column, key=lambda x: x) -> Column:
     """Array without later elements of equal key."""
-    keys = F.transform(values, key)
-    return F.filter(values, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    rows = F.array_sort(F.transform(values, lambda x, i: F.struct(key(x).alias("key"), i.alias("place"), x.alias("value"))))
+    # the one-element array gives the sorted rows a name, so they are sorted once and not for each element
+    first = F.transform(F.array(rows), lambda r: F.filter(r, lambda x, i: (i == 0) | ~F.get(r, i - 1)["key"].eqNullSafe(x["key"])))
+    return F.transform(F.array_sort(F.transform(F.get(first, F.lit(0)), lambda x: F.struct(x["place"].alias("place"), x["value"].alias("value")))), lambda x: x["value"])
 
 
 def line_list(raw: Column) -> Column:

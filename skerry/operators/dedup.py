@@ -105,9 +105,16 @@ def token_jaccard_distance(a: Column, b: Column, reliable: Column | None = None)
 
 
 def exact_first(rows: DataFrame, identity: list[str], order: list[str], reliable: Column) -> DataFrame:
-    """One row of each identity among reliable rows, the first in order; unreliable rows all stay."""
-    keep = F.row_number().over(Window.partitionBy(*identity).orderBy(*order)) == 1
-    return rows.filter(reliable).withColumn("first", keep).filter("first").drop("first").unionByName(rows.filter(~reliable))
+    """One row of each identity among reliable rows, the first in order; unreliable rows all stay.
+
+    Only 128 bits of the identity and the order are aggregated (large groups are reduced before the shuffle), so long texts
+    stay where they are; rows that the order doesn't tell apart all stay.
+    """
+    place = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(order)])
+    keys = {"key1": F.xxhash64(*identity), "key2": F.xxhash64(F.lit(1), *identity)}
+    marked = rows.filter(reliable).withColumns(keys | {"place": place})
+    first = marked.groupBy("key1", "key2").agg(F.min("place").alias("place"))
+    return marked.join(first, ["key1", "key2", "place"], "left_semi").drop("key1", "key2", "place").unionByName(rows.filter(~reliable))
 
 
 def nearest_references(candidates: DataFrame, references: DataFrame, group: str, distance: Column) -> DataFrame:

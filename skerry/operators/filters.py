@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skerry.functions import text as texts
+
 
 def iso_date(value: str | None, field: str) -> str | None:
     """A strict YYYY-MM-DD bound, or None if blank."""
@@ -83,24 +85,28 @@ def eligible(keyframes: DataFrame, videos: DataFrame, detections: DataFrame, fil
     return rows
 
 
-TEXT_FIELDS = ("keyframe_id", "video_id", "title", "author", "publish_date_iso")
-NUMBER_FIELDS = ("keyframe_no", "frame_idx")
+#: The fields that "all" looks into, and the labels of those that hold numbers.
+TEXT_FIELDS = ("keyframe_id", "video_id", "collection_id", "title", "author")
+NUMBER_FIELDS = {"keyframe_no": "Keyframe No.", "frame_idx": "Frame Index"}
 
 
 def matches_within(query: str, field: str, columns: list[str]) -> Column:
     """Find-in-results: substring without case in one text field or all; equality for the two numeric fields."""
-    needle = query.strip().casefold()
+    needle = query.strip()
     if not needle:
         return F.lit(True)
     if field in NUMBER_FIELDS:
-        return F.col(field) == int(needle)
+        try:
+            return F.col(field) == int(needle)
+        except ValueError as e:
+            raise ValueError(f"{NUMBER_FIELDS[field]} must be an integer") from e
     fields = [c for c in (*TEXT_FIELDS, *NUMBER_FIELDS) if c in columns] if field == "all" else [field]
 
     def shown(c: str) -> Column:
         # zero shows as nothing
         return F.when(F.col(c) == 0, "").otherwise(F.col(c).cast("string")) if c in NUMBER_FIELDS else F.coalesce(F.col(c), F.lit(""))
 
-    return reduce(lambda a, b: a | b, [F.lower(shown(c)).contains(needle) for c in fields])
+    return reduce(lambda a, b: a | b, [texts.folded(shown(c)).contains(texts.folded(F.lit(needle))) for c in fields])
 
 
 def refine(rows: DataFrame, query: str = "", field: str = "all", collections=(), videos=(), authors=(), minimum_score: float | None = None) -> DataFrame:

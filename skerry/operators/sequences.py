@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skerry.operators.folds import folded
+
 
 def end_times(frames: DataFrame) -> DataFrame:
     """end_sec: the next frame's time, and for the last frame its own plus its duration."""
@@ -129,18 +131,18 @@ def split_long(start: Column, end: Column, longest: float, overlap: float) -> Co
 def packed(ranges: DataFrame, longest: float, gap: float, overlap: float, shortest: float) -> DataFrame:
     """Greedy packing per video: a range joins the open one while their gap and joint length allow; long results are cut.
 
-    ranges(video_id, start_sec, end_sec). The fold is sequential, so a video's ranges meet in one sorted array.
+    ranges(video_id, start_sec, end_sec). The rule is sequential: a video's ranges stream in order through the fold, which
+    numbers the pieces, and the pieces are then aggregated.
     """
-    d = ranges.filter(F.col("end_sec") - F.col("start_sec") >= shortest).groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct(F.col("start_sec").cast("double").alias("s"), F.col("end_sec").cast("double").alias("e")))).alias("r"))
-
-    def step(done: Column, x: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        joins = (x["s"] - last["e"] <= gap) & (x["e"] - last["s"] <= longest)
-        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last["s"].alias("s"), x["e"].alias("e"))))
-        return F.when((F.size(done) > 0) & joins, joined).otherwise(F.array_append(done, x))
-
-    d = d.withColumn("r", F.aggregate("r", F.array().cast("array<struct<s: double, e: double>>"), step))
-    d = d.withColumn("piece", F.explode("r")).select("video_id", F.posexplode(split_long(F.col("piece.s"), F.col("piece.e"), longest, overlap)).alias("k", "p"))
+    def step(open_: dict, row) -> int:
+        if not open_ or row.s - open_["e"] > gap or row.e - open_["s"] > longest:
+            open_.update(piece=open_.get("piece", -1) + 1, s=row.s)
+        open_["e"] = row.e
+        return open_["piece"]
+
+    d = ranges.filter(F.col("end_sec") - F.col("start_sec") >= shortest).select("video_id", F.col("start_sec").cast("double").alias("s"), F.col("end_sec").cast("double").alias("e"))
+    d = folded(d, "video_id", ["s", "e"], dict, step, "piece long").groupBy("video_id", "piece").agg(F.min("s").alias("s"), F.max_by("e", F.struct("s", "e")).alias("e"))
+    d = d.select("video_id", F.posexplode(split_long(F.col("s"), F.col("e"), longest, overlap)).alias("k", "p"))
     d = d.select("video_id", "p.*").withColumnsRenamed({"start": "start_sec", "end": "end_sec"})
     order = Window.partitionBy("video_id").orderBy("start_sec")
     return d.withColumn("segment_index", F.row_number().over(order) - 1).filter(F.col("end_sec") - F.col("start_sec") >= shortest)

@@ -6,7 +6,7 @@ import dataclasses
 import hashlib
 import heapq
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
 import pandas as pd
@@ -14,60 +14,79 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skerry.operators import sequences
+from skerry.operators.folds import folded
+
+
+#: Videos of a manifest at most.
+MANIFEST_ROWS = 1_000_000
 
 
 def least_loaded(videos: DataFrame, batches: int) -> DataFrame:
     """Longest-processing-time batches: by falling cost then id, each to the least loaded batch (the lower number on ties).
 
-    videos(video_id, cost) is a batch manifest, one row per video file; the rule is sequential, so it is one group.
+    videos(video_id, cost) is a batch manifest, one row per video file and MANIFEST_ROWS at most; more is an error. The rule
+    is sequential: the manifest is sorted by Spark and streams through a heap of the batches' loads.
     """
+    if videos.limit(MANIFEST_ROWS + 1).count() > MANIFEST_ROWS:
+        raise ValueError(f"a manifest has {MANIFEST_ROWS} videos at most")
 
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["cost", "video_id"], ascending=[False, True], ignore_index=True)
+    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         heap = [(0.0, k) for k in range(batches)]
-        out = []
-        for c in pdf["cost"]:
-            load, k = heapq.heappop(heap)
-            out.append(k)
-            heapq.heappush(heap, (load + float(c), k))
-        return pdf.assign(batch=out)[["video_id", "cost", "batch"]]
-
-    d = videos.select("video_id", F.col("cost").cast("double").alias("cost")).withColumn("all", F.lit(0))
+        for pdf in frames:
+            out = []
+            for c in pdf["cost"]:
+                load, k = heap[0]
+                out.append(k)
+                heapq.heapreplace(heap, (load + float(c), k))
+            yield pdf.assign(batch=out)
+
+    d = videos.select("video_id", F.col("cost").cast("double").alias("cost")).coalesce(1).sortWithinPartitions(F.desc("cost"), "video_id")
     kind = videos.schema["video_id"].dataType.simpleString()
-    return d.groupBy("all").applyInPandas(lambda k, pdf: assign(pdf), f"video_id {kind}, cost double, batch int")
+    return d.mapInPandas(assign, f"video_id {kind}, cost double, batch int")
+
+
+#: Fixed values of a chunk policy: settings, and whether they must be above zero (else not below it).
+POLICY = {
+    "max_chunk_videos": True, "low_disk_max_chunk_videos": True, "medium_max_chunk_videos": True, "ram_low_max_chunk_videos": True, "ram_medium_max_chunk_videos": True,
+    "min_free_disk_gb": False, "medium_free_disk_gb": False, "minimum_available_gb": False, "medium_available_gb": False,
+}
+
+
+def checked_policy(policy: Mapping[str, float]) -> Mapping[str, float]:
+    """The policy, or an error that names what is wrong with it."""
+    for name, positive in POLICY.items():
+        if policy[name] < (1 if positive else 0):
+            raise ValueError(f"{name} must be {'a whole number above' if positive else 'no less than'} zero")
+    for low, high in (("min_free_disk_gb", "medium_free_disk_gb"), ("minimum_available_gb", "medium_available_gb")):
+        if policy[high] < policy[low]:
+            raise ValueError(f"{high} must be no less than {low}")
+    return policy
 
 
 def chunk_limit(free_disk_gb: float, ram_gb: float, policy: Mapping[str, float]) -> int:
-    """The most videos of a chunk: tiers by disk, then by memory, the smaller counts."""
-    n = int(policy["max_chunk_videos"])
-    if free_disk_gb < policy["min_free_disk_gb"]:
-        n = min(n, int(policy["low_disk_max_chunk_videos"]))
-    elif free_disk_gb <= policy["medium_free_disk_gb"]:
-        n = min(n, int(policy["medium_max_chunk_videos"]))
-    if ram_gb < policy["minimum_available_gb"]:
-        return min(n, int(policy["ram_low_max_chunk_videos"]))
-    if ram_gb <= policy["medium_available_gb"]:
-        return min(n, int(policy["ram_medium_max_chunk_videos"]))
-    return n
+    """The most videos of a chunk: of all tiers that the free disk and memory fall into the smallest one counts.
+
+    A tier is what is free, below what it holds (up to and with it for the medium ones), and its limit; a low tier hides its medium one.
+    """
+    checked_policy(policy)
+    tiers = [(resource, low, limit) for resource, *pair in (
+        (free_disk_gb, (policy["min_free_disk_gb"], "low_disk_max_chunk_videos"), (policy["medium_free_disk_gb"], "medium_max_chunk_videos")),
+        (ram_gb, (policy["minimum_available_gb"], "ram_low_max_chunk_videos"), (policy["medium_available_gb"], "ram_medium_max_chunk_videos")),
+    ) for low, limit in ([pair[0]] if resource < pair[0][0] else [pair[1]] if resource <= pair[1][0] else [])]
+    return int(min([policy["max_chunk_videos"], *(policy[limit] for _, _, limit in tiers)]))
 
 
 def greedy_chunks(videos: DataFrame, group: str, most: int, most_bytes: int) -> DataFrame:
-    """videos(group, pos, video_id, bytes) -> chunk per row: in order, a new chunk where the count or the bytes would be exceeded; unknown sizes count as the limit. Sequential within a group."""
-
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", ignore_index=True)
-        chunk, n, used, out = 0, 0, 0, []
-        for b in pdf["bytes"]:
-            b = most_bytes if pd.isna(b) else int(b)
-            if n and (n >= most or used + b > most_bytes):
-                chunk, n, used = chunk + 1, 0, 0
-            n, used = n + 1, used + b
-            out.append(chunk)
-        return pdf.assign(chunk=out)
-
-    fields = videos.select(group, "pos", "video_id", "bytes")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.schema.fields) + ", chunk int"
-    return fields.groupBy(group).applyInPandas(assign, schema)
+    """videos(group, pos, video_id, bytes) -> chunk per row: in order, a new chunk where the count or the bytes would be exceeded; unknown sizes count as the limit."""
+
+    def step(open_: dict[str, int], row: Any) -> int:
+        size = most_bytes if pd.isna(row.bytes) else int(row.bytes)
+        if open_["n"] and (open_["n"] >= most or open_["bytes"] + size > most_bytes):
+            open_.update(chunk=open_["chunk"] + 1, n=0, bytes=0)
+        open_.update(n=open_["n"] + 1, bytes=open_["bytes"] + size)
+        return open_["chunk"]
+
+    return folded(videos.select(group, "pos", "video_id", "bytes"), group, ["pos"], lambda: {"chunk": 0, "n": 0, "bytes": 0}, step, "chunk int")
 
 
 def consistency_reviews(gaps: DataFrame, votes: DataFrame, counts: DataFrame, judge: Callable[[DataFrame], DataFrame], rounds: int = 3, padding: int = 1) -> DataFrame:

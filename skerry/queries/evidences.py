@@ -82,22 +82,21 @@ def caption_modes(t):
 
 
 @query(f"""
-    WITH f AS (SELECT shot_id, min(time) AS s, max(time) + 0.5 AS e, list({{'k': keyframe_id, 't': time, 's': status, 'w': words}} ORDER BY time, frame_id) AS x FROM {_FRAMES_SQL} WHERE frame_id % 5 = 2 GROUP BY shot_id),
+    WITH f AS (SELECT shot_id, min(time) AS s, max(time) + 0.5 AS e, list({{'k': keyframe_id, 't': time, 's': status, 'w': words}} ORDER BY time, frame_id) AS x FROM {_FRAMES_SQL} GROUP BY shot_id),
     p AS (SELECT shot_id, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM f)
     SELECT f.shot_id, any_value('CAPTION_MODE: storyboard' || chr(10) || 'SHOT_ID: ' || f.shot_id || chr(10) || 'SHOT_TIME: ' || printf('%.6f-%.6f', s, e) || chr(10) || 'SOURCE_FRAME_COUNT: ' || len(x) || chr(10) || chr(10) || 'ORDERED_SOURCE_FRAMES:')
            || string_agg(chr(10) || chr(10) || printf('FRAME_%02d', i) || chr(10) || 'KEYFRAME_ID: ' || y.k || chr(10) || printf('TIMESTAMP_SEC: %.6f', y.t) || chr(10) || 'OCR_STATUS: ' || y.s || chr(10) || 'OCR_TEXT: ' || CASE WHEN y.s = 'failed' THEN '<UNAVAILABLE>' WHEN y.w <> '' THEN y.w ELSE '<NONE>' END, '' ORDER BY i) AS body
     FROM f JOIN p USING (shot_id) GROUP BY f.shot_id""")
 def evidence_bodies(t):
-    f = frames(t).filter("frame_id % 5 = 2").groupBy("shot_id").agg(F.min("time").alias("s"), (F.max("time") + 0.5).alias("e"), F.array_sort(F.collect_list(F.struct("time", "frame_id", "keyframe_id", "status", "words"))).alias("frames"))
+    f = frames(t).groupBy("shot_id").agg(F.min("time").alias("s"), (F.max("time") + 0.5).alias("e"), F.array_sort(F.collect_list(F.struct("time", "frame_id", "keyframe_id", "status", "words"))).alias("frames"))
     return f.select("shot_id", evidence.evidence_body(F.col("shot_id"), F.col("s"), F.col("e"), F.lit("storyboard"), F.col("frames")).alias("body"))
 
 
 @query("""
     SELECT vector_id, video_id, author, (SELECT string_agg(entity || ':' || printf('%.4f', score) || ':' || rank, ',' ORDER BY score DESC, rank, entity) FROM {detections} WHERE detections.vector_id = keyframes.vector_id) AS detections
-    FROM {keyframes} JOIN (SELECT video_id AS v, author FROM {videos}) a ON v = video_id WHERE vector_id % 25 = 0""")
+    FROM {keyframes} JOIN (SELECT video_id AS v, author FROM {videos}) a ON v = video_id""")
 def keyframe_details(t):
-    k = t("keyframes").filter("vector_id % 25 = 0").select("vector_id", "video_id")
-    d = evidence.details(k, t("videos").select("video_id", "author"), t("detections").join(k.select("vector_id"), "vector_id", "left_semi"))
+    d = evidence.details(t("keyframes").select("vector_id", "video_id"), t("videos").select("video_id", "author"), t("detections"))
     shown = F.array_join(F.transform("detections", lambda x: F.format_string("%s:%.4f:%d", x["entity"], x["score"], x["rank"])), ",")
     return d.select("vector_id", "video_id", "author", F.nullif(shown, F.lit("")).alias("detections"))
 

@@ -83,8 +83,10 @@ def token_jaccard(t):
     from pyspark.sql import Window
 
     w = Window.partitionBy("source").orderBy("doc_id")
-    d = t("documents").select("doc_id", "source", texts.tokens(F.col("text")).alias("w"))
-    d = d.withColumn("previous", F.lag("doc_id").over(w)).withColumn("v", F.lag("w").over(w)).filter("previous IS NOT NULL")
+    # only ids go through the window; the token sets, as hashes, join by id
+    pairs = t("documents").select("doc_id", F.lag("doc_id").over(w).alias("previous")).filter("previous IS NOT NULL")
+    sets = t("documents").select("doc_id", F.transform(F.array_distinct(texts.tokens(F.col("text"))), lambda x: F.xxhash64(x)).alias("w"))
+    d = pairs.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("previous"), F.col("w").alias("v")), "previous")
     return d.select("doc_id", "previous", F.round(dedup.token_jaccard_distance(F.col("w"), F.col("v")), 6).alias("distance"))
 
 
@@ -99,12 +101,12 @@ def hash_distances(t):
 @query("""
     WITH d AS (
       SELECT a.video_id, a.event_id AS candidate_id, b.event_id AS reference_id, abs(a.value - b.value) AS distance
-      FROM (SELECT * FROM {timeline}) a JOIN (SELECT * FROM {timeline}) b ON a.video_id = b.video_id WHERE a.frame_id % 5 = 1 AND b.frame_id % 5 = 0
+      FROM (SELECT * FROM {timeline}) a JOIN (SELECT * FROM {timeline}) b ON a.video_id = b.video_id WHERE a.event_type = 'view' AND b.event_type <> 'view'
     ) SELECT video_id, candidate_id, round(min(distance), 6) AS distance, arg_min(reference_id, {'d': distance, 'r': reference_id}) AS nearest FROM d GROUP BY video_id, candidate_id""")
 def nearest_references(t):
     d = t("timeline")
-    a = d.filter("frame_id % 5 = 1").select("video_id", F.col("event_id").alias("candidate_id"), F.col("value").alias("x"))
-    b = d.filter("frame_id % 5 = 0").select("video_id", F.col("event_id").alias("reference_id"), F.col("value").alias("y"))
+    a = d.filter("event_type = 'view'").select("video_id", F.col("event_id").alias("candidate_id"), F.col("value").alias("x"))
+    b = d.filter("event_type <> 'view'").select("video_id", F.col("event_id").alias("reference_id"), F.col("value").alias("y"))
     return dedup.nearest_references(a, b, "video_id", F.abs(F.col("x") - F.col("y"))).withColumn("distance", F.round("distance", 6))
 
 

@@ -155,7 +155,7 @@ _CATALOGUE_SQL = """(
 
 @query(f"""
     SELECT vector_id, video_id, author FROM {_CATALOGUE_SQL}
-    WHERE contains(lower(video_id), '02') OR contains(lower(author), '02') OR contains(publish_date_iso, '02')
+    WHERE contains(lower(video_id), '02') OR contains(lower(author), '02') OR contains(lower(collection_id), '02')
           OR contains(CASE WHEN keyframe_no = 0 THEN '' ELSE keyframe_no::VARCHAR END, '02') OR contains(CASE WHEN frame_idx = 0 THEN '' ELSE frame_idx::VARCHAR END, '02')""")
 def refine_contains(t):
     return filters.refine(_catalogue(t), " 02 ").select("vector_id", "video_id", "author")

@@ -192,20 +192,36 @@ def paired_gate(t):
     return d.withColumn("median_cosine", F.round("median_cosine", 6)).withColumn("min_cosine", F.round("min_cosine", 6))
 
 
-@query("SELECT user_id, CASE WHEN count(DISTINCT event_type) = 1 THEN min(event_type) ELSE 'mixed' END AS event_type FROM events WHERE event_id % 20 = 0 GROUP BY 1")
+@query("SELECT user_id, CASE WHEN count(DISTINCT event_type) = 1 THEN min(event_type) ELSE 'mixed' END AS event_type FROM events GROUP BY 1")
 def model_identity(t):
-    return aggregates.identity_or_mixed(t("events").filter("event_id % 20 = 0"), "user_id", ["event_type"])
+    return aggregates.identity_or_mixed(t("events"), "user_id", ["event_type"])
 
 
 # ---- batches and stages
 
 
-@query()
+@query("""
+    WITH RECURSIVE o AS (SELECT video_id, cost, row_number() OVER (ORDER BY cost DESC, video_id) AS k FROM (SELECT video_id, sum(25 + vector_id % 13)::DOUBLE AS cost FROM {keyframes} GROUP BY video_id)),
+    r AS (
+      SELECT 0::BIGINT AS k, list_transform(range(7), lambda i: 0.0::DOUBLE) AS loads, NULL::BIGINT AS batch, NULL::VARCHAR AS video_id, NULL::DOUBLE AS cost
+      UNION ALL
+      SELECT x.k, list_transform(range(1, 8), lambda i: x.loads[i] + CASE WHEN i = x.b THEN x.cost ELSE 0 END), x.b - 1, x.video_id, x.cost
+      FROM (SELECT o.*, r.loads, list_position(r.loads, list_min(r.loads))::BIGINT AS b FROM r JOIN o ON o.k = r.k + 1) x
+    ) SELECT video_id, cost, batch FROM r WHERE k > 0""")
 def lpt_batches(t):
-    return packing.least_loaded(t("documents").select(F.col("doc_id").alias("video_id"), F.col("n_chars").alias("cost")), 7)
+    """The manifest of videos: what their keyframes cost."""
+    manifest = t("keyframes").groupBy("video_id").agg(F.sum(25 + F.col("vector_id") % 13).alias("cost"))
+    return packing.least_loaded(manifest, 7)
 
 
-@query()
+@query("""
+    WITH RECURSIVE o AS (SELECT source, doc_id AS pos, doc_id AS video_id, CASE WHEN doc_id % 50 <> 0 THEN n_chars END AS bytes, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
+    r AS (
+      SELECT source, pos, video_id, bytes, k, 0 AS chunk, 1 AS n, coalesce(bytes, 60000)::BIGINT AS used FROM o WHERE k = 1
+      UNION ALL
+      SELECT o.source, o.pos, o.video_id, o.bytes, o.k, r.chunk + CASE WHEN full_ THEN 1 ELSE 0 END, CASE WHEN full_ THEN 1 ELSE r.n + 1 END, (CASE WHEN full_ THEN 0 ELSE r.used END + coalesce(o.bytes, 60000))::BIGINT
+      FROM r JOIN o ON o.source = r.source AND o.k = r.k + 1, LATERAL (SELECT r.n >= 12 OR r.used + coalesce(o.bytes, 60000) > 60000 AS full_) f
+    ) SELECT source, pos, video_id, bytes::BIGINT AS bytes, chunk::BIGINT AS chunk FROM r""")
 def greedy_chunks(t):
     d = t("documents").select("source", F.col("doc_id").alias("pos"), F.col("doc_id").alias("video_id"), F.when(F.col("doc_id") % 50 != 0, F.col("n_chars")).alias("bytes"))
     return packing.greedy_chunks(d, "source", 12, 60_000)
@@ -263,11 +279,11 @@ def fusion_diversified(t):
 
 
 @query("""
-    SELECT a.video_id, a.vector_id AS a, b.vector_id AS b FROM (SELECT * FROM {keyframes} WHERE vector_id % 4 = 0) a JOIN (SELECT * FROM {keyframes} WHERE vector_id % 4 = 1) b
+    SELECT a.video_id, a.vector_id AS a, b.vector_id AS b FROM (SELECT * FROM {keyframes}) a JOIN (SELECT * FROM {keyframes}) b
     ON a.video_id = b.video_id AND b.pts_time_sec > a.pts_time_sec AND b.pts_time_sec - a.pts_time_sec <= 90""")
 def temporal_within(t):
     k = t("keyframes")
-    return fusion.within(k.filter("vector_id % 4 = 0"), k.filter("vector_id % 4 = 1"), 90.0)
+    return fusion.within(k, k, 90.0)
 
 
 @query("""

@@ -174,7 +174,19 @@ def split_ranges(t):
     return d.select("event_id", F.posexplode(sequences.split_long(F.col("s"), F.col("e"), 10.0, 2.0)).alias("k", "p")).select("event_id", "k", "p.*")
 
 
-@query()
+@query("""
+    WITH RECURSIVE o AS (
+      SELECT video_id, start_sec::DOUBLE AS s, end_sec::DOUBLE AS e, row_number() OVER (PARTITION BY video_id ORDER BY start_sec, end_sec) AS k FROM {segments} WHERE end_sec - start_sec >= 0.6
+    ), r AS (
+      SELECT video_id, k, s, e, 0 AS piece FROM o WHERE k = 1
+      UNION ALL
+      SELECT o.video_id, o.k, CASE WHEN o.s - r.e <= 0.5 AND o.e - r.s <= 12 THEN r.s ELSE o.s END, o.e, r.piece + CASE WHEN o.s - r.e <= 0.5 AND o.e - r.s <= 12 THEN 0 ELSE 1 END
+      FROM r JOIN o ON o.video_id = r.video_id AND o.k = r.k + 1
+    ), p AS (SELECT video_id, min(s) AS s, arg_max(e, k) AS e FROM r GROUP BY video_id, piece),
+    q AS (SELECT *, e - s > 12 AS forced, unnest(range(0, CASE WHEN e - s > 12 THEN greatest(ceil((e - s - 12) / 11.0), 0)::BIGINT + 1 ELSE 1 END)) AS k FROM p),
+    c AS (SELECT video_id, k, s + k * 11.0::DOUBLE AS start_sec, CASE WHEN forced THEN least(e, s + k * 11.0::DOUBLE + 12.0::DOUBLE) ELSE e END AS end_sec, forced, CASE WHEN forced AND k > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS overlap FROM q),
+    n AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY start_sec) - 1 AS segment_index FROM c)
+    SELECT video_id, start_sec, end_sec, forced, overlap, segment_index FROM n WHERE end_sec - start_sec >= 0.6""")
 def packed_ranges(t):
     d = t("segments").select("video_id", F.col("start_sec").cast("double").alias("start_sec"), F.col("end_sec").cast("double").alias("end_sec"))
     return sequences.packed(d, 12.0, 0.5, 1.0, 0.6)

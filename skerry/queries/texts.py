@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skerry.functions import text
@@ -27,16 +29,28 @@ _TOKENS_SQL = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^
 
 @query(rf"SELECT token, count(*) AS docs FROM (SELECT DISTINCT doc_id, unnest({_TOKENS_SQL}) AS token FROM documents) GROUP BY token")
 def token_index(t):
-    return text.inverted(t("documents"), "doc_id", F.col("text")).groupBy("token").agg(F.countDistinct("doc_id").alias("docs"))
+    # tokens are distinct per document, so counting rows counts documents
+    return text.inverted(t("documents"), "doc_id", F.col("text")).groupBy("token").agg(F.count(F.lit(1)).alias("docs"))
 
 
 @query(rf"SELECT DISTINCT doc_id FROM documents WHERE list_contains({_TOKENS_SQL}, 'license') AND list_contains({_TOKENS_SQL}, 'apache')")
 def token_match(t):
-    index = text.inverted(t("documents"), "doc_id", F.col("text")).filter(F.col("token").isin("license", "apache"))
-    return index.groupBy("doc_id").agg(F.countDistinct("token").alias("n")).filter("n = 2").select("doc_id")
+    lower, words = F.lower("text"), text.tokens(F.col("text"))
+    d = t("documents").filter(lower.contains("license") & lower.contains("apache"))
+    return d.filter(F.array_contains(words, "license") & F.array_contains(words, "apache")).select("doc_id").distinct()
+
+
+@query(rf"SELECT DISTINCT doc_id FROM documents WHERE list_contains({_TOKENS_SQL}, 'license') AND list_contains({_TOKENS_SQL}, 'apache')")
+def token_search(t):
+    """The same by an index that is stored first; the search reads the folders of its two tokens."""
+    spark = t.spark
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = f"{shared}/token-index-{uuid.uuid4().hex}"
+    text.write_inverted(t("documents"), "doc_id", F.col("text"), path)
+    return text.search_inverted(spark.read.parquet(path), ["License", "apache"], "doc_id")
 
 
-@query(r"SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda w: length(w) >= 4)[1] AS token, length(array_to_string(w, '')) <= 40 OR len(w) <= 12 AS low FROM (SELECT *, " + _TOKENS_SQL + " AS w FROM documents)")
+@query(r"SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda w: length(w) >= 4)[1] AS token, length(array_to_string(w, '')) <= 40 OR len(w) <= 12 AS low FROM (SELECT *, list_filter(regexp_split_to_array(replace(lower(nfc_normalize(coalesce(text, ''))), 'ß', 'ss'), '[^\p{L}\p{N}_]+'), lambda w: w <> '') AS w FROM documents)")
 def token_sample(t):
     return t("documents").select("doc_id", text.sample_token(F.col("text"), 4).alias("token"), text.low_information(F.col("text"), 40, 12).alias("low"))
 
@@ -165,10 +179,10 @@ def watch_links(t):
 
 
 @query("""
-    WITH x AS (SELECT page_id, replace(replace(replace(replace(replace(left(html, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS h FROM pages)
+    WITH x AS (SELECT page_id, replace(replace(replace(replace(replace(coalesce(html, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS h FROM pages)
     SELECT page_id, '| page | ' || page_id::VARCHAR || ' |' || chr(10) || '| html | ' || h || ' |' AS rows FROM x""")
 def detail_rows(t):
-    return t("pages").select("page_id", text.detail_table({"page": F.col("page_id"), "html": F.substring("html", 1, 200)}).alias("rows"))
+    return t("pages").select("page_id", text.detail_table({"page": F.col("page_id"), "html": F.col("html")}).alias("rows"))
 
 
 @query("SELECT page_id, regexp_replace(trim(url), '[^A-Za-z0-9._-]+', '_', 'g') AS stem FROM pages")
@@ -183,9 +197,9 @@ def ordered_transcript(t):
 
 
 @query(r"""
-    SELECT page_id, CASE WHEN upper(s) = '<NONE>' THEN '' ELSE s END AS summary FROM (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '<none>' ELSE trim(regexp_replace(left(html, 80), '\s+', ' ', 'g')) END AS s FROM pages)""")
+    SELECT page_id, CASE WHEN upper(s) = '<NONE>' THEN '' ELSE s END AS summary FROM (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '<none>' ELSE trim(regexp_replace(html, '\s+', ' ', 'g')) END AS s FROM pages)""")
 def optional_texts(t):
-    return t("pages").select("page_id", text.optional_text(F.when(F.col("page_id") % 5 == 0, " <none>\n").otherwise(F.substring("html", 1, 80))).alias("summary"))
+    return t("pages").select("page_id", text.optional_text(F.when(F.col("page_id") % 5 == 0, " <none>\n").otherwise(F.col("html"))).alias("summary"))
 
 
 @query("SELECT event_id, concat_ws(',', CASE WHEN event_id % 2 = 0 THEN 'even' END, CASE WHEN event_id % 3 = 0 THEN 'three' END, event_type) AS keywords FROM events")

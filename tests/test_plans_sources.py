@@ -154,3 +154,20 @@ def test_streams_equal_batches(spark, tmp_path, sf_dir):
     got = spark.table("counted").select("start", "event_type", "events").collect()
     want = windows.event_counts(events).select("start", "event_type", "events").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_policy_is_checked():
+    policy = {k: 2 for k in packing.POLICY}
+    assert packing.checked_policy(policy) is policy
+    for name in packing.POLICY:
+        with pytest.raises(ValueError, match=name):
+            packing.checked_policy(policy | {name: -1})
+    for name in ("medium_free_disk_gb", "medium_available_gb"):
+        with pytest.raises(ValueError, match="no less than"):
+            packing.checked_policy(policy | {name: 1})
+
+
+def test_manifests_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MANIFEST_ROWS", 3)
+    with pytest.raises(ValueError, match="3 videos"):
+        packing.least_loaded(spark.createDataFrame([(str(i), 1.0) for i in range(4)], "video_id string, cost double"), 2)

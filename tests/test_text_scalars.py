@@ -1,3 +1,6 @@
+import re
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +98,33 @@ def test_statuses_outside_the_domain_are_errors(spark):
         one(spark, scalars.speech_status(F.lit("?"), F.lit(1)))
     with pytest.raises(Exception, match="not in the domain"):
         one(spark, scalars.domain_value(F.lit("smell"), ["audio", "visual"]))
+
+
+def test_find_in_results_folds_both_sides(spark):
+    from skerry.operators import filters
+
+    rows = [(1, "Hauptstraße", "L01"), (2, "HAUPTSTRASSE", "L02"), (3, "İzmir", "L03"), (4, "ΟΔΥΣΣΕΥΣ", "L04"), (5, None, "L05")]
+    d = spark.createDataFrame(rows, "keyframe_no int, title string, collection_id string")
+    for query in ("Straße", "strasse", "STRASSE", "izmir", "İZM", "οδυσσευς", "l02", "5"):
+        want = [r[0] for r in rows if any(query.casefold() in str(v or "").casefold() for v in (r[1], r[2], r[0]))]
+        assert [r.keyframe_no for r in filters.refine(d, query).orderBy("keyframe_no").collect()] == want, query
+    with pytest.raises(ValueError, match="Frame Index must be an integer"):
+        filters.matches_within("x", "frame_idx", ["frame_idx"])
+
+
+def test_low_information_counts_compared_characters(spark):
+    texts = ["ﬁﬂ", "１２３４５ ６", "a_b", "one two three four five six seven", "", None, "ß" * 7, "́"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+
+    def plain(t, chars, words):
+        t = " ".join(re.findall(r"\w+", unicodedata.normalize("NFKC", t or "").casefold()))
+        return len(t.replace(" ", "")) <= chars or len(t.split()) <= words
+
+    for chars, words in ((3, 1), (6, 0), (12, 1), (20, 3)):
+        got = {r.i: r.low for r in d.select("i", text.low_information(F.col("t"), chars, words).alias("low")).collect()}
+        assert got == {i: plain(t, chars, words) for i, t in enumerate(texts)}
+
+
+def test_keep_first_keeps_places(spark):
+    d = spark.createDataFrame([(["b", "A", "a", "B", "c", "a"],), ([],), (["x"],)], "v array<string>")
+    assert [r.k for r in d.select(text.keep_first(F.col("v"), F.lower).alias("k")).collect()] == [["b", "A", "c"], [], ["x"]]
