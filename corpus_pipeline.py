@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skerry.llm import bpe, decontaminate, jaccard, lines, quality
-from skerry.llm.common import Scratch, table, tokenizer_path
+from skerry.llm.common import Scratch, released, table, tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
+    before = None
     for _, stage in STAGES:
-        docs = scratch.put(stage(spark, docs, sf_dir))
+        with released():
+            docs = scratch.put(stage(spark, docs, sf_dir))
+        if before is not None:
+            scratch.drop(before)
+        before = docs
     return docs

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +33,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: The runs that ``released`` frees.
+_held: list[Scratch] | None = None
+
+
 class Scratch:
-    """Written tables of one run; ``put`` cuts the lineage, ``drop`` frees the files of tables no longer read."""
+    """Written tables of one run; ``put`` cuts the lineage, ``drop`` frees the files of tables no longer read.
+
+    A returned DataFrame reads the tables that are left, so they stay until the caller has its rows: see ``released``.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        if _held is not None:
+            _held.append(self)
 
     def put(self, df: DataFrame) -> DataFrame:
         """df as written to the shared folder and reread; nothing of its shuffles is left on disk."""
@@ -54,10 +65,28 @@ class Scratch:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
         for df in tables:
-            path = jvm.org.apache.hadoop.fs.Path(df._skerry_path)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(df._skerry_path)
+
+    def close(self) -> None:
+        self._delete(self.root)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def released() -> Iterator[None]:
+    """Frees all that operators write inside it at its end; results must have been written elsewhere by then."""
+    global _held
+    before, _held = _held, []
+    try:
+        yield
+    finally:
+        for scratch in _held:
+            scratch.close()
+        _held = before
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
