@@ -34,8 +34,8 @@ from skerry.llm.common import Scratch, checked_broadcast
 from skerry.llm.components import connected
 
 WIDTH = 5
-#: A token counts as common from so many documents on (counted where HEAVY_ROWS of them have it HEAVY_LOCAL times or more); the most common ones are listed.
-HEAVY, HEAVY_ROWS, HEAVY_LOCAL, HEAVY_LISTED = 16, 5_000, 2, 100_000
+#: A token counts as common from so many documents on (counted where HEAVY_HELD tokens of a task have it HEAVY_LOCAL times or more); the most common ones are listed.
+HEAVY, HEAVY_HELD, HEAVY_LOCAL, HEAVY_LISTED = 16, 2_000_000, 2, 100_000
 #: First tokens of order 2 that stars look at; hubs of a component in a round; the share of a round's candidates that must be links for another round.
 STAR_TOKENS, HUBS, STAR_YIELD = 8, 4, 0.1
 #: Words hashed at a time, so a text of any length takes bounded memory.
@@ -103,12 +103,21 @@ def _batches(frames: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
 def common_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the most common tokens, HEAVY_LISTED at most, from counts over all documents; and their places by rising count."""
 
+    def often(sets: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate([*sets, np.empty(0, dtype=np.uint64)]), return_counts=True)
+        some = n >= HEAVY_LOCAL
+        return pa.record_batch({"token": found[some].view(np.int64), "n": n[some].astype(np.int64)})
+
     def counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in _batches(frames, HEAVY_ROWS):
-            sets = [shingles(t) for t in frame.column(0).to_pylist()]
-            found, n = np.unique(np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64), return_counts=True)
-            often = n >= HEAVY_LOCAL
-            yield pa.record_batch({"token": found[often].view(np.int64), "n": n[often].astype(np.int64)})
+        sets, held = [], 0
+        for frame in _batches(frames):
+            for text in frame.column(0).to_pylist():
+                sets.append(shingles(text))
+                held += len(sets[-1])
+                if held >= HEAVY_HELD:
+                    yield often(sets)
+                    sets, held = [], 0
+        yield often(sets)
 
     counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(counted, "token long, n long")
     listed = counts.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "token").limit(HEAVY_LISTED)
