@@ -75,7 +75,11 @@ def _counts(docs: DataFrame, extra: list[Column]) -> DataFrame:
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """Per document: the counts, whether the base rules fail it, and a hash of the text that tells rows apart."""
+    """Per document: the counts, whether the base rules fail it, and a hash of the text that tells rows apart.
+
+    To be written before it is used: where a query needs few of the columns, Spark may merge the steps and split a text
+    again for each of its words.
+    """
     d = _counts(docs, [F.xxhash64("text").alias("text_hash")])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return d.withColumn("base_failed", failed)
@@ -89,7 +93,7 @@ def _metrics() -> dict[str, Column]:
 def thresholds(found: DataFrame) -> DataFrame:
     """Bounds per language and source, from documents that the base rules pass: max_* (shares; code points a word) and min_length.
 
-    The number of rows follows the number of sources.
+    found: counts as written to a table. The number of rows follows the number of sources.
     """
     d = found.filter(~F.col("base_failed")).select("lang", "source", *[c.alias(k) for k, c in _metrics().items()])
     sketched = [F.percentile_approx(k, [0.25, 0.75], ACCURACY).alias(k) for k in REACH]

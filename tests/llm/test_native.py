@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 
 from skerry.llm import decontaminate, lines, quality, shards
+from skerry.llm.common import Scratch
 from skerry.llm.queries import QUERIES
 from skerry.llm.sql import ORACLE
 from tests.llm import brute
@@ -60,7 +61,8 @@ def test_bounds_adapt(spark):
     rows = [(i, text(0.01 + 0.02 * r.random()), "en", "web", 0) for i in range(150)] + [(300 + i, text(0.1 + 0.1 * r.random()), "en", "forum", 0) for i in range(150)]
     rows += [(900, text(0.45), "en", "web", 0), (901, text(0.45), "en", "forum", 0)]
     d = spark.createDataFrame(rows, SCHEMA)
-    found = {x.source: x.max_symbols for x in quality.thresholds(quality.counts(d)).collect()}
+    counted = Scratch(spark, "counts").put(quality.counts(d))
+    found = {x.source: x.max_symbols for x in quality.thresholds(counted).collect()}
     assert found["forum"] > 2 * found["web"]
     kept = {x.doc_id: x.kept for x in quality.judge(d).collect()}
     assert all(k for i, k in kept.items() if i < 900) and not kept[900] and kept[901]
