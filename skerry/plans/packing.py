@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from skerry.operators import sequences
 from skerry.operators.folds import folded
 
-
 #: Videos of a manifest at most.
 MANIFEST_ROWS = 1_000_000
 
@@ -63,17 +62,21 @@ def checked_policy(policy: Mapping[str, float]) -> Mapping[str, float]:
     return policy
 
 
-def chunk_limit(free_disk_gb: float, ram_gb: float, policy: Mapping[str, float]) -> int:
-    """The most videos of a chunk: of all tiers that the free disk and memory fall into the smallest one counts.
+#: Fixed values of a chunk policy, per resource: what counts as low (below it) and as medium (up to it), each with its limit.
+TIERS = {
+    "disk": (("min_free_disk_gb", "low_disk_max_chunk_videos"), ("medium_free_disk_gb", "medium_max_chunk_videos")),
+    "ram": (("minimum_available_gb", "ram_low_max_chunk_videos"), ("medium_available_gb", "ram_medium_max_chunk_videos")),
+}
 
-    A tier is what is free, below what it holds (up to and with it for the medium ones), and its limit; a low tier hides its medium one.
-    """
+
+def chunk_limit(free_disk_gb: float, ram_gb: float, policy: Mapping[str, float]) -> int:
+    """The most videos of a chunk: the smallest limit among the tiers that the resources are in; low hides medium."""
     checked_policy(policy)
-    tiers = [(resource, low, limit) for resource, *pair in (
-        (free_disk_gb, (policy["min_free_disk_gb"], "low_disk_max_chunk_videos"), (policy["medium_free_disk_gb"], "medium_max_chunk_videos")),
-        (ram_gb, (policy["minimum_available_gb"], "ram_low_max_chunk_videos"), (policy["medium_available_gb"], "ram_medium_max_chunk_videos")),
-    ) for low, limit in ([pair[0]] if resource < pair[0][0] else [pair[1]] if resource <= pair[1][0] else [])]
-    return int(min([policy["max_chunk_videos"], *(policy[limit] for _, _, limit in tiers)]))
+    limits = [policy["max_chunk_videos"]]
+    for resource, free in (("disk", free_disk_gb), ("ram", ram_gb)):
+        (low, at_low), (medium, at_medium) = TIERS[resource]
+        limits += [policy[at_low]] if free < policy[low] else [policy[at_medium]] if free <= policy[medium] else []
+    return int(min(limits))
 
 
 def greedy_chunks(videos: DataFrame, group: str, most: int, most_bytes: int) -> DataFrame:
