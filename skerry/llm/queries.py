@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skerry.llm import bpe, chat, decontaminate, html, jaccard, licenses, lines, pii, quality, shards
+from skerry.llm import bpe, chat, classifier, decontaminate, html, infill, jaccard, licenses, lines, pii, quality, resample, shards
 from skerry.llm.common import table, tokenizer_path
 
 
@@ -60,6 +60,18 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -71,5 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_chat": op9_chat,
     "op10_decontamination": op10_decontamination,
+    "op11_resampling": op11_resampling,
+    "op12_infill": op12_infill,
+    "op13_classifier": op13_classifier,
     "sharding_64k": sharding_64k,
 }

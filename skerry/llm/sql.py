@@ -160,3 +160,54 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(chars)::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+ORACLE["op12_infill"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hx FROM documents
+), drawn AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || hx[1:8])::BIGINT AS h1, ('0x' || hx[9:16])::BIGINT AS h2, ('0x' || hx[17:24])::BIGINT AS h3, ('0x' || hx[25:32])::BIGINT AS h4 FROM docs
+), ranks AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:n], '') AS suffix FROM ranks
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle) ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+ORACLE["op11_resampling"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, FALSE AS wanted, doc_id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT row_number() OVER (), TRUE, NULL, coalesce(text, '') FROM benchmark
+), words AS (
+  SELECT r, wanted, doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM texts
+), grams AS (
+  SELECT r, wanted, array_to_string(w[i:i + k - 1], ' ') AS gram
+  FROM (SELECT r, wanted, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)
+), counted AS (SELECT r, wanted, gram, count(*) AS n FROM grams GROUP BY ALL),
+start(b, v, k) AS MATERIALIZED (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM start WHERE k < 8
+), entries AS MATERIALIZED (SELECT list(v ORDER BY b) AS t FROM start WHERE k = 8),
+hexed AS MATERIALIZED (SELECT gram, hex(encode(gram)) AS hx FROM (SELECT DISTINCT gram FROM counted)),
+steps(gram, hx, i, crc) AS (
+  SELECT gram, hx, 0, 4294967295 FROM hexed
+  UNION ALL
+  SELECT gram, hx, i + 1, xor(t[1 + (xor(crc, ('0x' || hx[2 * i + 1:2 * i + 2])::BIGINT) & 255)], crc >> 8) FROM steps, entries WHERE 2 * i < length(hx)
+), hashed AS MATERIALIZED (SELECT gram, xor(crc, 4294967295) % 10000 AS bucket FROM steps WHERE 2 * i = length(hx)),
+per AS MATERIALIZED (SELECT r, wanted, bucket, sum(n)::BIGINT AS n FROM counted JOIN hashed USING (gram) GROUP BY ALL),
+sums AS (SELECT bucket, coalesce(sum(n) FILTER (NOT wanted), 0) AS s, coalesce(sum(n) FILTER (wanted), 0) AS t FROM per GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT sum(s) FROM sums) + 10000)::DOUBLE) / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM sums) + 10000)::DOUBLE)))::BIGINT AS gain FROM sums
+), weighed AS (SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM per JOIN gains USING (bucket) WHERE NOT wanted GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM words d LEFT JOIN weighed USING (r) WHERE NOT d.wanted
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS k, 5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND k <= drawn THEN k END AS rank FROM ranked
+"""

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from skerry.llm import bpe, chat, decontaminate, html, jaccard, licenses, lines, pii, quality, shards
+from skerry.llm import bpe, chat, decontaminate, html, infill, jaccard, licenses, lines, pii, quality, resample, shards
 from skerry.llm.common import tokenizer_path
 
 WORDS = tokenizer_path("word_bpe_49k.json")
@@ -36,6 +36,8 @@ OPERATORS = {
     "quality.keep_good": (quality.keep_good, None),
     "html": (lambda d: html.find(_pages(d)), True),
     "chat": (lambda d: chat.digests(_turns(d), BYTES), False),
+    "resample": (lambda d: resample.draw(d, _items(d)), True),
+    "infill": (infill.digests, True),
     "decontaminate": (lambda d: decontaminate.leaks(d, _items(d)), False),
     "decontaminate.clean": (lambda d: decontaminate.clean(d, _items(d)), None),
 }
