@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from skerry.functions import text, vectors
@@ -12,12 +10,12 @@ from skerry.plans import packing
 from skerry.queries.base import query
 from skerry.queries.evidences import _FRAMES_SQL, frames
 from skerry.sources import records, release
+from skerry.sources.shared import new_path
 
 
 def _path(t, name: str) -> str:
     """A new folder below the one that driver and executors share."""
-    shared = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.sparkContext.getCheckpointDir()
-    return f"{shared}/{name}-{uuid.uuid4().hex}"
+    return new_path(t.spark, name)
 
 
 # ---- feature rows
