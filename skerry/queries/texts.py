@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skerry.functions import text
+from skerry.functions import fulltext, text
 from skerry.operators import aggregates
 from skerry.queries.base import query
+from skerry.sources.shared import new_path
 
 
 @query("""
@@ -43,11 +45,36 @@ def token_match(t):
 @query(rf"SELECT DISTINCT doc_id FROM documents WHERE list_contains({_TOKENS_SQL}, 'license') AND list_contains({_TOKENS_SQL}, 'apache')")
 def token_search(t):
     """The same by an index that is stored first; the search reads the folders of its two tokens."""
-    spark = t.spark
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    path = f"{shared}/token-index-{uuid.uuid4().hex}"
+    path = new_path(t.spark, "token-index")
     text.write_inverted(t("documents"), "doc_id", F.col("text"), path)
-    return text.search_inverted(spark.read.parquet(path), ["License", "apache"], "doc_id")
+    return text.search_inverted(t.spark.read.parquet(path), ["License", "apache"], "doc_id")
+
+
+#: Probes of one stored index: phrases that must all be there.
+_PROBES = {"accents": ["CIÓN"], "phrase": ["Apache  License"], "both": ["de-la", "QUE"], "repeated": ["the the"], "none": ["license apache gnu"]}
+_TERMS_SQL = r"list_filter(regexp_split_to_array(strip_accents(lower(coalesce(text, ''))), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+
+
+def _hits_sql(phrase: str) -> str:
+    words = phrase.split()
+    same = " AND ".join(f"coalesce(w[i + {k}] = '{x}', FALSE)" for k, x in enumerate(words))
+    return f"len(list_filter(range(1, len(w) + 1), lambda i: {same}))"
+
+
+@query(f"""
+    WITH d AS (SELECT doc_id, {_TERMS_SQL} AS w FROM documents),
+    h AS (SELECT 'accents' AS probe, doc_id, {_hits_sql("cion")} AS hits FROM d UNION ALL SELECT 'phrase', doc_id, {_hits_sql("apache license")} FROM d UNION ALL SELECT 'repeated', doc_id, {_hits_sql("the the")} FROM d
+          UNION ALL SELECT 'both', doc_id, CASE WHEN a > 0 AND b > 0 THEN a + b ELSE 0 END FROM (SELECT doc_id, {_hits_sql("de la")} AS a, {_hits_sql("que")} AS b FROM d)
+          UNION ALL SELECT 'prefix', doc_id, len(list_filter(w, lambda x: starts_with(x, 'licen'))) FROM d)
+    SELECT probe, doc_id, hits::BIGINT AS hits FROM h WHERE hits > 0""")
+def fulltext_probes(t):
+    """Words, phrases and a prefix, looked up in one stored table of positions."""
+    path = new_path(t.spark, "fulltext")
+    fulltext.write_index(t("documents"), "doc_id", F.col("text"), path)
+    index = t.spark.read.parquet(path)
+    found = [fulltext.matching(index, "doc_id", phrases).select(F.lit(name).alias("probe"), "doc_id", "hits") for name, phrases in _PROBES.items()]
+    found.append(fulltext.prefixed(index, "doc_id", "Licén").select(F.lit("prefix").alias("probe"), "doc_id", "hits"))
+    return reduce(DataFrame.unionAll, found)
 
 
 @query(r"SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda w: length(w) >= 4)[1] AS token, length(array_to_string(w, '')) <= 40 OR len(w) <= 12 AS low FROM (SELECT *, list_filter(regexp_split_to_array(replace(lower(nfc_normalize(coalesce(text, ''))), 'ß', 'ss'), '[^\p{L}\p{N}_]+'), lambda w: w <> '') AS w FROM documents)")
