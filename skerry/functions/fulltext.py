@@ -28,13 +28,13 @@ def folding() -> tuple[str, str]:
         low = chr(code).lower()
         if len(low) > 1 or low != chr(code):  # lower() has been here before
             continue
-        apart = unicodedata.normalize("NFD", low)
+        plain = low.casefold() if len(low.casefold()) == 1 else low
+        apart = unicodedata.normalize("NFD", plain)
         if len(apart) == 2 and apart[0].isascii() and unicodedata.combining(apart[1]):
+            plain = apart[0]
+        if plain != low:
             old.append(low)
-            new.append(apart[0])
-        elif len(low.casefold()) == 1 and low.casefold() != low:
-            old.append(low)
-            new.append(low.casefold())
+            new.append(plain)
     return "".join(old) + ACCENTS, "".join(new)
 
 

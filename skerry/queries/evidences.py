@@ -102,12 +102,12 @@ def keyframe_details(t):
 
 
 @query(f"""
-    SELECT s.shot_id, coalesce(string_agg(f.keyframe_id, ',' ORDER BY f.time, f.frame_id), '') AS frames, coalesce(string_agg(f.words, ' ' ORDER BY f.time, f.keyframe_id) FILTER (f.frame_id % 2 = 0), '') AS transcript
-    FROM (SELECT DISTINCT shot_id FROM {_FRAMES_SQL}) s LEFT JOIN (SELECT * FROM {_FRAMES_SQL} WHERE frame_id % 20 < 8 AND words <> '') f ON f.shot_id = s.shot_id GROUP BY s.shot_id""")
+    SELECT s.shot_id, coalesce(string_agg(f.keyframe_id, ',' ORDER BY f.time, f.frame_id), '') AS frames, coalesce(string_agg(f.words, ' ' ORDER BY f.time, f.keyframe_id) FILTER (f.status <> 'failed'), '') AS transcript
+    FROM (SELECT DISTINCT shot_id FROM {_FRAMES_SQL}) s LEFT JOIN (SELECT * FROM {_FRAMES_SQL} WHERE words <> '') f ON f.shot_id = s.shot_id GROUP BY s.shot_id""")
 def shot_records(t):
     f = frames(t)
-    some = f.filter("frame_id % 20 < 8 AND words <> ''")
-    words = some.filter("frame_id % 2 = 0").select("shot_id", F.col("time").alias("start_sec"), F.col("keyframe_id").alias("word_id"), F.col("words").alias("text"))
+    some = f.filter("words <> ''")
+    words = some.filter("status <> 'failed'").select("shot_id", F.col("time").alias("start_sec"), F.col("keyframe_id").alias("word_id"), F.col("words").alias("text"))
     d = evidence.shot_records(f.select("shot_id").distinct(), some, words)
     return d.select("shot_id", F.array_join(F.transform("frames", lambda x: x["keyframe_id"]), ",").alias("frames"), "transcript")
 

@@ -61,11 +61,11 @@ def asof_frames(t):
 @query("""
     SELECT video_id, segment_id AS target_id, frame_id AS nearest FROM (
       SELECT s.video_id, segment_id, f.frame_id, row_number() OVER (PARTITION BY s.video_id, segment_id ORDER BY abs(f.frame_id - t), f.frame_id) AS n
-      FROM (SELECT video_id, segment_id, floor(start_sec * 2)::BIGINT AS t FROM {segments}) s JOIN (SELECT video_id, frame_id FROM {timeline} WHERE frame_id % 3 = 0) f ON f.video_id = s.video_id
+      FROM (SELECT video_id, segment_id, floor(start_sec * 2)::BIGINT AS t FROM {segments}) s JOIN (SELECT video_id, frame_id FROM {timeline}) f ON f.video_id = s.video_id
     ) WHERE n = 1""")
 def nearest_frame(t):
     targets = segments(t).select("video_id", F.col("segment_id").alias("target_id"), F.floor(F.col("start_sec") * 2).alias("target"))
-    return intervals.nearest(targets, t("timeline").filter("frame_id % 3 = 0").select("video_id", F.col("frame_id").alias("at"), "frame_id"), "at")
+    return intervals.nearest(targets, t("timeline").select("video_id", F.col("frame_id").alias("at"), "frame_id"), "at")
 
 
 @query(f"""

@@ -251,8 +251,8 @@ def stage_reuse(t):
 # ---- fusion and scoring
 
 _HITS_SQL = f"""
-    WITH hits AS (SELECT 'visual' AS modality, vec_id AS vector_id, {dot_sql(7)} AS score FROM embeddings UNION ALL SELECT 'caption', vec_id, {dot_sql(11)} FROM embeddings WHERE vec_id % 3 = 0
-                  UNION ALL SELECT 'ocr', vec_id, (vec_id % 10)::DOUBLE FROM embeddings WHERE vec_id % 4 = 0),
+    WITH hits AS (SELECT 'visual' AS modality, vec_id AS vector_id, {dot_sql(7)} AS score FROM embeddings UNION ALL SELECT 'caption', vec_id, {dot_sql(11)} FROM embeddings
+                  UNION ALL SELECT 'ocr', vec_id, (vec_id % 10)::DOUBLE FROM embeddings),
     b AS (SELECT modality, min(score) AS lo, max(score) AS hi FROM hits GROUP BY 1),
     n AS (SELECT modality, vector_id, CASE WHEN hi > lo THEN (score - lo) / (hi - lo) ELSE 1.0 END AS score FROM hits JOIN b USING (modality)),
     w(modality, weight) AS (VALUES ('visual', 0.25::DOUBLE), ('caption', 0.25::DOUBLE), ('ocr', 0.15::DOUBLE)),
@@ -263,7 +263,7 @@ def _fused(t):
     k = t("keyframes")
     hit = lambda name, d, score: d.select(F.lit(name).alias("modality"), "vector_id", score.alias("score"))
     d = hit("visual", k, vectors.dot(F.col("embedding"), t.vector(7)))
-    d = d.unionByName(hit("caption", k.filter("vector_id % 3 = 0"), vectors.dot(F.col("embedding"), t.vector(11)))).unionByName(hit("ocr", k.filter("vector_id % 4 = 0"), (F.col("vector_id") % 10).cast("double")))
+    d = d.unionByName(hit("caption", k, vectors.dot(F.col("embedding"), t.vector(11)))).unionByName(hit("ocr", k, (F.col("vector_id") % 10).cast("double")))
     return fusion.fused(fusion.normalised(d), fusion.PROFILES["tkis"])
 
 

@@ -131,14 +131,14 @@ def _counts(t):
 
 
 _REGIONS_SQL = _TRIGGER_SQL + """
-    , p AS (SELECT h.video_id, greatest(0, gap - 1) AS s, least(top, gap + 1) AS e FROM (SELECT video_id, gap FROM hits WHERE gap % 4 = 0) h JOIN (SELECT video_id, max(frame_id) // 3 AS top FROM {timeline} GROUP BY video_id) c USING (video_id)),
+    , p AS (SELECT h.video_id, greatest(0, gap - 1) AS s, least(top, gap + 1) AS e FROM (SELECT video_id, gap FROM hits) h JOIN (SELECT video_id, max(frame_id) // 3 AS top FROM {timeline} GROUP BY video_id) c USING (video_id)),
     q AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY video_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM p),
     r AS (SELECT *, sum(fresh) OVER (PARTITION BY video_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM q),
     regions AS (SELECT video_id, min(s) AS s, max(e) AS e, count(*) AS parts FROM r GROUP BY video_id, island)"""
 
 
 def _regions(t):
-    return sequences.review_regions(_triggered(t).filter("gap % 4 = 0"), _counts(t), 1)
+    return sequences.review_regions(_triggered(t), _counts(t), 1)
 
 
 @query(_REGIONS_SQL + ' SELECT video_id, s AS "start", e AS "end", parts FROM regions')
