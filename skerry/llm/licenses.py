@@ -1,8 +1,10 @@
 """License scans: exact phrases, and short notices with a bounded number of edits.
 
-Fuzzy search in two steps. A notice that occurs with at most k edits has been cut into k + 1 pieces beforehand; one of
-them occurs unchanged (pigeonhole), so one pass of an automaton of all pieces finds every candidate place. Around each
-candidate the regex library matches the whole notice with at most k errors and gives its span. Of spans that lie inside
+Fuzzy search in three steps. A notice that may have k edits has been cut into k + 3 pieces beforehand; three of them occur
+unchanged (pigeonhole), at distances that k edits allow, so one pass of an automaton of all pieces finds every candidate
+place. There a bit-parallel pass gives the fewest edits that any stretch needs, in time that follows the stretch's length:
+ordinary prose about licenses ends here. What is left the regex library matches with a bounded number of errors, around
+the place that is known by then, and gives its span. Of spans that lie inside
 another one the longer notice stays ("creative commons attribution" in "creative commons attribution sharealike").
 """
 
@@ -61,15 +63,15 @@ NOTICES = (
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 8),
     ("the above copyright notice and this permission notice shall be included in all copies", "mit", 9),
     ("redistribution and use in source and binary forms with or without", "bsd", 8),
-    ("bsd 2 clause", "bsd", 1),
-    ("bsd 3 clause", "bsd", 1),
-    ("2 clause bsd", "bsd", 1),
-    ("3 clause bsd", "bsd", 1),
+    ("bsd 2 clause", "bsd", 0),
+    ("bsd 3 clause", "bsd", 0),
+    ("2 clause bsd", "bsd", 0),
+    ("3 clause bsd", "bsd", 0),
     ("simplified bsd license", "bsd", 2),
-    ("new bsd license", "bsd", 1),
-    ("bsd license", "bsd", 1),
+    ("new bsd license", "bsd", 0),
+    ("bsd license", "bsd", 0),
     ("permission to use copy modify and or distribute this software for any purpose with or without fee", "isc", 10),
-    ("isc license", "isc", 1),
+    ("isc license", "isc", 0),
     ("boost software license", "bsl", 2),
     ("mozilla public license", "mpl", 2),
     ("mozilla public license version 2 0", "mpl", 4),
@@ -86,7 +88,7 @@ NOTICES = (
     ("sil open font license", "ofl", 2),
     ("open database license", "odbl", 2),
     ("open data commons attribution license", "odc-by", 3),
-    ("zlib license", "zlib", 1),
+    ("zlib license", "zlib", 0),
     ("this is free and unencumbered software released into the public domain", "unlicense", 7),
     ("dedicated to the public domain", "public-domain", 3),
     ("all rights reserved", "proprietary", 1),
@@ -102,30 +104,56 @@ SPDX = {
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
+#: Pieces of a notice beyond one for each edit; so many must occur unchanged.
+SPARE = 2
+
+
 @dataclasses.dataclass(frozen=True)
 class Notice:
+    text: str
     label: str
     edits: int
-    length: int
-    pattern: object
+    masks: dict[str, int]
+
+    @functools.cached_property
+    def needed(self) -> int:
+        """Pieces that a text with all edits still has."""
+        return len(self.cuts) - 1 - self.edits
+
+    @functools.cached_property
+    def cuts(self) -> list[int]:
+        """Ends of the pieces; those of a short notice would be too small to tell anything with SPARE more."""
+        n, spare = len(self.text), SPARE if self.edits > 1 else 0
+        pieces = self.edits + 1 + spare
+        return [n * k // pieces for k in range(pieces + 1)]
+
+    def pattern(self, edits: int):
+        return _pattern(self.text, edits)
+
+
+@functools.cache
+def _pattern(text: str, edits: int):
+    import regex
+
+    # whole words: an edited notice still stands between spaces, which are at both ends of what is searched
+    body = regex.escape(text)
+    return regex.compile(rf"(?<=\s)(?:{body}){{e<={edits}}}(?=\s)" if edits else rf"(?<=\s){body}(?=\s)")
 
 
 @functools.cache
 def _notices() -> tuple[tuple[Notice, ...], object]:
-    """The notices, and an automaton of their pieces that gives (notice, place of the piece in it) for each."""
+    """The notices, and an automaton of their pieces that gives (notice, number of the piece, its place) for each."""
     import ahocorasick
-    import regex
 
     notices, pieces = [], {}
-    for text, label, edits in NOTICES + tuple((f"spdx license identifier {k}", v, 1) for k, v in SPDX.items()):
-        n = len(text)
-        cuts = [n * k // (edits + 1) for k in range(edits + 2)]
-        for a, b in zip(cuts, cuts[1:]):
-            pieces.setdefault(text[a:b], []).append((len(notices), a))
-        # whole words: an edited notice still stands between spaces, which are at both ends of what is searched
-        body = regex.escape(text)
-        pattern = regex.compile(rf"(?<=\s)(?:{body}){{e<={edits}}}(?=\s)" if edits else rf"(?<=\s){body}(?=\s)", regex.BESTMATCH)
-        notices.append(Notice(label, edits, n, pattern))
+    for text, label, edits in NOTICES:
+        masks: dict[str, int] = {}
+        for i, c in enumerate(text):
+            masks[c] = masks.get(c, 0) | 1 << i
+        notice = Notice(text, label, edits, masks)
+        for i, (x, y) in enumerate(zip(notice.cuts, notice.cuts[1:])):
+            pieces.setdefault(text[x:y], []).append((len(notices), i, x))
+        notices.append(notice)
     automaton = ahocorasick.Automaton()
     for piece, places in pieces.items():
         automaton.add_word(piece, (len(piece), places))
@@ -133,6 +161,69 @@ def _notices() -> tuple[tuple[Notice, ...], object]:
     return tuple(notices), automaton
 
 
+@functools.cache
+def _expression():
+    """An SPDX line's identifiers, joined by or, and, with."""
+    import regex
+
+    names = "|".join(sorted(map(regex.escape, SPDX), key=len, reverse=True))
+    return regex.compile(rf"(?<=\s)(?:spdx license identifier){{e<=1}}(?: (?:or |and )?({names})(?: only| or later)?(?=\s))+")
+
+
+def near_ends(notice: Notice, text: str) -> Iterator[tuple[int, int]]:
+    """Where stretches of the text end that are the notice with no more than its edits, and how many they need.
+
+    Bit-parallel: one step of whole-number arithmetic for each character, so the time follows the text's length. Of ends
+    that follow one another the first with the fewest edits is given.
+    """
+    n, most = len(notice.text), notice.edits
+    top, whole = 1 << (n - 1), (1 << n) - 1
+    up, down, score = whole, 0, n
+    masks = notice.masks
+    best: tuple[int, int] | None = None
+    for at, c in enumerate(text, 1):
+        same = masks.get(c, 0)
+        across = (((same & up) + up) ^ up) | same | down
+        more, less = down | (~(across | up) & whole), up & across
+        if more & top:
+            score += 1
+        elif less & top:
+            score -= 1
+        more, less = more << 1 & whole, less << 1 & whole
+        up, down = less | (~((same | down) | more) & whole), more & (same | down)
+        if score <= most:
+            if best is None or score < best[1]:
+                best = (at, score)
+        elif best:
+            yield best
+            best = None
+    if best:
+        yield best
+
+
+def regions(notice: Notice, seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """seeds: (place at which the notice would begin, piece) -> stretches of the text where enough pieces of one begin closely enough."""
+    seeds.sort()
+    out: list[tuple[int, int]] = []
+    have: dict[int, int] = {}
+    first = 0
+    for at, piece in seeds:
+        have[piece] = have.get(piece, 0) + 1
+        while at - seeds[first][0] > notice.edits:  # insertions and deletions shift later pieces by one each
+            gone = seeds[first][1]
+            have[gone] -= 1
+            if not have[gone]:
+                del have[gone]
+            first += 1
+        if len(have) >= notice.needed:
+            start, end = seeds[first][0] - notice.edits - 1, at + len(notice.text) + notice.edits + 1
+            if out and start <= out[-1][1]:
+                out[-1] = (out[-1][0], max(end, out[-1][1]))
+            else:
+                out.append((start, end))
+    return out
+
+
 def words_of(text: str) -> list[str]:
     return [w for w in text.encode("utf-8", "surrogatepass").translate(_WORDS).decode("utf-8", "surrogatepass").split(" ") if w]
 
@@ -151,24 +242,29 @@ def exact_places(joined: str) -> list[tuple[int, str]]:
 def fuzzy_spans(joined: str) -> list[tuple[int, int, str, int, int]]:
     """(start, end, label, errors, notice length) of notices with at most their number of edits, in characters of joined."""
     notices, automaton = _notices()
-    places: dict[int, list[int]] = {}
+    seeds: dict[int, list[tuple[int, int]]] = {}
     for last, (size, of) in automaton.iter(joined):
-        for k, offset in of:
-            places.setdefault(k, []).append(last + 1 - size - offset)
+        for k, piece, offset in of:
+            seeds.setdefault(k, []).append((last + 1 - size - offset, piece))
     found = []
-    for k, starts in places.items():
-        notice, free, before = notices[k], 0, -1
-        for at in sorted(starts):
-            # a match and the spaces around it lie between start and end; what an earlier match took is not searched again
-            start, end = max(0, at - notice.edits - 1, free), at + notice.length + 2 * notice.edits + 3
-            if at == before or end - start < notice.length - notice.edits:
-                continue
-            before = at
-            m = notice.pattern.search(joined, start, end)
-            if m:
-                found.append((m.start(), m.end(), notice.label, sum(m.fuzzy_counts), notice.length))
-                free = m.end()
-    found.sort(key=lambda x: (x[0], -x[1]))
+    for number, places in seeds.items():
+        notice = notices[number]
+        n, k = len(notice.text), notice.edits
+        for start, end in regions(notice, places):
+            start = max(0, start)
+            free = 0  # what an earlier match took is not searched again
+            for at, errors in near_ends(notice, joined[start:end]) if k else ((end - start, 0),):
+                low, high = max(free, start + at - n - 2 * k - 2 if k else start), min(len(joined), start + at + k + 2)
+                for most in sorted({errors, k}):
+                    for m in notice.pattern(most).finditer(joined, low, high):
+                        found.append((m.start(), m.end(), notice.label, sum(m.fuzzy_counts), n))
+                        free = m.end()
+                    if free > low:
+                        break
+    for m in _expression().finditer(joined):
+        for a, b, name in zip(m.starts(1), m.ends(1), m.captures(1)):
+            found.append((a, b, SPDX[name], sum(m.fuzzy_counts), len("spdx license identifier ") + len(name)))
+    found.sort(key=lambda x: (x[0], -x[1], x[3]))
     kept, reach = [], -1
     for x in found:  # those inside an earlier one go
         if x[1] > reach:

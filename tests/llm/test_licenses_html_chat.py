@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -193,3 +194,56 @@ def test_formatted_table(spark):
     r = chat.format_conversations(d, tokenizer_path("byte_bpe_50k.json")).first()
     assert r.formatted == "<|im_start|>user<|im_sep|>hi<|im_end|><|im_start|>assistant<|im_sep|>yes<|im_end|>"
     assert len(r.ids) == len(r.mask) and sum(r.mask) >= 1
+
+
+# ---- licenses: time and whole names
+
+
+def edited(r, text, edits):
+    s = list(text)
+    for _ in range(edits):
+        s[r.randrange(1, len(s) - 1)] = r.choice("bdfgh")
+    return "".join(s)
+
+
+@pytest.mark.parametrize("prose", ["licensed under the general public software license of any person ", "permission to use and copy this license for any purpose without a fee is granted to any person "])
+def test_prose_about_licenses_takes_linear_time(prose):
+    licenses.scan(prose)
+    times = []
+    for n in (500, 4000):
+        start = time.process_time()
+        assert licenses.scan(prose * n)["labels"] == ""
+        times.append(time.process_time() - start)
+    assert times[1] < 8 * 3 * max(times[0], 0.05) and times[1] < 10
+
+
+def test_notices_with_all_their_edits_take_linear_time():
+    r = random.Random(4)
+    for text, label, edits in (n for n in licenses.NOTICES if n[2] >= 7):
+        many = " ".join(edited(r, text, edits) for _ in range(300))
+        start = time.process_time()
+        got = licenses.scan(many)
+        assert sum(x["label"] == label for x in got["spans"]) == 300 and time.process_time() - start < 5
+
+
+def test_near_ends_against_plain_distances():
+    r = random.Random(9)
+    for _ in range(60):
+        text, _, edits = r.choice([n for n in licenses.NOTICES if n[2]])
+        notice = next(n for n in licenses._notices()[0] if n.text == text)
+        within = "".join(r.choice("ab ") for _ in range(r.randrange(20))) + edited(r, text, r.randint(0, edits + 1)) + "".join(r.choice("ab ") for _ in range(r.randrange(20)))
+        row = [0] * (len(within) + 1)  # fewest edits of the notice's first i characters against any stretch that ends at j
+        for i in range(1, len(text) + 1):
+            new = [i]
+            for j in range(1, len(within) + 1):
+                new.append(min(row[j - 1] + (text[i - 1] != within[j - 1]), row[j] + 1, new[-1] + 1))
+            row = new
+        want = {j: x for j, x in enumerate(row) if x <= edits}
+        got = list(licenses.near_ends(notice, within))
+        assert bool(got) == bool(want) and all(want[at] == errors for at, errors in got)
+        assert not want or min(e for _, e in got) == min(want.values())
+
+
+@pytest.mark.parametrize("text,labels", [("SPDX-License-Identifier: MIT OR Apache-2.0", "apache,mit"), ("SPDX-License-Identifier: GPL-2.0-or-later AND BSD-3-Clause", "bsd,gpl"), ("SPDX License Identifer: CC-BY-SA-4.0 x", "cc-by,cc-by-sa"), ("a bad license", ""), ("sbsd license", ""), ("SPDX-License-Identifier: none", "")])
+def test_whole_names(text, labels):
+    assert licenses.scan(f"some words {text} and others")["labels"] == labels
