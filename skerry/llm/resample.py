@@ -79,7 +79,7 @@ def weights(docs: DataFrame, target: DataFrame, scratch: Scratch) -> DataFrame:
         return scratch.put(buckets(d.select(key.alias("id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))))
 
     found = table(docs, F.col("doc_id"))
-    gain = scratch.put(gains(totals(found, "s"), totals(table(target, F.lit(None).cast("long")), "t")).coalesce(1))
+    gain = scratch.put(gains(totals(found, "s"), totals(table(target, F.lit(None).cast("long")), "t")))
     d = found
     for n in range(1, ORDERS + 1):
         d = d.join(F.broadcast(gain.select(F.col("bucket").alias(f"b{n}"), F.col("gain").alias(f"g{n}"))), f"b{n}", "left")
