@@ -51,8 +51,9 @@ def _ranges(found: list[int]) -> str:
 def classes() -> dict[str, str]:
     """The letters, numbers and white space of the tokenizers library as ranges for a pattern, asked of its own splitter.
 
-    Its Unicode tables are newer than Python's, so Python's categories would part words elsewhere. ``newer`` has the
-    code points that Python doesn't know yet: texts with them are normalised by the library too.
+    Its Unicode tables aren't Python's, so Python's categories would part words elsewhere. ``newer`` has the code points
+    that Python doesn't know yet, and the marks that the library's normaliser orders otherwise: texts with them are
+    normalised by the library too.
     """
     from tokenizers import Regex
     from tokenizers.pre_tokenizers import Split
@@ -63,7 +64,29 @@ def classes() -> dict[str, str]:
     for name, pattern in (("letter", r"\p{L}"), ("number", r"\p{N}"), ("space", r"\s")):
         runs = Split(Regex(pattern + "+"), behavior="removed", invert=True).pre_tokenize_str(whole)
         out[name] = _ranges([points[k] for _, (a, b) in runs for k in range(a, b)])
-    return out | {"newer": _ranges([c for c in points if unicodedata.category(chr(c)) == "Cn"])}
+    return out | {"newer": _ranges(sorted({c for c in points if unicodedata.category(chr(c)) == "Cn"} | set(_other_marks(points))))}
+
+
+#: Old marks of classes 1, 202, 220, 230 and 240.
+ANCHORS = "\u0334\u0327\u0323\u0301\u0345"
+
+
+def _other_marks(points: list[int]) -> list[int]:
+    """Marks that the library's normaliser, whose tables are older, orders otherwise among others than Python's: each is tried on both sides of a mark of every class."""
+    from tokenizers.normalizers import NFC
+
+    nfc = NFC()
+
+    def agrees(m: str, others: str) -> bool:
+        tried = " ".join(f"a{m}{x} a{x}{m} {m}{x} {x}{m}" for x in others)
+        return nfc.normalize_str(tried) == unicodedata.normalize("NFC", tried)
+
+    marks = [chr(c) for c in points if unicodedata.category(chr(c))[0] == "M"]
+    of_class: dict[int, str] = {}
+    for m in marks:
+        if unicodedata.combining(m) not in of_class and agrees(m, ANCHORS):
+            of_class[unicodedata.combining(m)] = m
+    return [ord(m) for m in marks if not agrees(m, "".join(of_class.values()) + ANCHORS)]
 
 
 class Kept:

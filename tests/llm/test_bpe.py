@@ -1,5 +1,6 @@
 import hashlib
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -56,6 +57,25 @@ def test_every_code_point(library, ours):
             assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def _marks():
+    return [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c))[0] == "M"]
+
+
+def test_marks_beside_marks(library, ours):
+    """Every mark before and after marks of the common classes, where the order of combining classes shows."""
+    for beside in "\u0334\u0321\u031b\u0323\u0316\u0301\u0345\u05b0\u064b\u093c\u094d\u3099":
+        for at in range(0, len(_marks()), 200):
+            text = " ".join(f"a{m}{beside}b c{beside}{m}d" for m in _marks()[at : at + 200])
+            assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, (hex(ord(beside)), at)
+
+
+def test_random_marks(library, ours):
+    r, marks = random.Random(8), _marks()
+    for _ in range(3000):
+        text = " ".join("".join(r.choice("aeéïкかक") + "".join(r.choice(marks) for _ in range(r.randint(0, 4))) for _ in range(3)) for _ in range(10))
+        assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_random_unicode(library, ours):
     r = random.Random(5)
     blocks = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x590), (0x600, 0x700), (0x900, 0xE00), (0x1100, 0x1200), (0x1C80, 0x1D00), (0x1E00, 0x2100), (0x3040, 0x3100), (0xA640, 0xA800), (0xAC00, 0xAE00), (0x105C0, 0x10600), (0x10D40, 0x10D90), (0x11380, 0x113E0), (0x16100, 0x16140), (0x16D40, 0x16D80), (0x1F300, 0x1F700)]
