@@ -47,3 +47,27 @@ def unit_list(vector: Sequence[float], dimension: int) -> list[float]:
     if not math.isfinite(n) or n == 0:
         raise ValueError("query vector without a finite norm")
     return [float(x) / n for x in vector]
+
+
+#: Half precision: significant bits behind the first, the smallest exponent of a full number, and the bound of infinity.
+HALF_BITS, HALF_LEAST, HALF_ENDS = 10, -14, 65520.0
+
+
+def half(x: Column) -> Column:
+    """x rounded to half precision, ties to even, as a float: small numbers keep fewer bits, 65,520 and beyond are infinite."""
+    v = x.cast("double")
+    size = F.abs(v)
+    guess = F.floor(F.log2(F.when(size > 0, size).otherwise(1.0)))
+    two = lambda e: F.pow(F.lit(2.0), e.cast("double"))
+    # a logarithm may miss a power of two by one
+    exponent = guess + F.when(size >= two(guess + 1), 1).when(size < two(guess), -1).otherwise(0)
+    step = two(F.greatest(exponent, F.lit(HALF_LEAST)) - HALF_BITS)
+    infinite = F.lit(float("inf")) * F.signum(v)
+    return F.when(v.isNull() | F.isnan(v) | (size == 0) | (size == float("inf")), v).when(size >= HALF_ENDS, infinite).otherwise(F.rint(v / step) * step).cast("float")
+
+
+def half_dot(a: Column, b: Sequence[float]) -> Column:
+    """The product of two vectors that are stored in half precision: summed up in order in single precision, and rounded to half."""
+    literal = F.transform(F.array(*[F.lit(float(x)) for x in b]), half)
+    products = F.zip_with(F.transform(a, half), literal, lambda x, y: x * y)
+    return half(F.aggregate(products, F.lit(0.0).cast("float"), lambda s, x: s + x))

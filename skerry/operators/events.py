@@ -30,10 +30,11 @@ def event_texts(texts: Sequence[str]) -> list[str]:
     return kept
 
 
-def scored(frames: DataFrame, queries: Sequence[Sequence[float]]) -> DataFrame:
-    """video_id, vector_id, i (ordinal in the video) and s: the scores of the events."""
+def scored(frames: DataFrame, queries: Sequence[Sequence[float]], half: bool = False) -> DataFrame:
+    """video_id, vector_id, i (ordinal in the video) and s: the scores of the events; half: as of vectors stored in half precision."""
     i = F.row_number().over(Window.partitionBy("video_id").orderBy("vector_id")) - 1
-    return frames.select("video_id", "vector_id", i.alias("i"), F.array(*[vectors.dot(F.col("embedding"), q) for q in queries]).alias("s"))
+    product = vectors.half_dot if half else vectors.dot
+    return frames.select("video_id", "vector_id", i.alias("i"), F.array(*[product(F.col("embedding"), q).cast("double") for q in queries]).alias("s"))
 
 
 def best_paths(scores: DataFrame, events: int, objective: str = "dante_min", penalty: float = 0.005) -> DataFrame:

@@ -154,3 +154,70 @@ def files_differ(manifest: DataFrame, files: DataFrame) -> DataFrame:
     d = manifest.select("path", F.col("size").alias("size_m"), F.col("sha256").alias("sha_m")).join(files.select("path", F.col("size").alias("size_f"), F.col("sha256").alias("sha_f")), "path", "full_outer")
     why = F.when(F.col("size_f").isNull(), "missing").when(F.col("size_m").isNull(), "unlisted").when(F.col("size_m") != F.col("size_f"), "size").when(F.col("sha_m") != F.col("sha_f"), "sha256")
     return d.withColumn("fault", why).filter("fault IS NOT NULL").select("path", "fault")
+
+
+#: Invariants of a video's package, in the order of the report.
+INVARIANTS = (
+    "shot range is empty", "shot ranges are not contiguous", "shot times are not contiguous", "shot_index is not 0, 1, ..", "shot_id does not follow the order", "scene range is empty", "scene ranges are not contiguous", "scene times are not contiguous",
+    "scene_index is not 0, 1, ..", "scene_id does not follow the order", "shot without one representative", "supplemental representative", "keyframe_id does not name its frame", "keyframe_id repeats", "text of an unknown keyframe", "shot without one caption",
+    "scene without one summary", "scene mapping is incomplete", "scene does not count its shots", "scene range differs from its shots", "keyframe of an unknown shot", "keyframe outside its shot", "keyframe of another scene", "caption of another representative",
+)
+
+
+def package_invariants(shots: DataFrame, scenes: DataFrame, keyframes: DataFrame, texts: DataFrame, captions: DataFrame, summaries: DataFrame) -> DataFrame:
+    """video_id, check, violations of INVARIANTS, all from one shuffle: the six tables are dealt together by video.
+
+    shots(video_id, shot_index, shot_id, scene_id, start_frame, end_frame, start_sec, end_sec), scenes(video_id, scene_index,
+    scene_id, shot_count, start_frame, end_frame, start_sec, end_sec), keyframes(video_id, keyframe_id, frame_id, shot_id,
+    scene_id, role, is_representative), texts(video_id, keyframe_id), captions(video_id, shot_id, keyframe_id),
+    summaries(video_id, scene_id). Windows and groups within a video keep that dealing, so nothing is dealt again.
+    """
+    fields = {"idx": "bigint", "scene": "string", "lo": "bigint", "hi": "bigint", "s": "double", "e": "double", "frame": "bigint", "kf": "string", "flag": "boolean", "extra": "boolean", "n": "bigint"}
+
+    def rows(d: DataFrame, part: str, about: str, key: str, **given: Column | str) -> DataFrame:
+        values = [(F.col(given[c]) if isinstance(given.get(c), str) else given.get(c, F.lit(None))).cast(kind).alias(c) for c, kind in fields.items()]
+        return d.select("video_id", F.lit(part).alias("part"), F.lit(about).alias("about"), F.col(key).cast("string").alias("key"), *values)
+
+    span = {"lo": "start_frame", "hi": "end_frame", "s": "start_sec", "e": "end_sec"}
+    supplemental = F.col("is_representative") & (F.col("role") == "supplemental")
+    parts = [
+        rows(shots, "shot", "shot", "shot_id", idx="shot_index", scene="scene_id", **span), rows(shots, "member", "scene", "scene_id", **span), rows(scenes, "scene", "scene", "scene_id", idx="scene_index", n="shot_count", **span),
+        rows(keyframes, "keyframe", "shot", "shot_id", frame="frame_id", kf="keyframe_id", scene="scene_id", flag="is_representative", extra=supplemental), rows(keyframes, "named", "keyframe", "keyframe_id", frame="frame_id", scene="scene_id"),
+        rows(texts, "text", "keyframe", "keyframe_id"), rows(captions, "caption", "shot", "shot_id", kf="keyframe_id"), rows(summaries, "summary", "scene", "scene_id"),
+    ]
+    d = reduce(DataFrame.unionByName, parts).repartition("video_id")
+    order, group = Window.partitionBy("video_id", "part").orderBy("idx", "key"), Window.partitionBy("video_id", "about", "key")
+    ordered = F.col("part").isin("shot", "scene")
+    before = lambda c: F.lag(c).over(order)
+    of = lambda part, c: F.max(F.when(F.col("part") == part, F.col(c))).over(group)
+    d = d.withColumns({"place": F.row_number().over(order) - 1, "last": before("hi"), "last_e": before("e"), "shot_lo": of("shot", "lo"), "shot_hi": of("shot", "hi"), "shot_scene": of("shot", "scene")})
+    canonical = F.concat("video_id", F.when(F.col("part") == "shot", "_SH").otherwise("_SC"), F.lpad(F.col("place").cast("string"), 5, "0"))
+    is_ = lambda part: F.col("part") == part
+    either = {}
+    for part in ("shot", "scene"):
+        either |= {
+            f"{part} range is empty": is_(part) & ((F.col("hi") <= F.col("lo")) | ~F.coalesce(F.col("e") > F.col("s"), F.lit(False))), f"{part} ranges are not contiguous": is_(part) & (F.col("lo") != F.coalesce("last", F.lit(0))),
+            f"{part} times are not contiguous": is_(part) & (F.abs(F.col("s") - F.col("last_e")) > 1e-9), f"{part}_index is not 0, 1, ..": is_(part) & (F.col("idx") != F.col("place")), f"{part}_id does not follow the order": is_(part) & (F.col("key") != canonical),
+        }
+    single = either | {
+        "supplemental representative": F.col("extra"), "keyframe_id does not name its frame": is_("named") & (F.col("key") != F.concat_ws(":", "video_id", "frame")),
+        "scene mapping is incomplete": is_("shot") & F.col("scene").isNull() | is_("named") & F.col("scene").isNull(), "keyframe of an unknown shot": is_("keyframe") & F.col("shot_lo").isNull(),
+        "keyframe outside its shot": is_("keyframe") & ~F.col("frame").between(F.col("shot_lo"), F.col("shot_hi") - 1), "keyframe of another scene": is_("keyframe") & (F.col("scene") != F.col("shot_scene")),
+    }
+    count = lambda part: F.count_if(F.col("part") == part)
+    some = lambda part, f, c: f(F.when(F.col("part") == part, F.col(c)))
+    shot, scene, keyframe = (F.col("about") == x for x in ("shot", "scene", "keyframe"))
+    real = {"shots": count("shot"), "scenes": count("scene"), "members": count("member"), "captions": count("caption"), "summaries": count("summary"), "names": count("named"), "texts": count("text"), "representatives": F.count_if(is_("keyframe") & F.col("flag"))}
+    real |= {"chosen": F.max(F.when(is_("keyframe") & F.col("flag"), F.col("kf"))), "captioned": some("caption", F.max, "kf"), "said": some("scene", F.max, "n"), "lo": some("scene", F.min, "lo"), "hi": some("scene", F.max, "hi"), "lo_m": some("member", F.min, "lo"), "hi_m": some("member", F.max, "hi")}
+    each = d.groupBy("video_id", "about", "key").agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in single.items()], *[c.alias(f"{k}_") for k, c in real.items()])
+    c = lambda k: F.col(f"{k}_")
+    whole = {
+        "shot without one representative": shot & (c("shots") > 0) & (c("representatives") != 1), "keyframe_id repeats": keyframe & (c("names") > 1), "text of an unknown keyframe": keyframe & (c("texts") > 0) & (c("names") == 0),
+        "shot without one caption": shot & ((c("shots") > 0) | (c("captions") > 0)) & ((c("captions") != 1) | (c("shots") == 0)), "scene without one summary": scene & ((c("scenes") > 0) | (c("summaries") > 0)) & ((c("summaries") != 1) | (c("scenes") == 0)),
+        "scene does not count its shots": scene & F.col("key").isNotNull() & ((c("scenes") == 0) | (c("said") != c("members"))), "scene range differs from its shots": scene & (c("scenes") > 0) & ((c("lo") != c("lo_m")) | (c("hi") != c("hi_m"))),
+        "caption of another representative": shot & (c("captioned") != c("chosen")),
+    }
+    sums = [(F.sum(f"`{k}`") if k in single else F.count_if(F.coalesce(whole[k], F.lit(False)))).alias(k) for k in INVARIANTS]
+    found = each.groupBy("video_id").agg(*sums)
+    named = F.array(*[F.struct(F.lit(k).alias("check"), F.col(f"`{k}`").alias("violations")) for k in INVARIANTS])
+    return found.select("video_id", F.inline(F.filter(named, lambda x: x["violations"] > 0)))
