@@ -117,7 +117,27 @@ def exact_first(rows: DataFrame, identity: list[str], order: list[str], reliable
     return marked.join(first, ["key1", "key2", "place"], "left_semi").drop("key1", "key2", "place").unionByName(rows.filter(~reliable))
 
 
-def nearest_references(candidates: DataFrame, references: DataFrame, group: str, distance: Column) -> DataFrame:
-    """Per candidate the smallest distance to a reference of its group, and which it is (the smaller id on ties)."""
-    d = candidates.join(references, group).withColumn("distance", distance)
-    return d.groupBy(group, "candidate_id").agg(F.min("distance").alias("distance"), F.min_by("reference_id", F.struct("distance", "reference_id")).alias("nearest"))
+def nearest_references(candidates: DataFrame, references: DataFrame, group: str, value: str, reference_value: str) -> DataFrame:
+    """Per candidate the smallest difference to a reference of its group, and which it is (the smaller id on ties).
+
+    One sort of each group by value: the neighbours below and above decide, so candidates and references are never paired.
+    Candidates without a value, a group or references of their group have no row; references without a value are no neighbours.
+    Several rows of one candidate_id are one candidate: its closest row counts. Differences of up to the rounding of doubles tie.
+    """
+    none = F.lit(None).cast("long")
+    a = candidates.select(group, F.col(value).cast("double").alias("at"), F.col("candidate_id").cast("long").alias("candidate_id"), none.alias("reference_id"))
+    b = references.select(group, F.col(reference_value).cast("double").alias("at"), none.alias("candidate_id"), F.col("reference_id").cast("long").alias("reference_id"))
+    # equal values are one reference, the smallest id
+    b = b.groupBy(group, "at").agg(F.min("candidate_id").alias("candidate_id"), F.min("reference_id").alias("reference_id"))
+    d = a.unionByName(b).filter(F.col("at").isNotNull() & ~F.isnan("at") & F.col(group).isNotNull())
+    seen = F.when(F.col("reference_id").isNotNull(), F.struct("at", "reference_id"))
+
+    def last_seen(order: Column) -> Column:
+        # rows of one value are all seen before any of its candidates
+        return F.last(seen, ignorenulls=True).over(Window.partitionBy(group).orderBy(order, F.col("reference_id").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+
+    d = d.withColumn("below", last_seen(F.asc("at"))).withColumn("above", last_seen(F.desc("at"))).filter("candidate_id IS NOT NULL")
+    sides = F.filter(F.array("below", "above"), lambda x: x.isNotNull())
+    best = F.array_min(F.transform(sides, lambda x: F.struct(F.abs(F.col("at") - x["at"]).alias("distance"), x["reference_id"].alias("nearest"))))
+    found = d.select(group, "candidate_id", best.alias("best")).filter("best IS NOT NULL").groupBy(group, "candidate_id").agg(F.min("best").alias("best"))
+    return found.select(group, "candidate_id", "best.distance", "best.nearest")

@@ -59,7 +59,9 @@ def as_of_frames(ranges: DataFrame, timeline: DataFrame) -> DataFrame:
     d = frames.unionByName(starts).unionByName(ends)
     whole = Window.partitionBy("video_id")
     d = d.withColumn("before", F.last("frame", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("after", F.first("frame", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    # the same order from its end: a frame over all following rows would be computed anew for every row
+    back = Window.partitionBy("video_id").orderBy(F.desc("t"), F.desc("kind"))
+    d = d.withColumn("after", F.last("frame", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
     d = d.withColumn("lowest", F.min("frame").over(whole)).withColumn("highest", F.max("frame").over(whole))
     at = d.filter("kind <> 0").groupBy("video_id", "range_id").agg(
         F.max(F.when(F.col("kind") == 1, F.coalesce("before", "lowest"))).alias("start_frame"), F.max(F.when(F.col("kind") == -1, F.coalesce("after", F.col("highest") + 1))).alias("end_frame")
@@ -78,7 +80,8 @@ def nearest(targets: DataFrame, rows: DataFrame, by: str, id_column: str = "fram
     first_of_value = F.min(F.when(F.col("kind") == 0, F.col(id_column))).over(Window.partitionBy("video_id", by))
     d = d.withColumn("row", F.when(row.isNotNull(), F.struct(F.col(by).alias("v"), first_of_value.alias("id"))))
     d = d.withColumn("lo", F.last("row", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("hi", F.first("row", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))).filter("kind = 1")
+    back = Window.partitionBy("video_id").orderBy(F.desc(by), F.desc("kind"), F.desc(id_column))
+    d = d.withColumn("hi", F.last("row", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))).filter("kind = 1")
     near = F.array_min(F.filter(F.array("lo", "hi"), lambda x: x.isNotNull()))
     far = F.transform(F.filter(F.array("lo", "hi"), lambda x: x.isNotNull()), lambda x: F.struct(F.abs(x["v"] - F.col(by)).alias("d"), x["id"].alias("id")))
     return d.filter(near.isNotNull()).select("video_id", "target_id", F.array_min(far)["id"].alias("nearest"))

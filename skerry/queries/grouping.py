@@ -107,7 +107,7 @@ def nearest_references(t):
     d = t("timeline")
     a = d.filter("event_type = 'view'").select("video_id", F.col("event_id").alias("candidate_id"), F.col("value").alias("x"))
     b = d.filter("event_type <> 'view'").select("video_id", F.col("event_id").alias("reference_id"), F.col("value").alias("y"))
-    return dedup.nearest_references(a, b, "video_id", F.abs(F.col("x") - F.col("y"))).withColumn("distance", F.round("distance", 6))
+    return dedup.nearest_references(a, b, "video_id", "x", "y").withColumn("distance", F.round("distance", 6))
 
 
 # ---- event sequences

@@ -158,3 +158,38 @@ def test_ctc_equals_brute_force():
             if all(0 <= b - a <= 1 or (b - a == 2 and states[b] != 0 and states[b] != states[a]) for a, b in zip(cand, cand[1:])):
                 best = max(best, sum(logs[t, states[k]] for t, k in enumerate(cand)))
         assert abs(sum(logs[t, states[k]] for t, k in enumerate(path)) - best) < 1e-9
+
+
+def test_nearest_references_equal_brute_force(spark):
+    r = np.random.default_rng(4)
+    values = lambda n: [None if v < 0.1 else round(float(v * 9), 1) for v in r.random(n)]
+    a = [(f"v{i % 4}", i, v) for i, v in enumerate(values(120))]
+    b = [(f"v{i % 3}", i, v) for i, v in enumerate(values(60))]
+    a += [("v0", 0, 2.0), (None, 500, 1.0), ("v1", 501, float("nan"))]
+    b += [(None, 900, 1.0), ("v1", 901, float("nan")), ("v2", 902, float("inf"))]
+    got = dedup.nearest_references(
+        spark.createDataFrame(a, "video_id string, candidate_id long, x double"), spark.createDataFrame(b, "video_id string, reference_id long, y double"), "video_id", "x", "y"
+    )
+    best = {}
+    for v, c, x in a:
+        for w, i, y in b:
+            if v is not None and v == w and None not in (x, y) and x == x and y == y:
+                best[v, c] = min(best.get((v, c), (np.inf, 10**9)), (abs(x - y), i))
+    assert {(g.video_id, g.candidate_id): (g.distance, g.nearest) for g in got.collect()} == best
+    assert not any(v == "v3" for v, _ in best)
+
+
+def test_nearest_references_of_empty_tables(spark):
+    a = spark.createDataFrame([("v", 1, 1.0)], "video_id string, candidate_id long, x double")
+    b = spark.createDataFrame([], "video_id string, reference_id long, y double")
+    assert dedup.nearest_references(a, b, "video_id", "x", "y").count() == 0
+    assert dedup.nearest_references(a.limit(0), b, "video_id", "x", "y").count() == 0
+
+
+def test_nearest_references_of_a_hot_group(spark):
+    # 4 * 10^10 pairs
+    n = 200_000
+    a = spark.range(n).select(F.lit("v").alias("video_id"), F.col("id").alias("candidate_id"), (F.col("id") * 7919 % n + 0.25).alias("x"))
+    b = spark.range(n).select(F.lit("v").alias("video_id"), F.col("id").alias("reference_id"), F.col("id").alias("y"))
+    got = dedup.nearest_references(a, b, "video_id", "x", "y").agg(F.count("*").alias("n"), F.sum("distance").alias("d"), F.count_if(F.col("nearest") == F.col("candidate_id") * 7919 % n).alias("right")).first()
+    assert (got.n, got.d, got.right) == (n, n / 4, n)

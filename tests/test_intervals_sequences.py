@@ -124,3 +124,14 @@ def test_variable_rate(spark):
 
 def test_runs_of_an_empty_table(spark):
     assert sequences.longest_run(predictions(spark, []), "video_id", "frame_id", F.col("value") > 0).count() == 0
+
+
+def test_lookups_of_a_hot_video(spark):
+    # linear in a video's rows
+    n = 100_000
+    frames = spark.range(n).select(F.lit("v").alias("video_id"), F.col("id").alias("frame_id"), F.col("id").cast("double").alias("pts_time"))
+    at = spark.range(n).select(F.lit("v").alias("video_id"), F.col("id").alias("target_id"), (F.col("id") + 0.25).alias("target"))
+    assert intervals.nearest(at, frames, "pts_time").filter("nearest = target_id").count() == n
+    ranges = at.select("video_id", F.col("target_id").alias("range_id"), F.col("target").alias("start_sec"), (F.col("target") + 1).alias("end_sec"))
+    got = intervals.as_of_frames(ranges, frames)
+    assert got.filter(f"start_frame = range_id AND end_frame = least(range_id + 2, {n})").count() == n
