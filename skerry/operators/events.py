@@ -211,3 +211,43 @@ def aligned(utterances: DataFrame, blank: int = 0) -> DataFrame:
         return pd.Series(out)
 
     return utterances.select("id", F.inline(spans("log_probs", "targets")))
+
+
+def benchmark_cases(keyframes: DataFrame, positives: int = 30, distractors: int = 30, least: int = 10, seed: int = 42) -> DataFrame:
+    """case_id, category, expected_video_id, query_vector_ids: cases that a search for event sequences is measured by.
+
+    keyframes: video_id, keyframe_no, vector_id. A positive case is three frames in a row of one video; a distractor is two
+    frames in a row of one video and one of another. Every case draws its videos among those of at least that many frames,
+    by the smallest digests of seed, case and video, and its places by a digest too, so cases are the same at any
+    partitioning; a video may serve several cases. Frames without a video or a vector don't count; with fewer than two such
+    videos there are no distractors. Videos are counted and drawn from by partial aggregation, and only drawn videos'
+    frames are numbered.
+    """
+    if least < 3 or positives < 0 or distractors < 0 or positives + distractors == 0:
+        raise ValueError("a video needs three frames at least, and a benchmark one case")
+    frames = keyframes.select("video_id", "keyframe_no", "vector_id").filter("video_id IS NOT NULL AND vector_id IS NOT NULL")
+    videos = frames.groupBy("video_id").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+
+    def digest(what: str) -> Column:
+        return F.sha2(F.concat_ws(":", F.lit(f"{seed}:{what}"), F.col("case_id").cast("string"), F.col("video_id").cast("string")), 256)
+
+    def drawn(d: DataFrame, slots: Sequence[int], starts: Column) -> DataFrame:
+        """The video of the smallest digest per case, and the places of its frames."""
+        best = d.groupBy("case_id").agg(F.min(F.struct(digest("pick").alias("key"), "video_id", "n")).alias("best")).select("case_id", "best.video_id", "best.n")
+        start = F.conv(F.substring(digest("place"), 1, 8), 16, 10).cast("long") % starts
+        best = best.withColumn("start", start).select("case_id", "video_id", "start", F.explode(F.array(*map(F.lit, slots))).alias("slot"))
+        return best.withColumn("pos", F.col("start") + F.col("slot") - slots[0]).drop("start")
+
+    every = videos.withColumn("case_id", F.explode(F.sequence(F.lit(0), F.lit(positives + distractors - 1))))
+    positive, mixed = every.filter(F.col("case_id") < positives), every.filter(F.col("case_id") >= positives)
+    own = drawn(mixed, (0, 1), F.col("n") - 1)
+    # one row per case: bounded by the number of cases
+    taken = own.filter("slot = 0").select("case_id", F.col("video_id").alias("taken"))
+    other = drawn(mixed.join(F.broadcast(taken), "case_id").filter("video_id <> taken"), (2,), F.col("n"))
+    wanted = drawn(positive, (0, 1, 2), F.col("n") - 2).unionByName(own).unionByName(other)
+    order = Window.partitionBy("video_id").orderBy("keyframe_no", "vector_id")
+    numbered = frames.join(F.broadcast(wanted.select("video_id").distinct()), "video_id", "left_semi").withColumn("pos", (F.row_number().over(order) - 1).cast("long"))
+    # three rows of a case at most
+    cases = numbered.join(F.broadcast(wanted), ["video_id", "pos"]).groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("slot", "vector_id", "video_id"))).alias("f")).filter(F.size("f") == 3)
+    category = F.when(F.col("case_id") < positives, "positive").otherwise("distractor")
+    return cases.select("case_id", category.alias("category"), F.col("f")[0]["video_id"].alias("expected_video_id"), F.col("f")["vector_id"].alias("query_vector_ids"))

@@ -261,3 +261,19 @@ def set_intersection(t):
 def ordered_union(t):
     k = t("keyframes").withColumn("pos", F.col("vector_id"))
     return setops.ordered_union("vector_id", "pos", k.filter("video_id = 'V003'"), k.filter("collection_id = 'L01'"))
+
+
+@query("""
+    WITH k AS (SELECT video_id, vector_id, row_number() OVER (PARTITION BY video_id ORDER BY keyframe_no, vector_id) - 1 AS pos, count(*) OVER (PARTITION BY video_id) AS n FROM {keyframes}),
+    d AS (
+      SELECT c AS case_id, video_id, n, row_number() OVER (PARTITION BY c ORDER BY sha256('42:pick:' || c || ':' || video_id), video_id) AS turn
+      FROM (SELECT DISTINCT video_id, n FROM k WHERE n >= 10) v, range(60) r(c)
+    ), p AS (SELECT *, ('0x' || substr(sha256('42:place:' || case_id || ':' || video_id), 1, 8))::BIGINT AS h FROM d WHERE turn = 1 OR turn = 2 AND case_id >= 30),
+    w AS (
+      SELECT case_id, video_id, slot, CASE WHEN case_id < 30 THEN h % (n - 2) + slot WHEN turn = 1 THEN h % (n - 1) + slot ELSE h % n END AS pos
+      FROM p, range(3) r(slot) WHERE case_id < 30 OR (turn = 1) = (slot < 2)
+    ) SELECT case_id, CASE WHEN case_id < 30 THEN 'positive' ELSE 'distractor' END AS category, arg_min(video_id, slot) AS expected_video_id,
+             string_agg(vector_id::VARCHAR, ',' ORDER BY slot) AS query_vector_ids
+      FROM w JOIN k USING (video_id, pos) GROUP BY case_id HAVING count(*) = 3""")
+def benchmark_cases(t):
+    return events.benchmark_cases(t("keyframes")).withColumn("query_vector_ids", _text("query_vector_ids"))

@@ -193,3 +193,35 @@ def test_nearest_references_of_a_hot_group(spark):
     b = spark.range(n).select(F.lit("v").alias("video_id"), F.col("id").alias("reference_id"), F.col("id").alias("y"))
     got = dedup.nearest_references(a, b, "video_id", "x", "y").agg(F.count("*").alias("n"), F.sum("distance").alias("d"), F.count_if(F.col("nearest") == F.col("candidate_id") * 7919 % n).alias("right")).first()
     assert (got.n, got.d, got.right) == (n, n / 4, n)
+
+
+def frames_of(spark, sizes):
+    rows = [(v, i, 1000 * k + 7 * i) for k, (v, n) in enumerate(sizes.items()) for i in range(n)]
+    return spark.createDataFrame(rows, "video_id string, keyframe_no int, vector_id long"), {r[2]: r[:2] for r in rows}
+
+
+def test_benchmark_cases_are_what_they_say(spark):
+    d, at = frames_of(spark, {"a": 10, "b": 12, "c": 9, "d": 40})
+    got = sorted(events.benchmark_cases(d).collect())
+    assert [(r.case_id, r.category) for r in got] == [(i, "positive" if i < 30 else "distractor") for i in range(60)]
+    for r in got:
+        (v1, n1), (v2, n2), (v3, n3) = (at[i] for i in r.query_vector_ids)
+        assert v1 == v2 == r.expected_video_id and n2 == n1 + 1 and "c" not in (v1, v3)
+        assert (v3, n3) == (v1, n1 + 2) if r.category == "positive" else v3 != v1
+    assert {r.expected_video_id for r in got} == {"a", "b", "d"}
+
+
+def test_benchmark_cases_do_not_follow_the_partitioning(spark):
+    d, _ = frames_of(spark, {f"v{i}": 10 + i for i in range(20)})
+    odd = d.unionByName(spark.createDataFrame([(None, 1, 5), ("v1", 1, None)], d.schema))
+    assert sorted(events.benchmark_cases(d.repartition(1)).collect()) == sorted(events.benchmark_cases(odd.repartition(7, "vector_id")).collect())
+    assert sorted(events.benchmark_cases(d).collect()) != sorted(events.benchmark_cases(d, seed=43).collect())
+
+
+def test_benchmark_cases_of_few_videos(spark):
+    d, _ = frames_of(spark, {"a": 10, "b": 9})
+    assert {r.category for r in events.benchmark_cases(d).collect()} == {"positive"}
+    assert events.benchmark_cases(d.limit(0)).count() == 0
+    assert events.benchmark_cases(d, positives=0, distractors=3, least=3).count() == 3
+    with pytest.raises(ValueError):
+        events.benchmark_cases(d, positives=0, distractors=0)
