@@ -164,10 +164,14 @@ def latest_release(candidates: DataFrame) -> DataFrame:
     return top.filter("unknown = 0").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("newest"))).filter("n = 1").drop("newest", "unknown", "n")
 
 
-def canonical_stems(names: DataFrame, most_depth: int = 6) -> DataFrame:
-    """names(path) -> path, stem: the file's stem, with as many parent folders before it as make it unique (all of them at most)."""
+def canonical_stems(names: DataFrame) -> DataFrame:
+    """names(path) -> path, stem: the file's stem, with as many parent folders before it as make it unique (all of them at most).
+
+    The deepest path, one number, is read first: it says how many folders can be needed.
+    """
     parts = F.transform(F.split(F.regexp_replace("path", r"\.[^./]*$", ""), "/"), lambda p: F.regexp_replace(p, r"[^A-Za-z0-9._-]+", "_"))
     d = names.select("path", parts.alias("parts"))
+    most_depth = d.agg(F.max(F.size("parts"))).first()[0] or 1
     at = lambda k: F.array_join(F.slice("parts", F.greatest(F.size("parts") - k + 1, F.lit(1)), F.least(F.size("parts"), F.lit(k))), "__")
     options = d.select("path", F.posexplode(F.array(*[at(k) for k in range(1, most_depth + 1)])).alias("depth", "stem"))
     same = options.groupBy("depth", "stem").agg(F.count(F.lit(1)).alias("n"))

@@ -130,6 +130,10 @@ def test_latest_release_must_be_unique(spark):
 def test_stems_grow_until_they_differ(spark):
     d = spark.createDataFrame([("x/a/f.mp4",), ("x/b/f.mp4",), ("y/g h.mp4",)], "path string")
     assert sorted(r.stem for r in release.canonical_stems(d).collect()) == ["a__f", "b__f", "g_h"]
+    deep = "/1/2/3/4/5/6/7/f.mp4"
+    d = spark.createDataFrame([("x" + deep,), ("y" + deep,)], "path string")
+    assert sorted(r.stem for r in release.canonical_stems(d).collect()) == ["x__1__2__3__4__5__6__7__f", "y__1__2__3__4__5__6__7__f"]
+    assert release.canonical_stems(d.limit(0)).count() == 0
 
 
 def test_null_group_keys_stay(spark):
