@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skerry.functions import vectors
+from skerry.operators.intervals import as_of_frames
 
 #: objective -> (ranked by the smallest score first, penalised by distance)
 OBJECTIVES = {"sum": (False, False), "min": (True, False), "dante": (False, True), "dante_min": (True, True)}
@@ -213,6 +214,37 @@ def aligned(utterances: DataFrame, blank: int = 0) -> DataFrame:
     return utterances.select("id", F.inline(spans("log_probs", "targets")))
 
 
+def word_spans(tokens: DataFrame, words: DataFrame, segments: DataFrame, timeline: DataFrame, step_sec: float) -> DataFrame:
+    """segment_id, video_id, word_index, text, start_sec, end_sec, start_frame, end_frame, status: where each word is spoken.
+
+    tokens(segment_id, index, start, end): steps of each token, as aligned() gives them under the name id; words(segment_id,
+    word_index, text, first_token, last_token), the last included; segments(segment_id, video_id, start_sec, end_sec);
+    timeline(video_id, frame_id, pts_time). A word lasts from its first token's first step to its last token's end, within
+    its segment, and starts no earlier than the words before it. Frames are as in as_of_frames; without a timeline they are
+    null. A segment holds together: if a word has no token on the path ("no path") or no time left ("bad range", as when a
+    bound of the segment is null or NaN), that word's fault (the first one's) is the status of all its words and their frames are null; else the status is "pass". Words of
+    unknown segments are left out.
+    """
+    if not step_sec > 0:
+        raise ValueError("a step takes some time")
+    parts = words.select("segment_id", "word_index", "text", F.explode_outer(F.sequence("first_token", "last_token")).alias("index"))
+    steps = parts.join(tokens.select("segment_id", "index", "start", "end"), ["segment_id", "index"], "left")
+    spans = steps.groupBy("segment_id", "word_index").agg(F.first("text").alias("text"), F.min("start").alias("first"), F.max("end").alias("last"))
+    of = segments.select("segment_id", "video_id", F.col("start_sec").cast("double").alias("from_sec"), F.col("end_sec").cast("double").alias("to_sec"))
+    d = spans.join(of, "segment_id")
+    order = Window.partitionBy("segment_id").orderBy("word_index")
+    start = F.max(F.greatest("from_sec", F.col("from_sec") + F.col("first") * step_sec)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("start_sec", start).withColumn("end_sec", F.least("to_sec", F.col("from_sec") + F.col("last") * step_sec))
+    # in Spark's order NaN is the largest number
+    fine = ~F.isnan("to_sec") & F.col("to_sec").isNotNull() & (F.col("start_sec") >= 0) & (F.col("start_sec") < F.col("end_sec")) & (F.col("end_sec") < float("inf"))
+    fault = F.when(F.col("first").isNull(), "no path").when(~F.coalesce(fine, F.lit(False)), "bad range")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = d.withColumn("status", F.coalesce(F.first(fault, ignorenulls=True).over(whole), F.lit("pass")))
+    at = as_of_frames(d.filter("status = 'pass'").select("video_id", F.struct("segment_id", "word_index").alias("range_id"), "start_sec", "end_sec"), timeline)
+    at = at.select("range_id.segment_id", "range_id.word_index", "start_frame", "end_frame")
+    return d.join(at, ["segment_id", "word_index"], "left").select("segment_id", "video_id", "word_index", "text", "start_sec", "end_sec", "start_frame", "end_frame", "status")
+
+
 def benchmark_cases(keyframes: DataFrame, positives: int = 30, distractors: int = 30, least: int = 10, seed: int = 42) -> DataFrame:
     """case_id, category, expected_video_id, query_vector_ids: cases that a search for event sequences is measured by.
 

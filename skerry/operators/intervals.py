@@ -52,7 +52,8 @@ def as_of_frames(ranges: DataFrame, timeline: DataFrame) -> DataFrame:
     end, one frame after start at least; past the timeline the last frame + 1. One sort per video by time carries the
     look-ups along; no range meets every frame.
     """
-    frames = timeline.select("video_id", F.col("pts_time").alias("t"), F.col("frame_id").alias("frame"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("range_id"))
+    kind = ranges.schema["range_id"].dataType
+    frames = timeline.select("video_id", F.col("pts_time").alias("t"), F.col("frame_id").alias("frame"), F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("range_id"))
     starts = ranges.select("video_id", F.col("start_sec").alias("t"), F.lit(None).cast("long").alias("frame"), F.lit(1).alias("kind"), "range_id")
     ends = ranges.select("video_id", F.col("end_sec").alias("t"), F.lit(None).cast("long").alias("frame"), F.lit(-1).alias("kind"), "range_id")
     w = Window.partitionBy("video_id").orderBy("t", "kind")

@@ -231,16 +231,65 @@ def page_sizes(t):
     return t.spark.range(1, 7).select(F.col("id").alias("events"), events.videos_per_page(F.col("id")).alias("videos"))
 
 
-@query()
-def ctc_alignment(t):
-    """Alignment of the events' values as log-probabilities of four tokens over the steps of a user."""
-    d = t("timeline").filter("frame_id < 40")
+#: Alignment in SQL: pieces of 40 steps of a video, states blank, 1, blank, 2, blank, 2, blank, 3, blank; the first of equal choices wins.
+_PATHS_SQL = """
+    RECURSIVE e AS (
+      SELECT video_id, video_id::VARCHAR || ':' || (frame_id // 40)::VARCHAR AS id, frame_id % 40 AS t, count(*) OVER (PARTITION BY video_id, frame_id // 40) AS n,
+             list_transform([0, 1, 0, 2, 0, 2, 0, 3, 0], lambda k: -(value_ms * (k + 3) % 97)::DOUBLE) AS lp FROM {timeline}
+    ), v AS (
+      SELECT id, t, list_transform(range(1, 10), lambda s: CASE WHEN s <= 2 THEN lp[s] ELSE '-inf'::DOUBLE END) AS best, NULL::BIGINT[] AS back FROM e WHERE n >= 8 AND t = 0
+      UNION ALL
+      SELECT id, t, list_transform(range(1, 10), lambda s: list_extract(o[s], c[s] + 1) + lp[s]), c
+      FROM (SELECT *, list_transform(o, lambda x: list_position(x, list_max(x))::BIGINT - 1) AS c FROM (
+        SELECT e.id, e.t, e.lp, list_transform(range(1, 10), lambda s: [v.best[s], CASE WHEN s > 1 THEN v.best[s - 1] ELSE '-inf'::DOUBLE END, CASE WHEN s IN (4, 8) THEN v.best[s - 2] ELSE '-inf'::DOUBLE END]) AS o
+        FROM v JOIN e ON e.id = v.id AND e.t = v.t + 1))
+    ), p AS (
+      SELECT id, t, CASE WHEN best[9] >= best[8] THEN 8 ELSE 7 END::BIGINT AS k FROM v WHERE (id, t) IN (SELECT (id, max(t)) FROM v GROUP BY id)
+      UNION ALL
+      SELECT v.id, v.t, p.k - w.back[p.k + 1] FROM p JOIN v w ON w.id = p.id AND w.t = p.t JOIN v ON v.id = p.id AND v.t = p.t - 1
+    ), aligned AS (SELECT id, (k - 1) // 2 AS "index", [1, 2, 2, 3][(k - 1) // 2 + 1] AS token, min(t) AS start, max(t) + 1 AS "end" FROM p WHERE k % 2 = 1 GROUP BY id, (k - 1) // 2)"""
+
+
+def _aligned(t):
+    """Alignment of the events' values as log-probabilities of four tokens, over pieces of 40 steps; pieces of under 8 steps have no words."""
+    d = t("timeline").withColumn("id", F.concat_ws(":", "video_id", F.floor(F.col("frame_id") / 40)))
     row = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: -(F.pmod(F.col("value_ms") * (k + 3), F.lit(97)).cast("double")))
-    d = d.groupBy(F.col("video_id").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("frame_id", row.alias("row")))), lambda x: x["row"]).alias("log_probs"))
+    d = d.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame_id", row.alias("row")))), lambda x: x["row"]).alias("log_probs"))
     d = d.filter(F.size("log_probs") >= 8).withColumn("targets", F.array(*[F.lit(x) for x in (1, 2, 2, 3)]).cast(T.ArrayType(T.IntegerType())))
     return events.aligned(d)
 
 
+@query(f'WITH {_PATHS_SQL} SELECT id, "index", token, start, "end" FROM aligned')
+def ctc_alignment(t):
+    return _aligned(t)
+
+
+@query(f"""
+    WITH {_PATHS_SQL}, s AS (SELECT id, any_value(video_id) AS video_id, any_value(t * 0 + split_part(id, ':', 2)::BIGINT) * 20.0::DOUBLE AS a, max(n) * 0.25::DOUBLE AS len FROM e GROUP BY id),
+    w AS (
+      SELECT id, "index" // 2 AS word_index, s.video_id, s.a, s.a + s.len AS z, greatest(s.a, s.a + min(start) * 0.4::DOUBLE) AS raw, least(s.a + s.len, s.a + max("end") * 0.4::DOUBLE) AS end_sec
+      FROM aligned JOIN s USING (id) GROUP BY id, "index" // 2, s.video_id, s.a, s.len
+    ), c AS (SELECT *, max(raw) OVER (PARTITION BY id ORDER BY word_index) AS start_sec FROM w),
+    x AS (SELECT *, bool_and(start_sec < end_sec) OVER (PARTITION BY id) AS fine FROM c),
+    f AS (SELECT video_id, frame_id, frame_id * 0.5::DOUBLE AS pts FROM {{timeline}}),
+    g AS (
+      SELECT id, word_index, coalesce(max(frame_id) FILTER (pts <= start_sec), min(frame_id)) AS start_frame, coalesce(min(frame_id) FILTER (pts >= end_sec), max(frame_id) + 1) AS end_frame
+      FROM x JOIN f USING (video_id) WHERE fine GROUP BY id, word_index
+    )
+    SELECT id AS segment_id, video_id, word_index, ['hello', 'there'][word_index + 1] AS text, start_sec, end_sec, start_frame, greatest(end_frame, start_frame + 1) AS end_frame,
+           CASE WHEN fine THEN 'pass' ELSE 'bad range' END AS status
+    FROM x LEFT JOIN g USING (id, word_index)""")
+def word_spans(t):
+    """Two words of two tokens each; steps last longer than a segment has room for, so some segments fail."""
+    tokens = _aligned(t).withColumnRenamed("id", "segment_id")
+    pieces = t("timeline").groupBy("video_id", F.floor(F.col("frame_id") / 40).alias("piece")).agg(F.count("*").alias("n"))
+    start = F.col("piece") * F.lit(20.0)
+    segments = pieces.filter("n >= 8").select(F.concat_ws(":", "video_id", "piece").alias("segment_id"), "video_id", start.alias("start_sec"), (start + F.col("n") * F.lit(0.25)).alias("end_sec"))
+    word = lambda i, text: F.struct(F.lit(i).alias("word_index"), F.lit(text).alias("text"), F.lit(2 * i).alias("first_token"), F.lit(2 * i + 1).alias("last_token"))
+    words = segments.select("segment_id", F.inline(F.array(word(0, "hello"), word(1, "there"))))
+    return events.word_spans(tokens, words, segments, t("timeline").withColumn("pts_time", F.col("frame_id") * F.lit(0.5)), 0.4)
+
+
 # ---- set operations
 
 

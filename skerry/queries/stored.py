@@ -9,7 +9,7 @@ from skerry.operators import events, evidence, features, setops
 from skerry.plans import packing
 from skerry.queries.base import query
 from skerry.queries.evidences import _FRAMES_SQL, frames
-from skerry.sources import records, release
+from skerry.sources import clustered, records, release
 from skerry.sources.shared import new_path
 
 
@@ -18,6 +18,31 @@ def _path(t, name: str) -> str:
     return new_path(t.spark, name)
 
 
+# ---- clustered tables
+
+
+@query("SELECT vector_id, rank, entity, score FROM {detections} WHERE entity IN ('NF', 'RF') AND score >= 0.9")
+def clustered_ranges(t):
+    """Detections laid out by entity, score and vector; a look-up by two of the keys, with column filters that reach the scan."""
+    path = _path(t, "clustered")
+    clustered.write(t("detections"), path, ["entity", "score", "vector_id"], ["vector_id"], files=16)
+    return t.spark.read.parquet(path).filter("entity IN ('NF', 'RF') AND score >= 0.9")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity >= 50 AND l_discount >= 0.1)")
+def clustered_points(t):
+    """Orders laid out by date and price, with a Bloom filter of their keys; look-ups by key from another table."""
+    path = _path(t, "clustered")
+    clustered.write(t("orders"), path, ["o_orderdate", "o_totalprice"], ["o_orderkey"], files=16)
+    wanted = t("lineitem").filter("l_quantity >= 50 AND l_discount >= 0.1").select(F.col("l_orderkey").alias("o_orderkey"))
+    return t.spark.read.parquet(path).join(wanted, "o_orderkey", "left_semi").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, min({c})::DOUBLE AS least, max({c})::DOUBLE AS most FROM lineitem" for c in ("l_orderkey", "l_quantity", "l_discount", "l_tax")))
+def column_statistics(t):
+    return clustered.statistics(t("lineitem"), ["l_orderkey", "l_quantity", "l_discount", "l_tax"]).drop("distinct")
+
+
 # ---- feature rows
 
 _FOUND_SQL = """(SELECT 'k' || vector_id AS keyframe_id, video_id, frame_idx AS frame_id, embedding, vector_id % 11 = 0 OR vector_id % 13 = 0 AS failed, vector_id FROM {keyframes}) x"""
