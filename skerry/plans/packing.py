@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import dataclasses
 import hashlib
 import heapq
@@ -9,6 +10,7 @@ import json
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,17 +81,105 @@ def chunk_limit(free_disk_gb: float, ram_gb: float, policy: Mapping[str, float])
     return int(min(limits))
 
 
+#: Rows of a block of greedy_chunks at most.
+BLOCK = 4096
+
+
+def _next_chunks(sizes: np.ndarray, most: int, most_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chunk ends that starts at each row of a block (the block's length: not within it), and the sums of sizes before each row."""
+    before = np.concatenate(([0], np.cumsum(sizes)))
+    at = np.arange(len(sizes))
+    full = np.searchsorted(before, before[:-1] + most_bytes, side="right") - 1
+    return np.minimum(np.maximum(np.minimum(at + most, full), at + 1), len(sizes)), before
+
+
+def _block_facts(sizes: np.ndarray, most: int, most_bytes: int) -> dict[str, Any]:
+    """What a block does to an open chunk: for each row at which the first new chunk may start, the chunks started and what the last leaves open."""
+    ends, before = _next_chunks(sizes, most, most_bytes)
+    n = len(sizes)
+    count, rows, size = [0] * n, [0] * n, [0] * n
+    for i in range(n - 1, -1, -1):
+        to = int(ends[i])
+        count[i], rows[i], size[i] = (1, n - i, int(before[n] - before[i])) if to >= n else (count[to] + 1, rows[to], size[to])
+    heads = min(most, n)
+    return {"n": n, "total": int(before[n]), "head": before[1 : heads + 1].tolist(), "started": count[:heads], "left_rows": rows[:heads], "left_bytes": size[:heads]}
+
+
+def _entered(facts: Any, rows: int, size: int, most: int, most_bytes: int) -> int:
+    """The first row of the block that an open chunk of so many rows and bytes can't take."""
+    if not rows:
+        return 0
+    return min(bisect.bisect_right(facts.head, most_bytes - size), max(most - rows, 0))
+
+
 def greedy_chunks(videos: DataFrame, group: str, most: int, most_bytes: int) -> DataFrame:
-    """videos(group, pos, video_id, bytes) -> chunk per row: in order, a new chunk where the count or the bytes would be exceeded; unknown sizes count as the limit."""
+    """videos(group, pos, video_id, bytes) -> chunk per row: in order of pos (whole numbers, nulls first), then video_id, a new chunk where the count or the bytes would be exceeded.
+
+    Unknown sizes count as the limit, negative ones as none; a video above the limit is a chunk by itself. A group is one
+    sequence, but no task reads all of it: rows are dealt by group and block of BLOCK positions. A block is summed up
+    by what it makes of an open chunk, for each row at which its first new chunk may start (the first `most` rows); these
+    summaries, one row per block, are chained per group; then every block is numbered from the state that it is entered with.
+    """
+    size = F.when(F.col("bytes").isNull(), F.lit(most_bytes)).otherwise(F.greatest("bytes", F.lit(0))).cast("long")
+    rows = videos.select(group, "pos", "video_id", "bytes")
+    keyed = rows.withColumn("group_key", F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))).withColumn("block_key", F.coalesce(F.floor(F.col("pos") / BLOCK), F.lit(-(1 << 62)))).withColumn("size_", size)
+    order = ["group_key", "block_key", "pos", "video_id", "size_"]
+
+    def sum_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of a block in order, BLOCK of them at a time: repeated positions may be more."""
+        key, part, held = None, 0, []
 
-    def step(open_: dict[str, int], row: Any) -> int:
-        size = most_bytes if pd.isna(row.bytes) else int(row.bytes)
-        if open_["n"] and (open_["n"] >= most or open_["bytes"] + size > most_bytes):
-            open_.update(chunk=open_["chunk"] + 1, n=0, bytes=0)
-        open_.update(n=open_["n"] + 1, bytes=open_["bytes"] + size)
-        return open_["chunk"]
+        def closed() -> pd.DataFrame:
+            return pd.DataFrame([{"group_key": key[0], "block_key": key[1], "part": part, **_block_facts(np.concatenate(held), most, most_bytes)}])
 
-    return folded(videos.select(group, "pos", "video_id", "bytes"), group, ["pos"], lambda: {"chunk": 0, "n": 0, "bytes": 0}, step, "chunk int")
+        for pdf in frames:
+            for k, rows_ in pdf.groupby(["group_key", "block_key"], sort=False):
+                if key != k:
+                    if held:
+                        yield closed()
+                    key, part, held = k, 0, []
+                sizes = rows_["size_"].to_numpy()
+                while len(sizes):
+                    room = BLOCK - sum(map(len, held))
+                    held.append(sizes[:room])
+                    sizes = sizes[room:]
+                    if len(sizes):
+                        yield closed()
+                        part, held = part + 1, []
+        if held:
+            yield closed()
+
+    facts_schema = "group_key string, block_key long, part int, n long, total long, head array<long>, started array<long>, left_rows array<long>, left_bytes array<long>"
+    dealt = keyed.select(*order).repartition("group_key", "block_key").sortWithinPartitions(*order)
+    facts = dealt.mapInPandas(sum_up, facts_schema)
+
+    def chain(open_: list[int], block: Any) -> list[int]:
+        """The state before the block: the number of the open chunk, its rows and bytes."""
+        before = list(open_)
+        chunk, rows_, size_ = open_
+        at = _entered(block, rows_, size_, most, most_bytes)
+        open_[:] = [chunk + block.started[at], block.left_rows[at], block.left_bytes[at]] if at < len(block.head) else [chunk, rows_ + block.n, size_ + block.total]
+        return before
+
+    entered = folded(facts, "group_key", ["block_key", "part"], lambda: [-1, 0, 0], chain, "entry array<long>")
+    entered = entered.filter("part = 0").select("group_key", "block_key", "entry")
+
+    def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, chunk, n, used = None, 0, 0, 0
+        for pdf in frames:
+            out = []
+            for g, b, s, entry in zip(pdf["group_key"], pdf["block_key"], pdf["size_"], pdf["entry"]):
+                if key != (g, b):
+                    key, (chunk, n, used) = (g, b), map(int, entry)
+                if not n or n >= most or used + s > most_bytes:
+                    chunk, n, used = chunk + 1, 0, 0
+                n, used = n + 1, used + int(s)
+                out.append(chunk)
+            yield pdf.drop(columns=["group_key", "block_key", "size_", "entry"]).assign(chunk=out)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    d = keyed.join(entered, ["group_key", "block_key"]).repartition("group_key", "block_key").sortWithinPartitions(*order)
+    return d.select(group, "pos", "video_id", "bytes", "group_key", "block_key", "size_", "entry").mapInPandas(number, f"{schema}, chunk int")
 
 
 def consistency_reviews(gaps: DataFrame, votes: DataFrame, counts: DataFrame, judge: Callable[[DataFrame], DataFrame], rounds: int = 3, padding: int = 1) -> DataFrame:
