@@ -31,6 +31,12 @@ def event_texts(texts: Sequence[str]) -> list[str]:
     return kept
 
 
+def event_lists(texts: Column) -> Column:
+    """The same for a column of texts: struct(found, events), events null unless 1 to 6 are found."""
+    kept = F.filter(F.transform(texts, lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    return F.struct(F.size(kept).alias("found"), F.when(F.size(kept).between(1, MAX_EVENTS), kept).alias("events"))
+
+
 def scored(frames: DataFrame, queries: Sequence[Sequence[float]], half: bool = False) -> DataFrame:
     """video_id, vector_id, i (ordinal in the video) and s: the scores of the events; half: as of vectors stored in half precision."""
     i = F.row_number().over(Window.partitionBy("video_id").orderBy("vector_id")) - 1

@@ -12,7 +12,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skerry.operators import sequences
@@ -264,6 +264,12 @@ def retry_delay(attempt: int, retry_after: float | None = None, most: float = 60
     return retry_after if retry_after is not None else min(most, 2.0 ** (attempt - 1))
 
 
+def retry_delays(attempt: Column, retry_after: Column | None = None, most: float = 60.0) -> Column:
+    """The same for columns: the wait that was asked for, else a doubling one, at most so long."""
+    doubled = F.least(F.pow(F.lit(2.0), attempt - 1), F.lit(most))
+    return doubled if retry_after is None else F.coalesce(retry_after.cast("double"), doubled)
+
+
 def split_batches(rows: DataFrame, group: str, order: list[str], size: int) -> DataFrame:
     """Rows numbered into batches of at most size within a group."""
     return rows.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1) / size))

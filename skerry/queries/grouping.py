@@ -226,9 +226,12 @@ def clamped_frames(t):
     return d.select("video_id", _text(events.clamp_increasing(F.col("frames"), F.lit(9000))).alias("frames"))
 
 
-@query("SELECT n AS events, CASE WHEN n <= 1 THEN 10 WHEN n = 2 THEN 4 WHEN n <= 4 THEN 2 ELSE 1 END::BIGINT AS videos FROM range(1, 7) AS r(n)")
+@query("""
+    SELECT conv_id, n AS events, CASE WHEN n <= 1 THEN 10 WHEN n = 2 THEN 4 WHEN n <= 4 THEN 2 ELSE 1 END::BIGINT AS videos
+    FROM (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id)""")
 def page_sizes(t):
-    return t.spark.range(1, 7).select(F.col("id").alias("events"), events.videos_per_page(F.col("id")).alias("videos"))
+    """Every turn of a conversation as an event of a search."""
+    return t("conversations").groupBy("conv_id").agg(F.count("*").alias("events")).withColumn("videos", events.videos_per_page(F.col("events")))
 
 
 #: Alignment in SQL: pieces of 40 steps of a video, states blank, 1, blank, 2, blank, 2, blank, 3, blank; the first of equal choices wins.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skerry.functions import text, vectors
@@ -183,10 +184,15 @@ def labelled_evidence(t):
     return t("videos").select("video_id", text.labelled_lines("VIDEO", {"author": F.col("author"), "dated": text.yes_no(F.col("publish_date_iso") != "")}).alias("body"))
 
 
-@query("SELECT generate_subscripts(x, 1) - 1 AS place, unnest(x) AS event FROM (SELECT ['a red car', 'a dog'] AS x)")
+@query(r"""
+    WITH k AS (SELECT conv_id, turn, regexp_replace(text, '^\s+|\s+$', '', 'g') AS e FROM conversations),
+    l AS (SELECT conv_id, coalesce(list(e ORDER BY turn, e) FILTER (e <> ''), []) AS x FROM k GROUP BY conv_id)
+    SELECT conv_id, len(x) AS found, CASE WHEN len(x) BETWEEN 1 AND 6 THEN sha256(array_to_string(x, chr(30))) END AS events FROM l""")
 def event_texts(t):
-    """Blank events go, the rest is trimmed."""
-    return t.rows(list(enumerate(events.event_texts([" a red car ", "", "  ", "a dog"]))), "place long, event string")
+    """A conversation's turns as the events of a search: blank ones go, the rest is trimmed; more than six are no search."""
+    d = t("conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("texts"))
+    d = d.select("conv_id", events.event_lists(F.col("texts")).alias("e"))
+    return d.select("conv_id", F.col("e.found").alias("found"), F.sha2(F.array_join("e.events", "\x1e"), 256).alias("events"))
 
 
 @query("SELECT video_id, frame_id AS gap, CASE WHEN video_id % 3 = 0 THEN frame_id % 4 = 0 ELSE value_ms % 2 = 0 END AS boundary FROM {timeline}")
@@ -197,6 +203,11 @@ def degenerate_reviews(t):
     return packing.degenerate_reviews(gaps, quality, lambda g: g.withColumn("boundary", F.col("gap") % 4 == 0))
 
 
-@query("SELECT n AS attempt, least(60, 2 ** (n - 1))::DOUBLE AS delay FROM range(1, 10) r(n)")
+@query("""
+    SELECT event_id, attempt, CASE WHEN value < 1 THEN value WHEN attempt > 7 THEN 60 ELSE least(60, 2 ** (attempt - 1)) END::DOUBLE AS delay
+    FROM (SELECT event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt FROM events WHERE event_type = 'error')""")
 def retry_delays(t):
-    return t.rows([(n, float(packing.retry_delay(n))) for n in range(1, 10)], "attempt long, delay double")
+    """Every error of a user is an attempt more; a value below one is a wait that the other side asked for."""
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    d = t("events").filter("event_type = 'error'").withColumn("attempt", F.row_number().over(order))
+    return d.select("event_id", "attempt", packing.retry_delays(F.col("attempt"), F.when(F.col("value") < 1, F.col("value"))).alias("delay"))

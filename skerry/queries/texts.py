@@ -159,45 +159,38 @@ def text_ids(t):
     )
 
 
-#: Query strings and what they mean: text, collections, videos, keyframes, error.
-QUERY_BOX = [
-    ("red car", "red car", "", "", "", None),
-    ("L21, red car, at night", "red car at night", "L21", "", "", None),
-    ("L21_V001, L21_V001, L22", "", "L22", "L21_V001", "", None),
-    ("L21_V001_007, L21_V002_12", "", "", "L21_V001,L21_V002", "L21_V001_7,L21_V002_12", None),
-    ("L21_V001, 7", "", "", "L21_V001", "L21_V001_7", None),
-    ("L21_V001_007, dog", None, "", "", "", "keyframe ids cannot be combined with other terms"),
-    ("7, 8", None, "", "", "", "a keyframe number goes with exactly one video id"),
-    ("l21", "l21", "", "", "", None),
-    (" , ", "", "", "", "", None),
-]
+_BOX_SQL = """(SELECT vector_id, collection_id AS c, collection_id || '_' || video_id AS v, keyframe_no % 999 AS k, vector_id % 7 AS form FROM {keyframes}) x"""
 
 
-def _literal(x: str | None) -> str:
-    return "NULL" if x is None else "'" + x.replace("'", "''") + "'"
-
-
-@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in QUERY_BOX) + ") AS v(raw, text, collections, videos, keyframes, error)")
+@query(f"""
+    SELECT vector_id, CASE WHEN form = 5 THEN NULL WHEN form IN (0, 6) THEN 'red car ' || k ELSE '' END AS text, CASE WHEN form = 0 THEN c ELSE '' END AS collections,
+           CASE form WHEN 1 THEN v || CASE WHEN v LIKE '%_V003' THEN '' ELSE ',' || c || '_V003' END WHEN 2 THEN v WHEN 3 THEN v WHEN 4 THEN v WHEN 5 THEN '' ELSE '' END AS videos,
+           CASE WHEN form IN (2, 3) THEN v || '_' || k WHEN form = 4 THEN v || '_' || k || ',' || v || '_' || (k + 1) ELSE '' END AS keyframes,
+           CASE form WHEN 5 THEN 'keyframe ids cannot be combined with other terms' END AS error
+    FROM {_BOX_SQL}""")
 def parse_queries(t):
-    d = t.rows([(r[0],) for r in QUERY_BOX], "raw string").select("raw", text.parsed_queries(F.col("raw")).alias("q"))
-    # a number with its video keeps the video as scope
-    return d.select("raw", "q.text", *[F.array_join(f"q.{c}", ",").alias(c) for c in ("collections", "videos", "keyframes")], "q.error")
-
-
-URLS = [
-    ("https://www.youtube.com/watch?v=abcdefghijk&t=5", "abcdefghijk"),
-    ("https://youtu.be/abcdefghij_?x=1", "abcdefghij_"),
-    ("http://m.youtube.com/shorts/ABCDEFGHIJK", "ABCDEFGHIJK"),
-    ("https://youtube.com/embed/abc-efghijk", "abc-efghijk"),
-    ("https://example.org/watch?v=abcdefghijk", None),
-    ("https://youtube.com/watch?v=short", None),
-    ("nonsense", None),
-]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({_literal(a)}, {_literal(b)})" for a, b in URLS) + ") AS v(url, video)")
+    """A query string for every keyframe, in seven forms: words with a collection, videos, a keyframe, a video with a number, two keyframes, a faulty mixture, words."""
+    collection, k = F.col("collection_id"), F.col("keyframe_no") % 999  # a keyframe's number has three digits at most
+    number = k.cast("string")
+    video = F.concat_ws("_", "collection_id", "video_id")
+    frame = F.concat(video, F.lit("_"), F.lpad(number, 3, "0"))
+    forms = [
+        F.concat(F.lit("red car "), number, F.lit(" , "), collection), F.concat(video, F.lit(", "), video, F.lit(","), collection, F.lit("_V003")), frame, F.concat(video, F.lit(", "), number),
+        F.concat(frame, F.lit(","), video, F.lit("_"), (k + 1).cast("string")), F.concat(frame, F.lit(", dog")), F.concat(F.lit(" , red,car "), number, F.lit(",")),
+    ]
+    d = t("keyframes").select("vector_id", text.parsed_queries(F.get(F.array(*forms), (F.col("vector_id") % 7).cast("int"))).alias("q"))
+    return d.select("vector_id", "q.text", *[F.array_join(f"q.{c}", ",").alias(c) for c in ("collections", "videos", "keyframes")], "q.error")
+
+
+@query("SELECT page_id, CASE WHEN page_id % 6 < 4 THEN lpad(page_id::VARCHAR, 11, '-') END AS video FROM pages")
 def url_ids(t):
-    return t.rows([(a,) for a, _ in URLS], "url string").select("url", text.video_id_of(F.col("url")).alias("video"))
+    """A link to a video for every page, in four shapes that have an id and two that don't: another host, an id too short."""
+    video, number = F.lpad(F.col("page_id").cast("string"), 11, "-"), F.col("page_id").cast("string")
+    shapes = [
+        F.concat(F.lit("https://www.youtube.com/watch?t=5&v="), video), F.concat(F.lit(" https://youtu.be/"), video, F.lit("?x=1")), F.concat(F.lit("http://m.youtube.com/shorts/"), video),
+        F.concat(F.lit("https://youtube.com/embed/"), video, F.lit("/")), F.col("url"), F.concat(F.lit("https://youtube.com/watch?v=x"), F.substring(number, 1, 9)),
+    ]
+    return t("pages").select("page_id", text.video_id_of(F.get(F.array(*shapes), (F.col("page_id") % 6).cast("int"))).alias("video"))
 
 
 @query("SELECT page_id, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 't=' || floor(page_id * 1.7)::BIGINT::VARCHAR || 's' AS link FROM pages")

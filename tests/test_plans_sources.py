@@ -48,7 +48,9 @@ def test_configuration():
         packing.layered({"hub": {"api_key": "x"}})
 
 
-def test_retry():
+def test_retry(spark):
+    d = spark.createDataFrame([(1, None), (3, None), (9, None), (5000, None), (2, 7.5)], "n int, asked double")
+    assert [r.x for r in d.select(packing.retry_delays(F.col("n"), F.col("asked")).alias("x")).collect()] == [1.0, 4.0, 60.0, 60.0, 7.5]
     assert [packing.retry_delay(n) for n in (1, 3, 9)] == [1.0, 4.0, 60.0] and packing.retry_delay(2, 7.5) == 7.5
 
 
