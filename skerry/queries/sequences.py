@@ -263,7 +263,18 @@ def history(t):
     return sequences.history(t("events").select("event_type", "event_id"), "event_type", "event_id")
 
 
-@query()
+@query(r"""
+    WITH t AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY conv_id, turn),
+    w AS (SELECT *, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') AS w FROM t),
+    l AS (SELECT *, lag(w) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM w),
+    a AS (SELECT conv_id, turn, turn % 4 <> 3 AS ok, concat_ws(' ', CASE WHEN b IS NOT NULL THEN coalesce(array_to_string(b[greatest(len(b) - 2, 1):], ' '), '') END, text) AS text FROM l),
+    p AS (SELECT *, lag(CASE WHEN ok THEN text END) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM a),
+    c AS (SELECT *, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS c, list_filter(regexp_split_to_array(coalesce(before, ''), '\s+'), lambda x: x <> '') AS p FROM p),
+    n AS (SELECT *, list_transform(c, lambda x: regexp_replace(lower(x), '[^\p{L}\p{N}_]+', '', 'g')) AS cb, list_transform(p, lambda x: regexp_replace(lower(x), '[^\p{L}\p{N}_]+', '', 'g')) AS pb FROM c),
+    o AS (
+      SELECT *, CASE WHEN ok THEN coalesce(list_max(list_filter(range(1, least(12, len(p), len(c)) + 1), lambda k:
+        list_filter(pb[len(pb) - k + 1:], lambda x: x <> '') = list_filter(cb[1:k], lambda x: x <> '') AND len(list_filter(cb[1:k], lambda x: x <> '')) > 0)), 0) ELSE 0 END AS overlap FROM n
+    ) SELECT conv_id AS video_id, turn AS chunk, overlap, coalesce(array_to_string(c[overlap + 1:], ' '), '') AS kept FROM o""")
 def trimmed_overlaps(t):
     """Turns as chunks; each but the first is led by the last words of the one before."""
     from pyspark.sql import Window
