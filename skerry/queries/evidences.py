@@ -36,11 +36,20 @@ def keyframe_diagnostics(t):
     return evidence.diagnostic_counts(evaluated(t))
 
 
-@query()
+ROLE_BANDS = {r: evidence.role_bands(a, b, 0.1, 0.05, 0.95) for r, (a, b) in {"early": (0.1, 0.3), "middle": (0.4, 0.6), "late": (0.7, 0.9)}.items()}
+_BANDS_SQL = ", ".join(f"('{r}', {k}, {low!r}::DOUBLE, {high!r}::DOUBLE)" for r, bands in ROLE_BANDS.items() for k, (low, high) in enumerate(bands))
+
+
+@query(f"""
+    WITH v(role, round, low, high) AS (VALUES {_BANDS_SQL}),
+    s AS (SELECT video_id::VARCHAR || ':' || shot_index::VARCHAR AS shot_id, shot_index * 250 AS first, shot_index * 250 + frames * 25 - 1 AS last FROM {{shots}}),
+    b AS (SELECT shot_id, role, round, first + (last - first) * low AS lo, first + (last - first) * high AS hi FROM s, v),
+    n AS (SELECT *, least(5, greatest(1, floor(hi) - ceil(lo) + 1))::BIGINT AS n FROM b),
+    p AS (SELECT shot_id, role, round, CASE WHEN n = 1 THEN round_even((lo + hi) / 2, 0) ELSE round_even(lo + (hi - lo) * i / greatest(n - 1, 1), 0) END::BIGINT AS frame_id FROM n, range(5) r(i) WHERE i < n)
+    SELECT shot_id, role, frame_id, min(round)::BIGINT AS round FROM p GROUP BY shot_id, role, frame_id""")
 def role_candidates(t):
     shots = t("shots").select(F.concat_ws(":", "video_id", "shot_index").alias("shot_id"), (F.col("shot_index") * 250).alias("start_frame"), (F.col("shot_index") * 250 + F.col("frames") * 25).alias("end_frame"))
-    roles = {r: evidence.role_bands(a, b, 0.1, 0.05, 0.95) for r, (a, b) in {"early": (0.1, 0.3), "middle": (0.4, 0.6), "late": (0.7, 0.9)}.items()}
-    return evidence.role_candidates(shots, roles, 5)
+    return evidence.role_candidates(shots, ROLE_BANDS, 5)
 
 
 _FRAMES_SQL = """
@@ -73,7 +82,30 @@ def change_signals(t):
     return d.withColumns({c: F.round(c, 6) for c in ("visual", "changed", "strength")})
 
 
-@query()
+@query(f"""
+    WITH f AS (SELECT * FROM {_FRAMES_SQL}),
+    d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY shot_id, image, status, words ORDER BY NOT is_representative, time, frame_id) AS n FROM f) WHERE n = 1 OR status = 'failed'),
+    p AS (SELECT *, lead(keyframe_id) OVER w AS right_id, lead(image) OVER w AS i2, lead(status) OVER w AS s2, lead(words) OVER w AS w2 FROM d WINDOW w AS (PARTITION BY shot_id ORDER BY time, frame_id)),
+    q AS (SELECT *, bit_count(xor(image, i2)) / 64.0::DOUBLE AS visual, list_filter(string_split(lower(words), ' '), lambda x: x <> '') AS a, list_filter(string_split(lower(w2), ' '), lambda x: x <> '') AS b FROM p WHERE right_id IS NOT NULL),
+    r AS (SELECT *, CASE WHEN status = 'failed' OR s2 = 'failed' THEN NULL WHEN len(a) = 0 AND len(b) = 0 THEN 0 ELSE 1 - len(list_intersect(a, b)) / greatest(1, len(list_distinct(list_concat(a, b))))::DOUBLE END AS changed FROM q),
+    g AS (SELECT shot_id, keyframe_id AS left_id, right_id, time, frame_id, visual >= 0.1 AS v, coalesce(changed >= 0.6, FALSE) AS t, greatest(visual, coalesce(changed, 0)) AS strength FROM r),
+    ends AS (SELECT shot_id, left_id AS keyframe_id, strength, time, frame_id, 0 AS side FROM g WHERE v OR t UNION ALL SELECT shot_id, right_id, strength, time, frame_id, 1 FROM g WHERE v OR t),
+    power AS (SELECT shot_id, keyframe_id, max(strength) AS power FROM ends GROUP BY 1, 2),
+    places AS (
+      SELECT d.shot_id, d.keyframe_id, CASE WHEN is_representative THEN 0 ELSE 1 END AS tier, CASE WHEN is_representative THEN 0 ELSE coalesce(power, 0) END AS power, time, frame_id, 0 AS side
+      FROM d LEFT JOIN power USING (shot_id, keyframe_id) WHERE is_representative OR is_supplemental
+      UNION ALL SELECT shot_id, keyframe_id, 2, strength, time, frame_id, side FROM ends
+    ),
+    firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY shot_id, keyframe_id ORDER BY tier, power DESC, time, frame_id, side) AS n FROM places) WHERE n = 1),
+    turns AS (SELECT shot_id, keyframe_id, row_number() OVER (PARTITION BY shot_id ORDER BY tier, power DESC, time, frame_id, side, keyframe_id) AS turn FROM firsts),
+    several AS (SELECT shot_id, count(*) AS n, string_agg(keyframe_id, ',' ORDER BY time, frame_id, keyframe_id) AS ids FROM turns JOIN d USING (shot_id, keyframe_id) WHERE turn <= 4 GROUP BY shot_id),
+    kinds AS (SELECT shot_id, count(*) AS n, bool_or(is_supplemental) AS s FROM d GROUP BY shot_id), crossed AS (SELECT shot_id, bool_or(v) AS v, bool_or(t) AS t FROM g GROUP BY shot_id),
+    h AS (SELECT shot_id, max(time) - min(time) >= 3 AS long_, min(keyframe_id) FILTER (is_representative) AS one FROM f GROUP BY shot_id),
+    m AS (
+      SELECT shot_id, one, several.n AS taken, ids, CASE WHEN kinds.n >= 2 THEN concat_ws(',', CASE WHEN s THEN 'meaningful_supplemental' END, CASE WHEN long_ AND v THEN 'visual_change' END, CASE WHEN long_ AND t THEN 'ocr_change' END) ELSE '' END AS reasons
+      FROM h JOIN kinds USING (shot_id) LEFT JOIN crossed USING (shot_id) LEFT JOIN several USING (shot_id) WHERE one IS NOT NULL
+    ), z AS (SELECT *, reasons <> '' AND coalesce(taken, 0) >= 2 AS dynamic FROM m)
+    SELECT shot_id, CASE WHEN dynamic THEN 'temporal_storyboard' ELSE 'representative_only' END AS mode, CASE WHEN dynamic THEN reasons ELSE '' END AS reasons, CASE WHEN dynamic THEN ids ELSE one END AS sources FROM z""")
 def caption_modes(t):
     f = frames(t)
     shots = f.groupBy("shot_id").agg(F.min("time").alias("start_sec"), F.max("time").alias("end_sec"))
