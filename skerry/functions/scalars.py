@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +22,13 @@ def iso_or_error(c: Column) -> Column:
 
 
 def six_digits(x: Column) -> Column:
-    """Rounded to six significant digits."""
-    return F.format_string("%.5e", x).cast("double")
+    """Rounded to six significant digits; the double's exact value decides, its ties go to even (Java's formatter rounds the shortest decimal, ties up)."""
+
+    @F.pandas_udf("double")
+    def rounded(column: pd.Series) -> pd.Series:
+        return pd.Series([float(f"{v:.5e}") for v in column], dtype="float64")
+
+    return rounded(x)
 
 
 def frame_of(pts: Column, fps: Column) -> Column:

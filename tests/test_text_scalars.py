@@ -72,6 +72,11 @@ def test_frames(spark, pts, fps, want):
     assert one(spark, scalars.frame_of(F.lit(pts).cast("double"), F.lit(fps))) == want
 
 
+@pytest.mark.parametrize("x", [1000.125, 1000.375, 93750.25, 93750.75, 0.1234565, 2.0000005, 1e-320, -1000.125, 1.7e308])
+def test_six_digits_round_the_exact_value_half_to_even(spark, x):
+    assert one(spark, scalars.six_digits(F.lit(x))) == float(f"{x:.6g}")
+
+
 @pytest.mark.parametrize("s,want", [(0.0, "00:00:00.000"), (3661.0625, "01:01:01.062"), (59.9996, "00:01:00.000"), (360000.0, "100:00:00.000")])
 def test_clock_rounds_half_to_even(spark, s, want):
     assert one(spark, scalars.clock(F.lit(s))) == want
