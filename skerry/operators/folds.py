@@ -31,4 +31,5 @@ def folded(rows: DataFrame, group: str, order: list[str], start: Callable[[], An
 
     d = rows.withColumn("group_", F.coalesce(F.col(group).cast("string"), F.lit("\0")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return d.repartition(group).sortWithinPartitions(group, *order).mapInPandas(run, f"{schema}, {name} {kind}")
+    # by the new column: a repartition by one that rows are joined by counts as done, and the join may become a broadcast
+    return d.repartition("group_").sortWithinPartitions("group_", *order).mapInPandas(run, f"{schema}, {name} {kind}")

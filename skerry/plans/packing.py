@@ -165,21 +165,26 @@ def greedy_chunks(videos: DataFrame, group: str, most: int, most_bytes: int) ->
     entered = entered.filter("part = 0").select("group_key", "block_key", "entry")
 
     def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, chunk, n, used = None, 0, 0, 0
+        """A block's entry stands before its rows."""
+        chunk, n, used = 0, 0, 0
         for pdf in frames:
             out = []
-            for g, b, s, entry in zip(pdf["group_key"], pdf["block_key"], pdf["size_"], pdf["entry"]):
-                if key != (g, b):
-                    key, (chunk, n, used) = (g, b), map(int, entry)
+            for s, entry in zip(pdf["size_"], pdf["entry"]):
+                if entry is not None:
+                    chunk, n, used = map(int, entry)
+                    continue
                 if not n or n >= most or used + s > most_bytes:
                     chunk, n, used = chunk + 1, 0, 0
                 n, used = n + 1, used + int(s)
                 out.append(chunk)
-            yield pdf.drop(columns=["group_key", "block_key", "size_", "entry"]).assign(chunk=out)
+            yield pdf[pdf["entry"].isna()].drop(columns=["size_", "entry"]).assign(chunk=out)
 
+    # entries come as rows of their own, not by a join: of a join, Spark drops the repartition that follows it as done
+    # already, and may then turn it into a broadcast that leaves a block's rows in the tasks that have read them
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    d = keyed.join(entered, ["group_key", "block_key"]).repartition("group_key", "block_key").sortWithinPartitions(*order)
-    return d.select(group, "pos", "video_id", "bytes", "group_key", "block_key", "size_", "entry").mapInPandas(number, f"{schema}, chunk int")
+    marked = keyed.withColumn("entry", F.lit(None).cast("array<long>")).unionByName(entered.withColumn("size_", F.lit(0).cast("long")), allowMissingColumns=True)
+    d = marked.repartition("group_key", "block_key").sortWithinPartitions("group_key", "block_key", F.col("entry").isNull(), *order[2:])
+    return d.select(group, "pos", "video_id", "bytes", "size_", "entry").mapInPandas(number, f"{schema}, chunk int")
 
 
 def consistency_reviews(gaps: DataFrame, votes: DataFrame, counts: DataFrame, judge: Callable[[DataFrame], DataFrame], rounds: int = 3, padding: int = 1) -> DataFrame:

@@ -3,7 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from skerry.operators.folds import folded
 from skerry.plans import packing
 
 SCHEMA = "g string, pos long, video_id long, bytes long"
@@ -42,3 +44,27 @@ def test_more_equal_positions_than_a_block(spark, monkeypatch):
     got = {(r.g, r.video_id): r.chunk for r in packing.greedy_chunks(spark.createDataFrame(rows, SCHEMA), "g", 8, 11).collect()}
     assert got == _plain(rows, 8, 11)
     assert packing.greedy_chunks(spark.createDataFrame([], SCHEMA), "g", 8, 11).count() == 0
+
+
+def _dealt(d):
+    """How many exchanges of a plan are repartitions by columns; Spark keeps those together that it adds by itself only where no join becomes a broadcast."""
+    return d._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_COL")
+
+
+def test_blocks_are_dealt_after_their_entries_are_known(spark):
+    d = packing.greedy_chunks(spark.createDataFrame([("g", 5, 1, 1)], SCHEMA), "g", 12, 150)
+    assert _dealt(d) == 3
+
+
+def test_a_fold_deals_rows_that_come_from_a_join(spark):
+    rows = spark.range(2000).select((F.col("id") % 3).alias("g"), "id")
+    few = rows.groupBy("g").agg(F.count("*").alias("n"))
+    joined = rows.hint("merge").join(few, "g").select("g", "id")
+
+    def step(state, row):
+        state[0] += 1
+        return state[0]
+
+    found = folded(joined, "g", ["id"], lambda: [0], step, "place long")
+    assert _dealt(found) == 1
+    assert found.filter("place <> floor(id / 3) + 1").count() == 0
