@@ -182,18 +182,14 @@ def bisection(shots: DataFrame, target: float, most: int) -> DataFrame:
 def novel(candidates: DataFrame, separation: float, threshold: float, budget: int) -> DataFrame:
     """candidates(shot_id, time, signature bigint) -> those taken per shot: in time order, each at least separation after and threshold (share of differing bits) away from every one taken before, up to the budget."""
 
-    def take(pdf: pd.DataFrame) -> pd.DataFrame:
-        taken: list[int] = []
-        pdf = pdf.sort_values(["time", "signature"], ignore_index=True)
-        for k in range(len(pdf)):
-            t, s = pdf.at[k, "time"], int(pdf.at[k, "signature"])
-            if len(taken) < budget and all(
-                abs(t - pdf.at[j, "time"]) >= separation and bin((s ^ int(pdf.at[j, "signature"])) & 0xFFFFFFFFFFFFFFFF).count("1") / 64 >= threshold for j in taken
-            ):
-                taken.append(k)
-        return pdf.loc[taken, ["shot_id", "time", "signature"]]
-
-    return candidates.groupBy("shot_id").applyInPandas(take, candidates.select("shot_id", "time", "signature").schema)
+    taken = F.slice(F.col("rows"), 1, 0)
+
+    def step(got, x):
+        far = F.forall(got, lambda y: (F.abs(x["time"] - y["time"]) >= separation) & (F.bit_count(x["signature"].bitwiseXOR(y["signature"])) / 64 >= threshold))
+        return F.when((F.size(got) < budget) & far, F.concat(got, F.array(x))).otherwise(got)
+
+    d = candidates.groupBy("shot_id").agg(F.array_sort(F.collect_list(F.struct("time", "signature"))).alias("rows"))
+    return d.select("shot_id", F.inline(F.aggregate("rows", taken, step)))
 
 
 def variable_rate(frames: DataFrame) -> DataFrame:

@@ -135,3 +135,10 @@ def test_lookups_of_a_hot_video(spark):
     ranges = at.select("video_id", F.col("target_id").alias("range_id"), F.col("target").alias("start_sec"), (F.col("target") + 1).alias("end_sec"))
     got = intervals.as_of_frames(ranges, frames)
     assert got.filter(f"start_frame = range_id AND end_frame = least(range_id + 2, {n})").count() == n
+
+
+def test_novel_picks_run_without_a_python_call_per_shot(spark):
+    d = spark.createDataFrame([("a", 0.0, 0), ("a", 1.0, -1), ("a", 2.0, -1), ("a", 5.0, 1), ("a", 6.0, 0x0F0F0F0F), ("a", 8.0, 0x0F0F0F0F << 8), (None, 3.0, 7)], "shot_id string, time double, signature long")
+    found = sequences.novel(d, 2.0, 0.25, 3)
+    assert "Python" not in (plan := found._jdf.queryExecution().executedPlan().toString()) and "InPandas" not in plan
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([("a", 0.0, 0), ("a", 2.0, -1), ("a", 6.0, 0x0F0F0F0F), (None, 3.0, 7)], key=str)
