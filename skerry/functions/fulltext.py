@@ -9,7 +9,11 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +22,8 @@ ACCENTS = "".join(map(chr, (*range(0x300, 0x305), *range(0x306, 0x30D), 0x30F, 0
 SEPARATORS = r"[^\p{L}\p{N}\p{Co}]+"
 #: Hash classes of tokens.
 PARTS = 64
+#: Documents whose words are looked at together.
+ROWS = 256
 
 
 @functools.cache
@@ -56,11 +62,30 @@ def part_of(token: Column, parts: int = PARTS) -> Column:
 def postings(docs: DataFrame, id_column: str, text: Column) -> DataFrame:
     """token, id, gaps: a token's places in a document, each as its distance from the one before, the first from 0.
 
-    A document's places meet in the task that reads it, before the shuffle.
+    A document's places meet in its own row: words are neither exploded nor shuffled, only postings are.
     """
-    each = docs.select(F.col(id_column), F.posexplode(terms(text)).alias("pos", "token"))
-    d = each.groupBy("token", id_column).agg(F.array_sort(F.collect_list("pos")).alias("p"))
-    return d.select("token", id_column, F.expr("transform(p, (x, i) -> if(i = 0, x, x - p[i - 1]))").alias("gaps"))
+    kind = docs.schema[id_column].dataType.simpleString()
+
+    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                ids, words = batch.slice(k, ROWS).columns
+                coded = words.flatten().dictionary_encode()
+                if not len(coded):
+                    continue
+                sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                place = (np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype("int32")
+                key = row * len(coded.dictionary) + coded.indices.to_numpy()
+                order = np.argsort(key, kind="stable")
+                starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+                first, place = order[starts], place[order]
+                gaps = np.diff(place, prepend=np.int32(0))
+                gaps[starts] = place[starts]
+                listed = pa.ListArray.from_arrays(pa.array(np.append(starts, len(gaps)), pa.int32()), pa.array(gaps))
+                yield pa.record_batch([coded.dictionary.take(coded.indices.take(pa.array(first))), ids.take(pa.array(row[first])), listed], names=["token", id_column, "gaps"])
+
+    return docs.select(F.col(id_column), terms(text).alias("words")).mapInArrow(posted, f"token string, `{id_column}` {kind}, gaps array<int>")
 
 
 def places(gaps: Column) -> Column:

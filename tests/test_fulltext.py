@@ -100,3 +100,11 @@ def test_all_phrases_must_be_there(index):
     assert sorted(r.id for r in fulltext.prefixed(index[1], "id", "DÉ").collect()) == [101, 102]
     with pytest.raises(ValueError, match="one word"):
         fulltext.prefixed(index[1], "id", "a b")
+
+
+def test_postings_need_no_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(fulltext, "ROWS", 2)
+    d = spark.createDataFrame([(1, "b a B"), (2, None), (None, "a"), (4, "!"), (5, "x y x x")], "id long, text string").coalesce(1)
+    found = fulltext.postings(d, "id", F.col("text"))
+    assert "Exchange hash" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.token, r.id): r.gaps for r in found.collect()} == {("b", 1): [0, 2], ("a", 1): [1], ("a", None): [0], ("x", 5): [0, 2, 1], ("y", 5): [1]}
