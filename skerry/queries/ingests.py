@@ -124,11 +124,8 @@ def probe_rows(t):
     path, v = new_path(t.spark, "probes"), F.col("value_ms")
     time = F.when(v % 7 == 0, "N/A").otherwise((v / 1000).cast("string"))
     line = F.concat_ws(",", time, F.when(v % 3 == 1, "0.4").otherwise("N/A"), F.when(v % 3 != 0, "0.2"))
-    d = t("timeline").select("video_id", "frame_id", line.alias("value")).repartition("video_id").sortWithinPartitions("video_id", "frame_id")
-    d.select("video_id", "value").write.partitionBy("video_id").text(path)
-    # Spark names the folder, not the file, after the video
-    rows = probes.frame_rows(t.spark, path, video=r"video_id=([^/]+)/")
-    return rows
+    probes.write_lines(t("timeline").select("video_id", "frame_id", line.alias("value")), path)
+    return probes.frame_rows(t.spark, path)
 
 
 # ---- packages

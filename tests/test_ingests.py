@@ -275,3 +275,20 @@ def test_each_fault_is_reported(spark, folder):
     assert got == want
     with pytest.raises(ValueError, match="missing"):
         packages.payload(spark, folder)
+
+
+def test_probe_files_need_no_folder_each(spark):
+    path = shared.new_path(spark, "probes")
+    d = spark.range(900).select((F.col("id") % 300).alias("video_id"), (F.col("id") / 300).cast("int").alias("frame_id"), F.col("id").cast("string").alias("value"))
+    assert probes.write_lines(d, path) == 300
+    files = spark.read.text(path).select(F.col("_metadata.file_path").alias("f")).distinct()
+    assert files.count() == 300
+    assert files.select(F.regexp_extract("f", "part=([0-9]+)/", 1)).distinct().count() <= probes.FOLDERS
+    got = {(r.video_id, r.frame_id): r.pts_time for r in probes.frame_rows(spark, path).collect()}
+    assert got == {(str(k % 300), k // 300): float(k) for k in range(900)}
+
+
+@pytest.mark.parametrize("name", [None, "", "a/b", "_a", ".a"])
+def test_probe_files_that_no_reader_would_find_are_errors(spark, name):
+    with pytest.raises(Exception, match="not a file's name"):
+        probes.write_lines(spark.createDataFrame([(name, 0, "1.0")], "video_id string, frame_id int, value string"), shared.new_path(spark, "probes"))
