@@ -161,5 +161,8 @@ def package_faults(t):
     for k, part, which in ((0, 0, "payload"), (1, 1, "checksums"), (3, 0, "manifest")):
         d = d.filter(~((v == k) & (n == part) & (F.col("part") == which)))
     d = d.withColumn("sha256", F.when((v == 2) & (n == 2) & (F.col("part") == "payload"), "0").otherwise(F.col("sha256")))
-    broken = d.filter(v == 4).select("package", F.lit("fault").alias("part"), F.lit("not a ZIP").alias("path"), F.lit(None).cast("long").alias("size"), F.lit(None).cast("string").alias("sha256")).distinct()
-    return packages.package_faults(d.filter(v != 4).unionByName(broken))
+    # every video has a frame 0, so one row of each broken package is left
+    whole = v != 4
+    d = d.filter(whole | ((F.col("part") == "payload") & (n == 0)))
+    broken = {"part": F.lit("fault"), "path": F.lit("not a ZIP"), "size": F.lit(None).cast("long"), "sha256": F.lit(None).cast("string")}
+    return packages.package_faults(d.withColumns({c: F.when(whole, F.col(c)).otherwise(x) for c, x in broken.items()}))

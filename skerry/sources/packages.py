@@ -207,11 +207,13 @@ def _listed(content) -> list[tuple[str, str, int | None, str | None]]:
 def package_faults(listed: DataFrame) -> DataFrame:
     """package, path, fault of listings(..): what manifest, checksums and payload don't agree on, file by file, and broken packages."""
     at = lambda part, c: F.max(F.when(F.col("part") == part, F.col(c)))
-    d = listed.filter("part <> 'fault'").groupBy("package", "path").agg(*[f.alias(f"{part}_{c}") for part in ("manifest", "checksums", "payload") for c, f in (("size", at(part, "size")), ("sha256", at(part, "sha256")), ("n", F.count_if(F.col("part") == part)))])
+    # one pass: listings are made by reading every package
+    d = listed.groupBy("package", "path", (F.col("part") == "fault").alias("broken")).agg(F.count(F.lit(1)).alias("n"), *[f.alias(f"{part}_{c}") for part in ("manifest", "checksums", "payload") for c, f in (("size", at(part, "size")), ("sha256", at(part, "sha256")), ("n", F.count_if(F.col("part") == part)))])
     metadata = F.regexp_extract("path", r"([^/]*)$", 1).isin(MANIFEST, CHECKSUMS)
     differs = lambda a: ~F.col(f"{a}_sha256").eqNullSafe(F.col("payload_sha256")) | ~F.col(f"{a}_size").eqNullSafe(F.col("payload_size"))
     fault = (
-        F.when(F.greatest("manifest_n", "checksums_n", "payload_n") > 1, "listed twice")
+        F.when(F.col("broken"), F.col("path"))
+        .when(F.greatest("manifest_n", "checksums_n", "payload_n") > 1, "listed twice")
         .when(metadata, "package file is checksummed")
         .when(F.col("checksums_n") == 0, F.when(F.col("payload_n") == 0, "only in manifest").otherwise("no checksum"))
         .when(F.col("manifest_n") == 0, "not in manifest")
@@ -219,8 +221,8 @@ def package_faults(listed: DataFrame) -> DataFrame:
         .when(differs("checksums"), "altered")
         .when(differs("manifest"), "manifest differs")
     )
-    broken = listed.filter("part = 'fault'").select("package", F.lit(None).cast("string").alias("path"), F.col("path").alias("fault"))
-    return d.select("package", "path", fault.alias("fault")).filter("fault IS NOT NULL").unionByName(broken)
+    times = F.explode(F.array_repeat(F.when(~F.col("broken"), F.col("path")), F.when(F.col("broken"), F.col("n")).otherwise(1).cast("int"))).alias("path")
+    return d.withColumn("fault", fault).filter("fault IS NOT NULL").select("package", times, "fault")
 
 
 def payload(spark: SparkSession, path: str) -> DataFrame:

@@ -292,3 +292,11 @@ def test_probe_files_need_no_folder_each(spark):
 def test_probe_files_that_no_reader_would_find_are_errors(spark, name):
     with pytest.raises(Exception, match="not a file's name"):
         probes.write_lines(spark.createDataFrame([(name, 0, "1.0")], "video_id string, frame_id int, value string"), shared.new_path(spark, "probes"))
+
+
+def test_packages_are_read_once_for_their_faults(spark):
+    rows = [("a", "fault", "no checksums", None, None)] * 2 + [("a", "payload", "a/x", 1, "s"), ("b", "manifest", "b/y", 1, "s"), ("c", "payload", "c/z", 1, "s"), ("c", "manifest", "c/z", 1, "s"), ("c", "checksums", "c/z", 1, "s")]
+    found = packages.package_faults(spark.createDataFrame(rows, packages.LISTING))
+    assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    assert sorted(tuple(r) for r in found.filter("path IS NOT NULL").collect()) == [("a", "a/x", "no checksum"), ("b", "b/y", "only in manifest")]
+    assert [tuple(r) for r in found.filter("path IS NULL").collect()] == [("a", None, "no checksums")] * 2
