@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skerry.operators import sequences
@@ -74,16 +74,18 @@ def partition_quality(shots: DataFrame, scenes: DataFrame, least_shots: int = 4,
 
     shots(video_id, shot_index, boundary): a boundary after the last shot doesn't count.
     """
-    last = shots.groupBy("video_id").agg(F.max("shot_index").alias("last"))
-    gaps = shots.join(last, "video_id").filter("shot_index < last")
-    a = shots.groupBy("video_id").agg(F.count(F.lit(1)).alias("shot_count"))
-    b = gaps.groupBy("video_id").agg(F.count_if("boundary").alias("boundary_count"))
-    run = sequences.longest_run(gaps, "video_id", "shot_index", F.col("boundary"))
+    order = Window.partitionBy("video_id").orderBy("shot_index")
+    last = F.max("shot_index").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    d = shots.select("video_id", "shot_index", F.coalesce(F.col("boundary") & (F.col("shot_index") < last), F.lit(False)).alias("ends"))
+    # an island is a shot and the run of boundaries after it
+    d = d.withColumn("island", F.col("shot_index") - F.sum(F.col("ends").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.groupBy("video_id", "island").agg(F.count(F.lit(1)).alias("shots"), F.count_if("ends").alias("length"))
+    a = d.groupBy("video_id").agg(F.sum("shots").alias("shot_count"), F.sum("length").alias("boundary_count"), F.max("length").alias("longest"))
     c = scenes.groupBy("video_id").agg(
         F.count(F.lit(1)).alias("scene_count"), F.count_if(F.col("shot_count") == 1).alias("one_shot"), F.median("shot_count").alias("median_shots"),
         F.avg("duration_sec").alias("mean_duration"), F.median("duration_sec").alias("median_duration"),
     )
-    d = a.join(b, "video_id", "left").join(c, "video_id", "left").join(run, "video_id", "left").na.fill(0, ["boundary_count", "longest"])
+    d = a.join(c.hint("merge"), "video_id", "left")
     n = F.col("shot_count") - 1
     d = d.withColumn("boundary_density", F.when(n > 0, F.col("boundary_count") / F.greatest(n, F.lit(1))).otherwise(0.0)).withColumn("one_shot_rate", F.col("one_shot") / F.col("scene_count"))
     every, dense, single = (n > 0) & (F.col("boundary_count") == n), F.col("boundary_density") >= density, F.col("one_shot_rate") >= one_shot_rate

@@ -77,37 +77,44 @@ def voted(votes: DataFrame, high: float = 0.67, low: float = 0.33) -> DataFrame:
     return d.withColumn("route", F.when(F.col("score") >= high, "boundary").when(F.col("score") <= low, "same").otherwise("review"))
 
 
-def triggered(gaps: DataFrame, votes: DataFrame, window: int = 3, least: int = 2, least_votes: int = 2) -> DataFrame:
-    """video_id, gap of provisional labels to look at again: neighbouring boundaries, every gap of a dense window, and gaps whose votes disagree.
-
-    gaps(video_id, gap from 0, boundary). With fewer gaps than the window one short window counts.
-    """
+def beside_boundaries(gaps: DataFrame, window: int = 3, least: int = 2) -> DataFrame:
+    """gaps(video_id, gap from 0, boundary) with beside: the gap is one of neighbouring boundaries, or in a dense window. With fewer gaps than the window one short window counts."""
     order = Window.partitionBy("video_id").orderBy("gap")
-    n = F.count(F.lit(1)).over(Window.partitionBy("video_id"))
+    n = F.count(F.lit(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     d = gaps.withColumn("next_to", F.col("boundary") & (F.coalesce(F.lag("boundary").over(order), F.lit(False)) | F.coalesce(F.lead("boundary").over(order), F.lit(False)))).withColumn("n", n)
     found = F.sum(F.col("boundary").cast("int")).over(order.rowsBetween(0, window - 1))
     starts = (F.col("gap") + window <= F.col("n")) | (F.col("gap") == 0)
     d = d.withColumn("dense", starts & (found >= least))
     d = d.withColumn("in_dense", F.max("dense").over(order.rowsBetween(-(window - 1), 0)))
-    first = d.filter(F.col("next_to") | F.col("in_dense")).select("video_id", "gap")
+    return d.withColumn("beside", F.col("next_to") | F.col("in_dense")).drop("next_to", "n", "dense", "in_dense")
+
+
+def triggered(gaps: DataFrame, votes: DataFrame, window: int = 3, least: int = 2, least_votes: int = 2) -> DataFrame:
+    """video_id, gap of provisional labels to look at again: those beside boundaries, and gaps whose votes disagree."""
+    first = beside_boundaries(gaps, window, least).filter("beside").select("video_id", "gap")
     split = votes.groupBy("video_id", "gap").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("boundary").alias("kinds")).filter((F.col("n") >= least_votes) & (F.col("kinds") == 2))
     return first.unionByName(split.select("video_id", "gap")).distinct()
 
 
-def merged(rows: DataFrame, group: str, start: str, end: str, slack: Column | float = 0.0) -> DataFrame:
+def merged(rows: DataFrame, group: str | list[str], start: str, end: str, slack: Column | float = 0.0) -> DataFrame:
     """Unions of intervals whose distance is the slack at most: group, start, end, parts."""
-    order = Window.partitionBy(group).orderBy(start, end)
+    groups = [group] if isinstance(group, str) else group
+    order = Window.partitionBy(*groups).orderBy(start, end)
     reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(reach.isNull() | (F.col(start) > reach + slack), 1).otherwise(0)
     d = rows.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.groupBy(group, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("parts")).drop("island")
+    return d.groupBy(*groups, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("parts")).drop("island")
+
+
+def padded(gaps: DataFrame, padding: int) -> DataFrame:
+    """gaps(video_id, shots, gap) -> padded, clamped and merged regions (touching ones merge): video_id, shots, start, end, parts."""
+    d = gaps.select("video_id", "shots", F.greatest(F.lit(0), F.col("gap") - padding).alias("start"), F.least(F.col("shots") - 2, F.col("gap") + padding).alias("end"))
+    return merged(d, ["video_id", "shots"], "start", "end", 1)
 
 
 def review_regions(gaps: DataFrame, counts: DataFrame, padding: int) -> DataFrame:
     """Padded, clamped and merged regions of triggered gaps (touching ones merge): video_id, start, end, parts."""
-    d = gaps.join(counts.select("video_id", (F.col("shots") - 2).alias("top")), "video_id")
-    d = d.select("video_id", F.greatest(F.lit(0), F.col("gap") - padding).alias("start"), F.least("top", F.col("gap") + padding).alias("end"))
-    return merged(d, "video_id", "start", "end", 1)
+    return padded(gaps.join(counts.select("video_id", "shots"), "video_id"), padding).drop("shots")
 
 
 def chunks_of(regions: DataFrame, most: int) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skerry.plans import reviews
 from skerry.queries.base import query
+from skerry.sources.shared import Rounds
 
 _POLICY = reviews.ReviewPolicy(consistency_rounds=3, degenerate_rounds=2)
 
@@ -20,14 +21,17 @@ def _judge(labels):
         .otherwise(((b + k) % 4 == 0) | (v % 10 == 0))
     )
     reason = F.concat_ws(":", "kind", "round", "window", "first_shot", "last_shot")
-    return lambda requests: requests.join(labels, ["video_id", "gap"]).select("video_id", "window", "gap", label.alias("boundary"), reason.alias("reason"), ((a % 100) / 100).alias("confidence"))
+    asked = lambda requests: requests.join(labels.repartition("video_id").hint("merge"), ["video_id", "gap"])
+    return lambda requests: asked(requests).select("video_id", "window", "gap", label.alias("boundary"), reason.alias("reason"), ((a % 100) / 100).alias("confidence"))
 
 
 def _reviewed(t):
     frames = t("timeline").select("video_id", "frame_id", "value_ms", F.floor(F.col("frame_id") / 2).alias("at"))
-    shots = frames.groupBy("video_id", F.col("at").alias("shot_index")).agg(F.min("frame_id").cast("double").alias("start_sec"), (F.max("frame_id") + 1).cast("double").alias("end_sec"), F.count(F.lit(1)).alias("frames"))
-    labels = frames.groupBy("video_id", F.col("at").alias("gap")).agg(F.sum("value_ms").alias("a"), F.max("value_ms").alias("b"))
-    return reviews.reviewed(shots, _judge(labels), _POLICY)
+    found = frames.groupBy("video_id", "at").agg(F.min("frame_id").alias("first"), F.max("frame_id").alias("last"), F.count(F.lit(1)).alias("frames"), F.sum("value_ms").alias("a"), F.max("value_ms").alias("b"))
+    # shots and labels are read in every round: the timeline is gone through once
+    found = Rounds(t.spark, "shots").put(found)
+    shots = found.select("video_id", F.col("at").alias("shot_index"), F.col("first").cast("double").alias("start_sec"), (F.col("last") + 1).cast("double").alias("end_sec"), "frames")
+    return reviews.reviewed(shots, _judge(found.select("video_id", F.col("at").alias("gap"), "a", "b")), _POLICY)
 
 
 def _triggers_sql(k: int) -> str:
