@@ -156,6 +156,9 @@ def files_differ(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return d.withColumn("fault", why).filter("fault IS NOT NULL").select("path", "fault")
 
 
+#: Partitions of the packages' rows. A given number is not joined by adaptive execution, which would fill a task up to 64 MB of compressed rows: twenty times that in its sorts. Up to 200, rows are written without being sorted in memory first.
+PACKAGE_PARTS = 200
+
 #: Invariants of a video's package, in the order of the report.
 INVARIANTS = (
     "shot range is empty", "shot ranges are not contiguous", "shot times are not contiguous", "shot_index is not 0, 1, ..", "shot_id does not follow the order", "scene range is empty", "scene ranges are not contiguous", "scene times are not contiguous",
@@ -185,7 +188,7 @@ def package_invariants(shots: DataFrame, scenes: DataFrame, keyframes: DataFrame
         rows(keyframes, "keyframe", "shot", "shot_id", frame="frame_id", kf="keyframe_id", scene="scene_id", flag="is_representative", extra=supplemental), rows(keyframes, "named", "keyframe", "keyframe_id", frame="frame_id", scene="scene_id"),
         rows(texts, "text", "keyframe", "keyframe_id"), rows(captions, "caption", "shot", "shot_id", kf="keyframe_id"), rows(summaries, "summary", "scene", "scene_id"),
     ]
-    d = reduce(DataFrame.unionByName, parts).repartition("video_id")
+    d = reduce(DataFrame.unionByName, parts).repartition(PACKAGE_PARTS, "video_id")
     order, group = Window.partitionBy("video_id", "part").orderBy("idx", "key"), Window.partitionBy("video_id", "about", "key")
     ordered = F.col("part").isin("shot", "scene")
     before = lambda c: F.lag(c).over(order)
