@@ -100,12 +100,28 @@ class Opened(NamedTuple):
     copied: int
 
 
-def intact(spark: SparkSession, cache: str) -> DataFrame:
-    """Artifacts of the copy whose content has the sum that it is stored under."""
+def _blobs(spark: SparkSession, cache: str) -> DataFrame:
+    """The copy as it is: sha256, size, content, and the row's place (file and number)."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("place")
     at, system = hadoop_path(spark, f"{cache}/blobs")
     if not system.exists(at):
-        return spark.createDataFrame([], BLOBS)
-    return spark.read.schema(BLOBS).parquet(f"{cache}/blobs").filter(F.sha2("content", 256) == F.col("sha256"))
+        return spark.createDataFrame([], f"{BLOBS}, place struct<file: string, row: bigint>")
+    return spark.read.schema(BLOBS).parquet(f"{cache}/blobs").select("sha256", "size", "content", place)
+
+
+def intact(spark: SparkSession, cache: str) -> DataFrame:
+    """Artifacts of the copy whose content has the sum that it is stored under, with their places."""
+    return _blobs(spark, cache).filter(F.sha2("content", 256) == F.col("sha256"))
+
+
+def _files(spark: SparkSession, cache: str, listed: DataFrame) -> DataFrame:
+    """path, size, sha256, content of the listed artifacts. Sums and places are joined, one intact row each; then only the rows of those places are read, so no content is shuffled."""
+    places = intact(spark, cache).groupBy("sha256").agg(F.min("place").alias("place"))
+    wanted = listed.join(places, "sha256", "left").select("path", "size", "sha256", "place")
+    found = _blobs(spark, cache).select("place", "content").join(F.broadcast(wanted.filter("place IS NOT NULL")), "place")
+    lost = wanted.filter("place IS NULL").withColumn("content", F.lit(None).cast("binary"))
+    columns = ["path", "size", "sha256", "content"]
+    return found.select(columns).unionAll(lost.select(columns))
 
 
 def _whole(content: Column, sum_: Column) -> Column:
@@ -133,8 +149,7 @@ def opened(spark: SparkSession, root: str, cache: str, needed: list[str] | None
     new = listed.join(have, "sha256", "left_anti").groupBy(F.col("sha256").alias("want")).agg(F.min("path").alias("path"))
     copied = new.count()
     if copied:
-        d = source.join(new, "path")
+        d = source.join(F.broadcast(new), "path")
         d.select(F.col("want").alias("sha256"), "size", _whole(F.col("content"), F.col("want")).alias("content")).write.mode("append").parquet(f"{cache}/blobs")
     _write(spark, f"{cache}/{manifest['release_id']}.json", json.dumps(manifest, sort_keys=True))
-    blobs = intact(spark, cache).dropDuplicates(["sha256"]).select("sha256", "content")
-    return Opened(manifest, listed.join(blobs, "sha256", "left").select("path", "size", "sha256", "content"), copied)
+    return Opened(manifest, _files(spark, cache, listed), copied)
