@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,11 +33,14 @@ def _number(name: str, kind: T.DataType) -> Column:
 
 def _rank(value: Column, bounds: Sequence[float]) -> Column:
     """How many bounds are at or below the value, by bisection; a null value has rank 0. Equal bounds count each, so a frequent value has ranks to itself."""
-    padded = F.array(*[F.lit(b) for b in bounds])
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(BITS))])
-    last = len(bounds)
-    step = lambda at, s: at + F.when((at + s <= last) & (F.get(padded, at + s - 1) <= value), s).otherwise(0)
-    return F.coalesce(F.aggregate(steps, F.lit(0), step), F.lit(0)).cast("long")
+    ordered = np.sort(np.asarray(bounds, dtype=float))
+
+    @F.pandas_udf("long")
+    def rank(values: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(ordered, values.to_numpy(), side="right"))
+
+    # NaN is above all numbers in both engines; a null would look like one
+    return F.when(value.isNull(), 0).otherwise(rank(value)).cast("long")
 
 
 def interleaved(d: DataFrame, keys: Sequence[str]) -> Column:
